@@ -1,0 +1,61 @@
+"""Ordered work on keys too large for one task.
+
+A window over a key sorts that key in one task. `hot_cuts` finds the keys for which this is too much
+and cuts their order column into slices of similar size; `scd2` and `asof_join` then work slice by
+slice and carry one value over each border.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key with fewer rows than this is never cut.
+HOT_ROWS = 2_000_000
+_STEPS = (512, 256, 128, 64, 32, 16, 8, 4, 2, 1)
+_CUTS = 2 * _STEPS[0] - 1
+
+
+def hot_cuts(df: DataFrame, keys: Sequence[str], order: Column, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys holding more than their fair share of rows, with the borders of their slices in `_cuts`.
+
+    The fair share is one shuffle partition's worth, and at least `hot_rows`, so there are at most
+    as many hot keys as shuffle partitions; the result is small enough to broadcast by construction.
+    None when no key is hot, which is known after a count and, for larger inputs, a count per key.
+    """
+    total = df.count()
+    if total <= hot_rows:
+        return None
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = max(hot_rows, total // partitions)
+    counted = df.groupBy(*keys).count().where(F.col("count") > share).select(*keys)
+    hot = counted.collect()
+    if not hot:
+        return None
+    hot_keys = df.sparkSession.createDataFrame(hot, counted.schema)
+    fractions = [n / (_CUTS + 1) for n in range(1, _CUTS + 1)]
+    return (
+        df.join(F.broadcast(hot_keys), list(keys), "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx(order, fractions, 10 * _CUTS).alias("_cuts"))
+    )
+
+
+def slice_number(cuts: Column, value: Column) -> Column:
+    """How many of the sorted `cuts` are smaller than `value`, by binary search; 0 for null."""
+    steps = F.array(*[F.lit(s) for s in _STEPS])
+    found = F.aggregate(
+        steps,
+        F.lit(0),
+        lambda low, step: F.when(F.element_at(cuts, low + step) < value, low + step).otherwise(low),
+    )
+    return F.when(value.isNull(), 0).otherwise(found)
+
+
+def split_hot(df: DataFrame, keys: Sequence[str], cuts: DataFrame, order: Column) -> tuple[DataFrame, DataFrame]:
+    """`df` as (rows of ordinary keys, rows of hot keys with `_slice`)."""
+    cold = df.join(F.broadcast(cuts), list(keys), "left_anti").select(*df.columns)
+    hot = df.join(F.broadcast(cuts), list(keys)).select(*df.columns, slice_number(F.col("_cuts"), order).alias("_slice"))
+    return cold, hot

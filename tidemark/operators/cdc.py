@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import parsed
 from tidemark.functions.text import mask_pii
 from tidemark.functions.times import from_micros, from_millis
 from tidemark.operators.hot import HOT_ROWS, hot_cuts, split_hot
@@ -25,14 +26,14 @@ def decode_changes(bronze: DataFrame) -> DataFrame:
 
     A delete has no `after`, so its key comes from `before`.
     """
-    value = F.from_json("_payload", _ENVELOPE)["value"]
-    parsed = bronze.where(F.col("_op").isNotNull()).withColumn("v", value)
-    after = F.col("v")["after"]
-    return parsed.select(
-        F.coalesce(after["ticket_id"], F.col("v")["before"]["ticket_id"]).alias("ticket_id"),
+    changed = bronze.where(F.col("_op").isNotNull()).select("*", parsed(F.col("_payload"), _ENVELOPE).alias("r"))
+    value = F.col("r")["value"]
+    after = value["after"]
+    return changed.select(
+        F.coalesce(after["ticket_id"], value["before"]["ticket_id"]).alias("ticket_id"),
         "_op",
-        F.col("v")["source"]["lsn"].alias("_lsn"),
-        from_millis(F.col("v")["source"]["ts_ms"]).alias("_changed_at"),
+        value["source"]["lsn"].alias("_lsn"),
+        from_millis(value["source"]["ts_ms"]).alias("_changed_at"),
         *[after[c].alias(c) for c in ("user_id", "subject", "body", "priority", "status", "category")],
         from_micros(after["created_at"]).alias("created_at"),
         from_micros(after["updated_at"]).alias("updated_at"),

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import parsed
 from tidemark.functions.text import chunk_words, hash_embed, mask_pii, text_hash, transcript_text
 from tidemark.operators.keyed import latest_by
 
@@ -23,7 +24,7 @@ _EXPORT = "ticket_id STRING, turns ARRAY<STRUCT<role: STRING, text: STRING>>"
 
 def decode_exports(bronze: DataFrame) -> DataFrame:
     """One masked transcript per export record."""
-    export = bronze.withColumn("x", F.from_json("_payload", _EXPORT))
+    export = bronze.select("*", parsed(F.col("_payload"), _EXPORT).alias("x"))
     return export.select(
         F.col("x")["ticket_id"].alias("ticket_id"),
         F.col("_ingested_at").alias("exported_at"),

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import parsed
+from tidemark.functions.times import from_iso
 from tidemark.operators.hot import HOT_ROWS, hot_cuts, split_hot
 
 
@@ -54,11 +56,10 @@ def lateness_profile(lateness_days: DataFrame) -> DataFrame:
 
 def event_lateness(bronze_events: DataFrame) -> DataFrame:
     """Calendar days from event to arrival, of every raw record that names an event time."""
-    from tidemark.functions.times import from_iso
-
-    happened = from_iso(F.from_json("_payload", "value STRUCT<event_time: STRING>")["value"]["event_time"])
+    read = bronze_events.select("_ingested_at", parsed(F.col("_payload"), "value STRUCT<event_time: STRING>").alias("r"))
+    happened = from_iso(F.col("r")["value"]["event_time"])
     days = F.datediff(F.to_date("_ingested_at"), F.to_date(happened))
-    return bronze_events.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
+    return read.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
 
 
 def asof_join(

@@ -26,13 +26,21 @@ NOT_JSON = "not valid JSON"
 _FIELDS = ("event_id", "user_id", "ticket_id", "type", "rating", "page", "event_time")
 
 
-def _text(field: str) -> Column:
-    return F.try_variant_get("v", f"$.{field}", "string")
+def _facts(record: Column) -> Column:
+    """What the rules ask about a parsed record: of every field its text and its JSON type.
+
+    The type is 'STRING', 'VOID' for a JSON null and so on; null means the field is absent.
+    """
+    value = F.try_variant_get(record, "$.value", "variant")
+    facts = [record.isNotNull().alias("is_json"), F.schema_of_variant(value).alias("value_kind")]
+    for field in _FIELDS:
+        facts.append(F.try_variant_get(value, f"$.{field}", "string").alias(field))
+        facts.append(F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant")).alias(f"{field}_kind"))
+    return F.struct(*facts)
 
 
 def _kind(field: str) -> Column:
-    """The JSON type of a field: 'STRING', 'VOID' for a JSON null, null when the field is absent."""
-    return F.schema_of_variant(F.try_variant_get("v", f"$.{field}", "variant"))
+    return F.col(f"{field}_kind")
 
 
 def _fail(field: str, bad: Column, message: str) -> Column:
@@ -40,54 +48,55 @@ def _fail(field: str, bad: Column, message: str) -> Column:
 
 
 def _required_text(field: str) -> list[Column]:
-    kind = _kind(field)
     return [
-        _fail(field, kind.isNull(), MISSING),
-        _fail(field, kind != "STRING", NOT_TEXT),
-        _fail(field, _text(field) == "", TOO_SHORT),
+        _fail(field, _kind(field).isNull(), MISSING),
+        _fail(field, _kind(field) != "STRING", NOT_TEXT),
+        _fail(field, F.col(field) == "", TOO_SHORT),
     ]
 
 
+def _optional_text(field: str) -> Column:
+    return _fail(field, ~_kind(field).isin("STRING", "VOID"), NOT_TEXT)
+
+
 def _one_of(field: str, values: Sequence[str], message: str) -> Column:
-    return _fail(field, (_kind(field) != "STRING") | ~_text(field).isin(*values), message)
+    return _fail(field, (_kind(field) != "STRING") | ~F.col(field).isin(*values), message)
 
 
 def _reason() -> Column:
     """The first rule a record breaks, rules in field order; null when it keeps all of them."""
-    optional_text = lambda field: _fail(field, ~_kind(field).isin("STRING", "VOID"), NOT_TEXT)
     has_rating = F.coalesce(_kind("rating") != "VOID", F.lit(False))
-    rules = [
-        F.when(F.col("j").isNull(), F.lit(f"record: {NOT_JSON}")),
-        F.when(~F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(True)), F.lit(f"record: {NOT_OBJECT}")),
+    no_object = ~F.col("value_kind").startswith("OBJECT") & (F.col("value_kind") != "VOID")
+    return F.coalesce(
+        _fail("record", ~F.col("is_json"), NOT_JSON),
+        _fail("record", no_object, NOT_OBJECT),
         *_required_text("event_id"),
         *_required_text("user_id"),
-        optional_text("ticket_id"),
+        _optional_text("ticket_id"),
         _fail("type", _kind("type").isNull(), MISSING),
         _one_of("type", ("click", "feedback"), NOT_TYPE),
         F.when(has_rating, _one_of("rating", ("up", "down"), NOT_RATING)),
-        optional_text("page"),
+        _optional_text("page"),
         _fail("event_time", _kind("event_time").isNull(), MISSING),
-        _fail("event_time", from_iso(_text("event_time")).isNull(), NOT_TIME),
-        _fail("record", (_text("type") == "feedback") & ~has_rating, NEEDS_RATING),
-        _fail("record", (_text("type") == "click") & has_rating, HAS_RATING),
-    ]
-    return F.coalesce(*rules)
+        _fail("event_time", from_iso(F.col("event_time")).isNull(), NOT_TIME),
+        _fail("record", (F.col("type") == "feedback") & ~has_rating, NEEDS_RATING),
+        _fail("record", (F.col("type") == "click") & has_rating, HAS_RATING),
+    )
 
 
 def gate_events(bronze: DataFrame) -> DataFrame:
     """Event records with their fields typed and `reason` set where a rule is broken.
 
-    One narrow pass. A bad record never stops the run; fields not named by the rules are ignored.
+    One narrow pass that parses a record once. A bad record never stops the run; fields not named by
+    the rules are ignored.
     """
-    empty = F.parse_json(F.lit("{}"))
-    parsed = bronze.withColumn("j", F.try_parse_json("_payload"))
-    value = F.try_variant_get("j", "$.value", "variant")
-    parsed = parsed.withColumn("v", F.when(value.isNull() | F.is_variant_null(value), empty).otherwise(value))
-    parsed = parsed.withColumn("reason", _reason())
-    return parsed.select(
-        *[_text(f).alias(f) for f in _FIELDS if f != "event_time"],
-        from_iso(_text("event_time")).alias("event_time"),
-        "reason", "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload",
+    facts = F.transform(F.array(F.try_parse_json("_payload")), _facts)
+    asked = bronze.select("*", F.inline(facts))
+    return asked.select(
+        *[f for f in _FIELDS if f != "event_time"],
+        from_iso(F.col("event_time")).alias("event_time"),
+        _reason().alias("reason"),
+        "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload",
     )
 
 

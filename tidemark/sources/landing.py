@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.records import parsed
 from tidemark.functions.times import from_iso, from_millis
 from tidemark.operators.schemas import BRONZE, conform
 from tidemark.sources.folders import Folders
@@ -22,9 +23,8 @@ def kafka_records(lines: DataFrame, source: str, day: str, with_op: bool) -> Dat
 
     The line is kept as it came. A line that is no JSON is kept too, with nulls beside it.
     """
-    head = F.from_json("value", "timestamp BIGINT, partition INT, offset BIGINT, value STRUCT<op: STRING>")
-    parsed = lines.where(F.trim("value") != "").withColumn("r", head)
-    return parsed.select(
+    head = parsed(F.col("value"), "timestamp BIGINT, partition INT, offset BIGINT, value STRUCT<op: STRING>")
+    return lines.where(F.trim("value") != "").select("value", head.alias("r")).select(
         F.lit(source).alias("_source"),
         F.lit(day).alias("_batch_id"),
         from_millis(F.col("r")["timestamp"]).alias("_ingested_at"),
@@ -57,11 +57,16 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     return exploded.withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(`record` variant) of files with one JSON object per line, the form to prefer: lines can be split."""
+    return spark.read.text(path).where(F.trim("value") != "").select(F.parse_json("value").alias("record"))
+
+
 @dataclass(frozen=True)
 class Source:
-    """Where a source's delivery of a day lies, below the delivery root, and how it is read."""
+    """Where a source's delivery of a day may lie, below the delivery root, and how it is read."""
 
-    path: str
+    paths: tuple[str, ...]
     read: Callable[[SparkSession, str, str, str], DataFrame]
 
 
@@ -73,14 +78,15 @@ def _kafka(with_op: bool):
 
 
 def _export(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
-    return export_records(read_json_array(spark, path), source, day)
+    read = read_json_lines if path.endswith(".jsonl") else read_json_array
+    return export_records(read(spark, path), source, day)
 
 
 # The layout the source systems deliver in.
 SOURCES = {
-    "tickets": Source("cdc/tickets/{day}.jsonl", _kafka(with_op=True)),
-    "events": Source("events/{day}.jsonl", _kafka(with_op=False)),
-    "transcripts": Source("transcripts/{day}.json", _export),
+    "tickets": Source(("cdc/tickets/{day}.jsonl",), _kafka(with_op=True)),
+    "events": Source(("events/{day}.jsonl",), _kafka(with_op=False)),
+    "transcripts": Source(("transcripts/{day}.json", "transcripts/{day}.jsonl"), _export),
 }
 
 
@@ -100,10 +106,11 @@ class Bronze:
         if self.folders.exists(target):
             return {"source": source, "day": day, "status": "already-landed", "rows": self._rows(target)}
         spec = SOURCES[source]
-        delivery = f"{self.deliveries}/{spec.path.format(day=day)}"
-        if not self.folders.exists(delivery):
+        places = [f"{self.deliveries}/{path.format(day=day)}" for path in spec.paths]
+        delivered = [place for place in places if self.folders.exists(place)]
+        if not delivered:
             return {"source": source, "day": day, "status": "no-data", "rows": 0}
-        records = conform(spec.read(self.spark, delivery, source, day), BRONZE)
+        records = conform(spec.read(self.spark, delivered[0], source, day), BRONZE)
         # Written aside and renamed: a half-written day is never visible.
         aside = f"{self.root}/{source}/_incoming-{uuid.uuid4().hex}"
         records.write.parquet(aside)

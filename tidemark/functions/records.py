@@ -15,3 +15,8 @@ def parsed(text: Column, fields: str) -> Column:
     return F.explode_outer(F.slice(F.from_json(text, f"ARRAY<STRUCT<{fields}>>"), 1, 1))
 
 
+
+
+def once(value: Column) -> Column:
+    """A generator of exactly `value`, for the same reason."""
+    return F.explode(F.array(value))

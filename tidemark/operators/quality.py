@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import once
 from tidemark.functions.text import has_pii
 from tidemark.functions.times import from_iso
 
@@ -31,11 +32,14 @@ def _facts(record: Column) -> Column:
 
     The type is 'STRING', 'VOID' for a JSON null and so on; null means the field is absent.
     """
-    value = F.try_variant_get(record, "$.value", "variant")
-    facts = [record.isNotNull().alias("is_json"), F.schema_of_variant(value).alias("value_kind")]
+    # Paths start at the record: cutting `value` out first would copy it for every field. The type of
+    # the whole value is only asked for where it cannot be an object with an id.
+    no_id = F.try_variant_get(record, "$.value.event_id", "variant").isNull()
+    kind = F.when(no_id, F.schema_of_variant(F.try_variant_get(record, "$.value", "variant")))
+    facts = [record.isNotNull().alias("is_json"), kind.alias("value_kind")]
     for field in _FIELDS:
-        facts.append(F.try_variant_get(value, f"$.{field}", "string").alias(field))
-        facts.append(F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant")).alias(f"{field}_kind"))
+        facts.append(F.try_variant_get(record, f"$.value.{field}", "string").alias(field))
+        facts.append(F.schema_of_variant(F.try_variant_get(record, f"$.value.{field}", "variant")).alias(f"{field}_kind"))
     return F.struct(*facts)
 
 
@@ -90,8 +94,8 @@ def gate_events(bronze: DataFrame) -> DataFrame:
     One narrow pass that parses a record once. A bad record never stops the run; fields not named by
     the rules are ignored.
     """
-    facts = F.transform(F.array(F.try_parse_json("_payload")), _facts)
-    asked = bronze.select("*", F.inline(facts))
+    read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
+    asked = read.select("*", once(_facts(F.col("j"))).alias("f")).select("*", "f.*")
     return asked.select(
         *[f for f in _FIELDS if f != "event_time"],
         from_iso(F.col("event_time")).alias("event_time"),

@@ -97,9 +97,9 @@ def event_insert_new(spark: SparkSession, sf: str) -> DataFrame:
 
 @registry.query(f"""
 SELECT quantile_cont(d, 0.50) AS p50, quantile_cont(d, 0.95) AS p95, quantile_cont(d, 0.99) AS p99,
-       CAST(max(d) AS BIGINT) AS max, 2 * count(*) AS n, CAST(ceil(quantile_cont(d, 0.99)) AS BIGINT) AS p99_days
-FROM (SELECT date_diff('day', CAST(ts AS DATE), CAST(arrived AS DATE)) AS d FROM ({EVENT_SQL})
-      WHERE reason IS NULL OR reason NOT LIKE 'event_time%')""")
+       CAST(max(d) AS BIGINT) AS max, count(*) AS n, CAST(ceil(quantile_cont(d, 0.99)) AS BIGINT) AS p99_days
+FROM (SELECT date_diff('day', CAST(ts AS DATE), CAST(arrived + again * INTERVAL 1 MINUTE AS DATE)) AS d
+      FROM ({EVENT_SQL}), (VALUES (0), (1)) copies(again) WHERE reason IS NULL OR reason NOT LIKE 'event_time%')""")
 def lateness(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar days from event to arrival, over every raw record that names a readable time."""
     return features.lateness_profile(features.event_lateness(bronze_events(spark, sf)))

@@ -20,6 +20,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table that heavy work per row follows; one stored in fewer splits than cores is spread first.
+
+    A large table has more splits than cores and is read as it lies, without a shuffle.
+    """
+    df = table(spark, sf, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _millis(ts: Column) -> Column:
     return F.unix_millis(ts.cast("timestamp"))
 
@@ -93,7 +103,7 @@ def event_lines(spark: SparkSession, sf: str, redelivered: bool = True) -> DataF
         F.when(error & (amount >= 20) & (amount < 50), "not a time").otherwise(time).alias("event_time"),
     )
     late = (F.floor(amount) % 4) * 86_400_000
-    records = table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + late)
+    records = spread_table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + late)
     return _delivered(records, "arrival", F.col("user_id") % 3, value, redelivered)
 
 
@@ -147,7 +157,7 @@ def change_lines(spark: SparkSession, sf: str, redelivered: bool = True) -> Data
         F.struct(F.col("event_id").alias("lsn"), _millis(F.col("ts")).alias("ts_ms")).alias("source"),
         F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u").alias("op"),
     )
-    records = table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + 2000)
+    records = spread_table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + 2000)
     return _delivered(records, "arrival", F.lit(0), F.when(kind != "view", change), redelivered)
 
 
@@ -179,7 +189,7 @@ def export_objects(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("exported_at"),
         turns.alias("turns"),
     )
-    return table(spark, sf, "conversations").select(F.to_json(export).alias("value"))
+    return spread_table(spark, sf, "conversations").select(F.to_json(export).alias("value"))
 
 
 def bronze_exports(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,7 +227,7 @@ def document_trees(spark: SparkSession, sf: str) -> DataFrame:
         attributes=attributes(gen_ai__request__model=F.col("source"), input=F.col("text"), output=F.col("lang")),
         children=F.transform(F.split("text", "\n"), line),
     )
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents")
     return docs.select(
         F.struct(F.lit("").alias("file"), F.col("doc_id").alias("pos")).alias("trace_ord"),
         F.parse_json(F.to_json(root)).alias("root"),
@@ -236,7 +246,7 @@ FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
 
 
 def answer_turns(spark: SparkSession, sf: str) -> DataFrame:
-    labelled = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    labelled = spread_table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
     root = F.struct(
         _text_id("d", "doc_id").alias("span_id"),
         F.lit("invoke_agent").alias("name"),
@@ -254,7 +264,7 @@ def answer_turns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), "text")
+    return spread_table(spark, sf, "documents").select(F.col("doc_id").alias("doc"), "text")
 
 
 # Product names of the part table.

@@ -99,7 +99,7 @@ def label_new_prompt_version(spark: SparkSession, sf: str) -> DataFrame:
     return fresh.agg(F.count(F.lit(1)).alias("n_calls"))
 
 
-@registry.query("SELECT 0 AS n_calls FROM (SELECT count(*) FROM conversations)")
+@registry.query("SELECT CAST(0 AS BIGINT) AS n_calls FROM (SELECT count(*) FROM conversations)")
 def label_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """The same model and prompt version asks nothing."""
     texts = _texts(spark, sf)

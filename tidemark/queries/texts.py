@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import EMAIL, PHONE, hash_embed, mask_pii, norm_text
 from tidemark.operators import chunks, quality
-from tidemark.queries.inputs import EXPORT_SQL, bronze_exports, documents, table
+from tidemark.queries.inputs import EXPORT_SQL, bronze_exports, documents, spread_table, table
 from tidemark.queries.registry import Registry
 
 registry = Registry()
@@ -45,7 +45,7 @@ _DOC_SQL = "SELECT doc_id AS doc, text FROM documents"
 
 @registry.query(f"SELECT doc_id, {mask_sql('text')} AS masked FROM documents")
 def mask_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", mask_pii(F.col("text")).alias("masked"))
+    return spread_table(spark, sf, "documents").select("doc_id", mask_pii(F.col("text")).alias("masked"))
 
 
 def _leaks(text: str) -> str:
@@ -61,16 +61,16 @@ def pii_scan(spark: SparkSession, sf: str) -> DataFrame:
     return quality.pii_scan(
         {
             "conversations": (table(spark, sf, "conversations"), "text"),
-            "documents": (table(spark, sf, "documents"), "text"),
+            "documents": (spread_table(spark, sf, "documents"), "text"),
             "masked_documents": (mask_documents(spark, sf), "masked"),
-            "pages": (table(spark, sf, "pages"), "html"),
+            "pages": (spread_table(spark, sf, "pages"), "html"),
         }
     )
 
 
 @registry.query("SELECT doc_id, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS norm FROM documents")
 def normalised_documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", norm_text(F.col("text")).alias("norm"))
+    return spread_table(spark, sf, "documents").select("doc_id", norm_text(F.col("text")).alias("norm"))
 
 
 @registry.query(f"SELECT ticket_id, exported_at, CAST(n_turns AS INTEGER) AS n_turns, {mask_sql('text')} AS text FROM ({EXPORT_SQL})")
@@ -94,7 +94,7 @@ def doc_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 def _live(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as transcripts of tickets; one labelled toxic counts as deleted, one without label as unknown."""
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents")
     tickets = table(spark, sf, "labels").select(
         F.col("doc_id").alias("ticket_id"), (F.col("toxic") == 1).alias("is_deleted"), F.lit("other").alias("category"),
         F.when(F.col("quality") == 1, "high").otherwise("low").alias("priority"), F.lit("open").alias("status"),
@@ -152,5 +152,5 @@ def cache_join(spark: SparkSession, sf: str) -> DataFrame:
 @registry.query(_EMBED_SQL % "(SELECT CAST(doc_id AS VARCHAR) AS text_hash, text AS chunk_text FROM documents)")
 def document_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     """The hash embedding of whole documents."""
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents")
     return docs.select(F.col("doc_id").cast("string").alias("text_hash"), _vector(hash_embed(F.col("text"))).alias("vector"))

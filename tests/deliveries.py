@@ -1,0 +1,95 @@
+"""Small deliveries of the three sources, written as the source systems would."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timezone
+from pathlib import Path
+
+
+def millis(iso: str) -> int:
+    return int(datetime.fromisoformat(iso).replace(tzinfo=timezone.utc).timestamp() * 1000)
+
+
+def ticket_row(ticket, created, priority="low", status="open", category=None, body="hello", subject="S"):
+    micros = millis(created) * 1000
+    return {
+        "ticket_id": ticket, "user_id": f"user-{ticket}", "subject": subject, "body": body, "priority": priority,
+        "status": status, "category": category, "created_at": micros, "updated_at": micros,
+    }
+
+
+def change(op, lsn, at, ticket, after=None, offset=None, arrived=None):
+    """One change record; `after` is ignored for a delete."""
+    before = {"ticket_id": ticket} if op in ("u", "d") else None
+    value = {"before": before, "after": None if op == "d" else after, "source": {"lsn": lsn, "ts_ms": millis(at)}, "op": op}
+    return {"partition": 0, "offset": lsn if offset is None else offset, "timestamp": millis(arrived or at), "value": value}
+
+
+def tombstone(offset, at):
+    return {"partition": 0, "offset": offset, "timestamp": millis(at), "value": None}
+
+
+def event(event_id, user, at, kind="click", rating=None, ticket=None, arrived=None, offset=0, **override):
+    value = {"event_id": event_id, "user_id": user, "ticket_id": ticket, "type": kind, "rating": rating, "page": None, "event_time": at + "Z"}
+    value.update(override)
+    return {"partition": 1, "offset": offset, "timestamp": millis(arrived or at), "value": value}
+
+
+def export(ticket, at, *turns):
+    return {"ticket_id": ticket, "exported_at": at + "Z", "turns": [{"role": r, "text": t} for r, t in turns]}
+
+
+def write(root: Path, day: str, tickets=(), events=(), exports=None) -> None:
+    for name, records in (("cdc/tickets", tickets), ("events", events)):
+        folder = root / name
+        folder.mkdir(parents=True, exist_ok=True)
+        if records:
+            (folder / f"{day}.jsonl").write_text("\n\n".join(json.dumps(r, ensure_ascii=False) for r in records) + "\n", encoding="utf-8")
+    if exports is not None:
+        folder = root / "transcripts"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{day}.json").write_text(json.dumps(exports, ensure_ascii=False, indent=2), encoding="utf-8")
+
+
+def three_days(root: Path) -> list[str]:
+    """Three ingest days with a redelivery, a delete, late events, bad records and a grown transcript."""
+    a1 = ticket_row("A", "2024-03-01T08:00:00", body="write to ann@example.com or 0912 345 678", subject="app crash")
+    a2 = {**a1, "priority": "high", "status": "closed", "category": "bug"}
+    b1 = ticket_row("B", "2024-03-01T09:00:00", priority="medium", status="closed", category="billing", subject="gói cước")
+    c1 = ticket_row("C", "2024-03-02T09:00:00", status="closed", category="other", subject="xuất dữ liệu")
+    write(
+        root, "2024-03-01",
+        tickets=[change("c", 10, "2024-03-01T08:00:00", "A", a1), change("r", 11, "2024-03-01T09:00:00", "B", b1)],
+        events=[
+            event("e1", "u1", "2024-03-01T10:00:00", offset=1),
+            event("e2", "u1", "2024-03-01T10:05:00", "feedback", "up", ticket="B", offset=2),
+            event("bad1", "u1", "2024-03-01T10:06:00", "feedback", "meh", offset=3),
+        ],
+        exports=[export("A", "2024-03-01T23:00:00", ("customer", "mail ann@example.com " * 30), ("agent", "ok"))],
+    )
+    write(
+        root, "2024-03-02",
+        tickets=[
+            change("u", 20, "2024-03-02T08:00:00", "A", a2),
+            change("u", 20, "2024-03-02T08:00:00", "A", a2, arrived="2024-03-02T08:01:00"),
+            change("c", 21, "2024-03-02T09:00:00", "C", c1),
+        ],
+        events=[
+            event("e2", "u1", "2024-03-01T10:05:00", "feedback", "up", ticket="B", arrived="2024-03-02T10:00:00", offset=2),
+            event("e3", "u2", "2024-03-02T11:00:00", offset=4),
+            event("late1", "u1", "2024-03-01T12:00:00", arrived="2024-03-02T12:00:00", offset=5),
+        ],
+        exports=[export("A", "2024-03-02T23:00:00", ("customer", "one two"), ("agent", "three"), ("agent", "done")), export("X", "2024-03-02T23:00:00", ("customer", "orphan"))],
+    )
+    write(
+        root, "2024-03-03",
+        tickets=[change("d", 30, "2024-03-03T08:00:00", "B"), tombstone(31, "2024-03-03T08:00:01")],
+        events=[
+            event("e4", "u2", "2024-03-03T09:00:00", "feedback", "down", ticket="C", offset=6),
+            event("late2", "u1", "2024-03-01T13:00:00", arrived="2024-03-03T09:00:00", offset=7),
+            event("bad2", None, "2024-03-03T09:30:00", offset=8),
+        ],
+        exports=[export("B", "2024-03-03T23:00:00", ("customer", "gone soon"))],
+    )
+    return ["2024-03-01", "2024-03-02", "2024-03-03"]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import words
+from tidemark.functions.text import bind, words
 
 # Fixed values of the triage task.
 LABELS = ("bug", "billing", "other")
@@ -37,8 +37,15 @@ def keyword_answer(text: Column, rules: Sequence[tuple[str, str]] = TRIAGE_RULES
 def parse_label(answer: Column, labels: Sequence[str] = LABELS) -> Column:
     """The `label` of the JSON object inside an answer; null unless it is one of `labels`."""
     found = F.regexp_extract(answer, r"(?s)\{.*\}", 0)
-    label = F.try_variant_get(F.try_parse_json(found), "$.label", "string")
-    return F.when(label.isin(*labels), label)
+    # The parser overlooks text after an object, but not inside an array.
+    array = F.try_parse_json(F.concat(F.lit("["), found, F.lit("]")))
+
+    def label(objects: Column) -> Column:
+        only = F.try_variant_get(objects, "$[1]", "variant").isNull()
+        value = F.try_variant_get(objects, "$[0].label", "string")
+        return F.when(only & value.isin(*labels), value)
+
+    return bind(array, label)
 
 
 def token_estimate(text: Column) -> Column:

@@ -82,15 +82,16 @@ def hash_embed(text: Column) -> Column:
     """Count tokens in 16 buckets (md5 of the token modulo 16), scale to length 1, round to 6 places."""
     # md5 modulo 16 is its last hex digit.
     tokens = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
-    digits = F.transform(tokens, lambda t: F.substring(F.md5(t.cast("binary")), 32, 1))
+    digits = F.array_join(F.transform(tokens, lambda t: F.substring(F.md5(t.cast("binary")), 32, 1)), "")
 
     def unit(counts: Column) -> Column:
         length = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c))
         return F.transform(counts, lambda c: F.round(c / F.when(length > 0, length).otherwise(1.0), 6))
 
     def counts(ds: Column) -> Column:
-        buckets = F.array(*[F.lit(format(b, "x")) for b in range(EMBEDDING_SIZE)])
-        return F.transform(buckets, lambda b: F.size(F.filter(ds, lambda d: d == b)).cast("double"))
+        # How often a digit occurs is how much shorter the string of digits is without it.
+        buckets = [F.lit(format(b, "x")) for b in range(EMBEDDING_SIZE)]
+        return F.array(*[(F.length(ds) - F.length(F.replace(ds, b, F.lit("")))).cast("double") for b in buckets])
 
     return bind(bind(digits, counts), unit)
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.entities import PLURALS, canon_entity
-from tidemark.functions.text import sentences, strip
+from tidemark.functions.text import bind, sentences, strip
 from tidemark.session import cut_lineage
 
 # Product names the policy rules look for, and the patterns of all rules.
@@ -38,26 +38,34 @@ def _u(pattern: str) -> str:
 
 
 def _policy_triples(low: Column, products: Sequence[str]) -> Column:
-    found = []
-    for product in products:
-        named = low.contains(product)
-        days = lambda p: F.concat(F.regexp_extract(low, _u(p), 1), F.lit(" days"))
-        refund = named & low.contains("return") & low.rlike(_u(RETURN_DAYS))
-        warranty = named & low.contains("warranty") & low.rlike(_u(ANY_DAYS))
-        final = named & (low.contains("final sale") | low.contains("cannot be returned"))
-        found += [
-            F.when(refund, _triple(F.lit(product), "RETURNABLE_WITHIN", days(RETURN_DAYS))),
-            F.when(warranty, _triple(F.lit(product), "HAS_WARRANTY", days(ANY_DAYS))),
-            F.when(final, _triple(F.lit(product), "NON_RETURNABLE", F.lit("final sale"))),
-        ]
-    return F.array_compact(F.array(*found)) if found else F.array().cast(_TRIPLE)
+    """Per product named in the sentence, in the given order, what is said about returning it."""
+    if not products:
+        return F.array().cast(_TRIPLE)
+    refund = F.regexp_extract(low, _u(RETURN_DAYS), 1)
+    warranty = F.regexp_extract(low, _u(ANY_DAYS), 1)
+    terms = F.struct(
+        F.when(low.contains("return") & (refund != ""), F.concat(refund, F.lit(" days"))).alias("refund"),
+        F.when(low.contains("warranty") & (warranty != ""), F.concat(warranty, F.lit(" days"))).alias("warranty"),
+        F.when(low.contains("final sale") | low.contains("cannot be returned"), F.lit("final sale")).alias("final"),
+    )
+    named = F.filter(F.array(*[F.lit(p) for p in products]), lambda p: low.contains(p))
+
+    def stated(product: Column, t: Column) -> Column:
+        return F.array(
+            _triple(product, "RETURNABLE_WITHIN", t["refund"]),
+            _triple(product, "HAS_WARRANTY", t["warranty"]),
+            _triple(product, "NON_RETURNABLE", t["final"]),
+        )
+
+    every = bind(terms, lambda t: F.flatten(F.transform(named, lambda p: stated(p, t))))
+    return F.filter(every, lambda triple: triple["object"].isNotNull())
 
 
 def _category_triples(low: Column, plurals: Mapping[str, str]) -> Column:
     members = F.split(F.regexp_extract(low, _u(BELONGS), 1), _u(r",|\band\b"))
     names = F.filter(F.transform(members, lambda m: canon_entity(m, plurals)), lambda m: m != "")
     category = canon_entity(F.regexp_extract(low, _u(BELONGS), 2), plurals)
-    triples = F.transform(names, lambda n: _triple(n, "IS_A", category))
+    triples = bind(category, lambda c: F.transform(names, lambda n: _triple(n, "IS_A", c)))
     return F.when(low.rlike(_u(BELONGS)), triples).otherwise(F.array().cast(_TRIPLE))
 
 

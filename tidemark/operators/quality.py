@@ -145,23 +145,23 @@ def table_tests(
         pairs = [F.struct(F.lit(rule).alias("rule"), F.col(f"c{n}").alias("violations")) for n, rule in enumerate(checks)]
         results.append(counts.select(F.inline(F.array(*pairs))))
     for columns in unique:
-        repeated = repeated_keys(df, columns)
+        repeated = repeated_keys(df, columns, "_copies")
         results.append(repeated.agg(F.lit(f"unique({', '.join(columns)})").alias("rule"), F.count(F.lit(1)).alias("violations")))
     return reduce(DataFrame.unionByName, results)
 
 
-def repeated_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Every combination of `columns` that occurs more than once, with its count `n`."""
-    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+def repeated_keys(df: DataFrame, columns: Sequence[str], name: str = "n") -> DataFrame:
+    """Every combination of `columns` that occurs more than once, with its count as `name`."""
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).where(F.col("_copies") > 1)
+    return counted.withColumnRenamed("_copies", name)
 
 
 def pii_scan(texts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """(`source`, `n_texts`, `n_leaks`) over the text columns of several tables."""
     parts = [df.select(F.lit(name).alias("source"), F.col(column).alias("text")) for name, (df, column) in texts.items()]
-    every = reduce(DataFrame.unionByName, parts).where(F.col("text").isNotNull())
-    return every.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_texts"), F.count_if(has_pii(F.col("text"))).alias("n_leaks")
-    )
+    # A null text counts for neither; filtering it out would evaluate a computed text once more.
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("source").agg(F.count("text").alias("n_texts"), F.count_if(has_pii(F.col("text"))).alias("n_leaks"))
 
 
 def bronze_profile(bronze: DataFrame) -> DataFrame:

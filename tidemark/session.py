@@ -45,24 +45,23 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, from `spark.checkpoint.dir`.
+    """The folder all executors can reach: `spark.checkpoint.dir`, or the checkpoint folder already set.
 
     Only a local session may fall back to a temporary folder; a cluster without the setting is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store `df` reliably, so that later steps neither recompute it nor carry its plan."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

@@ -44,15 +44,35 @@ def test_of_two_concurrent_runs_the_second_fails(spark, tmp_path):
 def test_slots_of_dropped_values_do_not_survive(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     run = lake.begin()
-    run.put_by("gold_ticket_labels", labels(spark, "A", "B", "C"), "ticket_id", lambda slot: False)
+    assert run.put_by("gold_ticket_labels", labels(spark, "A", "B", "C"), F.col("ticket_id"), lambda slot: False) == 3
     run.commit()
     run = lake.begin()
-    run.put_by("gold_ticket_labels", labels(spark, "C", "D"), "ticket_id", lambda slot: slot in ("B", "C"))
+    run.put_by("gold_ticket_labels", labels(spark, "C", "D"), F.col("ticket_id"), lambda slot: slot in ("B", "C"))
+    assert run.rows("gold_ticket_labels") == 3
     run.commit()
     assert names(lake) == ["A", "C", "D"]
     assert [r["ticket_id"] for r in lake.read("gold_ticket_labels", lambda slot: slot == "D").collect()] == ["D"]
 
 
+@pytest.mark.parametrize("at_most", [3, 5_000_000])
+def test_keys_are_replaced_in_the_slots_that_hold_them(spark, tmp_path, at_most):
+    lake = Lake(spark, str(tmp_path))
+    run = lake.begin()
+    for tickets in ("AB", "CD", "EF"):
+        run.append("gold_ticket_labels", labels(spark, *tickets))
+    run.commit()
+    before = lake.tables()["gold_ticket_labels"]
+    run = lake.begin()
+    touched = spark.createDataFrame([("B",), ("C",), ("X",)], "ticket_id string")
+    rebuilt = labels(spark, "B", "X").withColumn("label", F.lit("other"))
+    run.replace_keys("gold_ticket_labels", "ticket_id", touched, at_most, rebuilt)
+    run.commit()
+    got = sorted((r["ticket_id"], r["label"]) for r in lake.read("gold_ticket_labels").collect())
+    assert got == [("A", "bug"), ("B", "other"), ("D", "bug"), ("E", "bug"), ("F", "bug"), ("X", "other")]
+    # The slot without a touched key is the very same folder.
+    assert len(set(before) & set(lake.tables()["gold_ticket_labels"])) == 1
+
+
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("warehouse")
@@ -82,6 +102,14 @@ def test_nothing_landed_is_a_typed_empty_table(spark, tmp_path):
     assert empty.lateness()["n"] == 0
 
 
+def test_a_batch_is_parsed_once(built):
+    warehouse, days, results = built
+    assert [r["staged"] for r in results] == [{"tickets": [d], "events": [d]} for d in days]
+    assert warehouse.stage(warehouse.lake.begin()) == {"tickets": [], "events": []}
+    staged = warehouse.lake.read("stage_events")
+    assert staged.where("reason IS NULL AND _payload IS NOT NULL").count() == 0
+
+
 def test_silver_tables(built, rows):
     warehouse, _, results = built
     assert rows(warehouse.tickets(warehouse.lake), "ticket_id", "priority", "status", "body", "is_deleted") == [
@@ -162,6 +190,20 @@ def test_a_changed_past_is_refused_and_leaves_all_tables(spark, tmp_path):
     assert warehouse.lake.tables() == tables and warehouse.gold_checksums() == before
 
 
+def test_a_batch_landed_late_cannot_rewrite_a_published_version(spark, tmp_path):
+    row = ticket_row("A", "2024-03-01T08:00:00", status="closed", category="bug")
+    write(tmp_path / "in", "2024-03-02", tickets=[change("c", 1, "2024-03-02T08:00:00", "A", row)])
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    warehouse.run_day("2024-03-02")
+    write(tmp_path / "in", "2024-03-01", tickets=[change("c", 2, "2024-03-01T08:00:00", "B", {**row, "ticket_id": "B"})])
+    warehouse.run_day("2024-03-01")
+    with pytest.raises(SnapshotImmutableError):
+        warehouse.run_day("2024-03-02")
+    # History knows both tickets, and the version published first still holds one.
+    assert warehouse.lake.read("silver_ticket_history").count() == 2
+    assert warehouse.lake.read("gold_training_set").where("snapshot_version = 'v2024-03-02'").count() == 1
+
+
 def test_merged_tables_are_compacted(spark, tmp_path, monkeypatch, rows):
     monkeypatch.setattr("tidemark.plans.daily.MAX_SLOTS", 1)
     root = tmp_path
@@ -172,6 +214,7 @@ def test_merged_tables_are_compacted(spark, tmp_path, monkeypatch, rows):
     for day in ["2024-03-01", "2024-03-02"]:
         warehouse.bronze.land_day(day)
         run = warehouse.lake.begin()
+        warehouse.stage(run)
         warehouse.upsert_tickets(run, day)
         run.commit()
     assert rows(warehouse.lake.read("silver_tickets"), "priority", "_lsn") == [("p1", 2)]

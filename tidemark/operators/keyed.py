@@ -36,13 +36,40 @@ def _pick(df: DataFrame, keys: Sequence[str], chosen: Column) -> DataFrame:
     return picked.select(*[F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def newer_than_state(state: DataFrame, batch: DataFrame, key: str, version: str) -> DataFrame:
+# A batch of at most this many rows may send its keys to every executor; a key and its slot in the
+# hash table take some 100 bytes, so this is about 100 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def matching(state: DataFrame, batch: DataFrame, key: str, at_most: int | None) -> DataFrame:
+    """The state rows whose key occurs in a batch of at most `at_most` rows, None if that is unknown.
+
+    The keys of a small batch go to the state, which then is filtered where it lies. Against a large or
+    unbounded batch both are shuffled.
+    """
+    keys = batch.select(key).distinct()
+    if at_most is not None and at_most <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
+    return state.join(keys, key, "left_semi").select(*state.columns)
+
+
+def _concerned(state: DataFrame, batch: DataFrame, key: str, at_most: int | None) -> DataFrame:
+    """The state rows to compare a batch with: filtered by a small batch, all for any other.
+
+    For a large batch the join that follows does the filtering, so that the state is shuffled once.
+    """
+    small = at_most is not None and at_most <= BROADCAST_ROWS
+    return matching(state, batch, key, at_most) if small else state
+
+
+def newer_than_state(state: DataFrame, batch: DataFrame, key: str, version: str, at_most: int | None = None) -> DataFrame:
     """The batch rows an upsert would write: unknown key, or a strictly greater version.
 
     An equal or older version never wins, so replaying an old batch yields nothing. `batch` has one
-    row per key; of the state only key and version are read.
+    row per key and at most `at_most` rows; of the state only key and version are read.
     """
-    known = state.groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
+    concerned = _concerned(state.select(key, version), batch, key, at_most)
+    known = concerned.groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
     joined = batch.join(known, F.col(key) == F.col("_k"), "left")
     return joined.where(F.col("_k").isNull() | (F.col(version) > F.col("_v"))).drop("_k", "_v")
 
@@ -59,14 +86,20 @@ def above_high_water_mark(state: DataFrame, batch: DataFrame, version: str) -> D
     return batch.where(F.col(version) > mark.scalar())
 
 
-def unseen(state: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def unseen(state: DataFrame, batch: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
     """The batch rows whose key the state does not hold. Of the state only the key is read."""
-    return batch.join(state.select(key), key, "left_anti").select(*batch.columns)
+    known = _concerned(state.select(key), batch, key, at_most)
+    return batch.join(known, key, "left_anti").select(*batch.columns)
+
 
+def insert_new(
+    state: DataFrame, batch: DataFrame, key: str, order: Sequence[Column], at_most: int | None = None
+) -> DataFrame:
+    """What an insert-only merge appends: the first row of every key never seen before.
 
-def insert_new(state: DataFrame, batch: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
-    """What an insert-only merge appends: the first row of every key never seen before."""
-    return unseen(state, first_by(batch, [key], order), key)
+    Known keys are dropped before the first rows are picked, so that only new rows are grouped.
+    """
+    return first_by(unseen(state, batch, key, at_most), [key], order)
 
 
 def overwrite_range(state: DataFrame, rebuilt: DataFrame, column: str, low: str, high: str) -> DataFrame:

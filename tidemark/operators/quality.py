@@ -104,6 +104,11 @@ def gate_events(bronze: DataFrame) -> DataFrame:
     )
 
 
+def staged_events(bronze: DataFrame) -> DataFrame:
+    """Gated events as they are stored: with the raw record of refused ones only."""
+    return gate_events(bronze).withColumn("_payload", F.when(F.col("reason").isNotNull(), F.col("_payload")))
+
+
 def valid_events(gated: DataFrame) -> DataFrame:
     return gated.where(F.col("reason").isNull()).drop("reason", "_payload")
 

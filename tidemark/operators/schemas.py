@@ -30,12 +30,17 @@ BRONZE = _schema(
     "_source STRING, _batch_id STRING, _ingested_at TIMESTAMP_NTZ, _kafka_partition INT, "
     "_kafka_offset BIGINT, _op STRING, _payload STRING"
 )
-TICKET_CHANGES = _schema(
-    "ticket_id STRING, _op STRING, _lsn BIGINT, _changed_at TIMESTAMP_NTZ, user_id STRING, subject STRING, "
-    "body STRING, priority STRING, status STRING, category STRING, created_at TIMESTAMP_NTZ, "
-    "updated_at TIMESTAMP_NTZ, _batch_id STRING, _ingested_at TIMESTAMP_NTZ, _kafka_offset BIGINT"
-)
 TABLES = {
+    "stage_ticket_changes": _schema(
+        "ticket_id STRING, _op STRING, _lsn BIGINT, _changed_at TIMESTAMP_NTZ, user_id STRING, subject STRING, "
+        "body STRING, priority STRING, status STRING, category STRING, created_at TIMESTAMP_NTZ, "
+        "updated_at TIMESTAMP_NTZ, _batch_id STRING, _ingested_at TIMESTAMP_NTZ, _kafka_offset BIGINT"
+    ),
+    "stage_events": _schema(
+        "event_id STRING, user_id STRING, ticket_id STRING, type STRING, rating STRING, page STRING, "
+        "event_time TIMESTAMP_NTZ, reason STRING, _ingested_at TIMESTAMP_NTZ, _batch_id STRING, "
+        "_kafka_partition INT, _kafka_offset BIGINT, _payload STRING"
+    ),
     "silver_tickets": _schema(
         "ticket_id STRING, user_id STRING, subject STRING, body STRING, priority STRING, status STRING, "
         "category STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, is_deleted BOOLEAN, "

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,41 +32,70 @@ class Warehouse:
         self.bronze = Bronze(spark, bronze_root, deliveries)
         self.lake = Lake(spark, lake_root)
 
+    # Staging: every landed record is parsed once. Bronze never changes, so neither does a staged batch.
+
+    def stage(self, run: Run) -> dict[str, list[str]]:
+        """Parse the landed batches no run has parsed yet, one slot each; the days staged."""
+        return {
+            "tickets": self._stage(run, "tickets", "stage_ticket_changes", cdc.decode_changes),
+            "events": self._stage(run, "events", "stage_events", quality.staged_events),
+        }
+
+    def _stage(self, run: Run, source: str, table: str, parse: Callable[[DataFrame], DataFrame]) -> list[str]:
+        staged = run.slots_from(table, self.bronze.root)
+        fresh = [day for day in self.bronze.landed_days(source) if day not in staged]
+        for day in fresh:
+            run.put(table, day, parse(self.bronze.scan(source, batch=day)), origin=self.bronze.root)
+        return fresh
+
     # Silver
 
-    def tickets(self, run: Run | Lake) -> DataFrame:
+    def tickets(self, tables: Run | Lake) -> DataFrame:
         """Current tickets. The table holds only winning changes, one slot per batch; newest wins."""
-        return keyed.latest_by(run.read("silver_tickets"), ["ticket_id"], [F.col("_lsn")])
+        return keyed.latest_by(tables.read("silver_tickets"), ["ticket_id"], [F.col("_lsn")])
 
-    def transcripts(self, run: Run | Lake) -> DataFrame:
-        return keyed.latest_by(run.read("silver_transcripts"), ["ticket_id"], [F.col("exported_at")])
+    def transcripts(self, tables: Run | Lake) -> DataFrame:
+        return keyed.latest_by(tables.read("silver_transcripts"), ["ticket_id"], [F.col("exported_at")])
 
-    def _merge(self, run: Run, table: str, batch: DataFrame, version: str) -> int:
+    def _merge(self, run: Run, table: str, batch: DataFrame, version: str, at_most: int) -> int:
         """Guarded upsert that writes the winning rows only; reads key and version of the state."""
-        written = run.append(table, keyed.newer_than_state(run.read(table), batch, "ticket_id", version))
+        winners = keyed.newer_than_state(run.read(table), batch, "ticket_id", version, at_most)
+        written = run.append(table, winners)
         if len(run.slots(table)) > MAX_SLOTS:
             run.replace(table, keyed.latest_by(run.read(table), ["ticket_id"], [F.col(version)]))
         return written
 
     def upsert_tickets(self, run: Run, day: str) -> dict:
-        batch = cdc.ticket_state(cdc.decode_changes(self.bronze.scan("tickets", batch=day)))
-        return {"applied": self._merge(run, "silver_tickets", batch, "_lsn")}
-
-    def build_history(self, run: Run) -> dict:
-        history = cdc.scd2(cdc.decode_changes(self.bronze.scan("tickets")))
-        return {"rows": run.replace("silver_ticket_history", history)}
+        of_day = lambda slot: slot == day
+        batch = cdc.ticket_state(run.read("stage_ticket_changes", of_day))
+        at_most = run.rows("stage_ticket_changes", of_day)
+        return {"applied": self._merge(run, "silver_tickets", batch, "_lsn", at_most)}
+
+    def build_history(self, run: Run, days: list[str]) -> dict:
+        """Bring the history of all tickets changed in the batches `days` up to date."""
+        if not days:
+            return {"written": 0}
+        fresh = lambda slot: slot in days
+        changes = run.read("stage_ticket_changes")
+        touched = run.read("stage_ticket_changes", fresh).select("ticket_id")
+        at_most = run.rows("stage_ticket_changes", fresh)
+        rebuilt = cdc.scd2(keyed.matching(changes, touched, "ticket_id", at_most))
+        return {"written": run.replace_keys("silver_ticket_history", "ticket_id", touched, at_most, rebuilt)}
 
     def upsert_events(self, run: Run, day: str) -> dict:
-        gated = quality.gate_events(self.bronze.scan("events", batch=day))
+        of_day = lambda slot: slot == day
+        gated, at_most = run.read("stage_events", of_day), run.rows("stage_events", of_day)
         quarantined = run.put("quarantine_events", day, quality.quarantined_events(gated))
         arrival = [F.col("_ingested_at"), F.col("_kafka_offset")]
-        fresh = keyed.insert_new(run.read("silver_events"), quality.valid_events(gated), "event_id", arrival)
+        valid = quality.valid_events(gated)
+        fresh = keyed.insert_new(run.read("silver_events"), valid, "event_id", arrival, at_most)
         inserted = run.append("silver_events", fresh.drop("_kafka_partition", "_kafka_offset"))
-        return {"inserted": inserted, "quarantined": quarantined}
+        return {"inserted": inserted, "quarantined": quarantined, "silver_rows": run.rows("silver_events")}
 
     def upsert_transcripts(self, run: Run, day: str) -> dict:
-        batch = chunks.latest_exports(chunks.decode_exports(self.bronze.scan("transcripts", batch=day)))
-        return {"applied": self._merge(run, "silver_transcripts", batch, "exported_at")}
+        exports = self.bronze.scan("transcripts", batch=day)
+        batch = chunks.latest_exports(chunks.decode_exports(exports))
+        return {"applied": self._merge(run, "silver_transcripts", batch, "exported_at", exports.count())}
 
     # Gold
 
@@ -72,29 +103,44 @@ class Warehouse:
         """Recompute the event days [day - lookback, day]; other days keep their folders."""
         low = shift(day, -lookback)
         rebuilt = features.daily_features_between(run.read("silver_events"), low, day)
-        # One task per event day and hash of the user, so that no day is a single task's file.
-        run.put_by("gold_feature_daily", rebuilt, "event_date", lambda slot: low <= slot <= day)
-        return {"window": f"{low}..{day}"}
+        run.put_by("gold_feature_daily", rebuilt, F.col("event_date"), lambda slot: low <= slot <= day)
+        return {"window": f"{low}..{day}", "rows": run.rows("gold_feature_daily")}
 
     def build_snapshot(self, run: Run, day: str) -> dict:
         """Write version `v<day>` once; a rebuild must come out the same."""
         version = f"v{day}"
-        changes = cdc.decode_changes(self.bronze.scan("tickets", upto=day))
+        changes = run.read("stage_ticket_changes", lambda slot: slot <= day)
         snapshot = cdc.training_snapshot(changes, run.read("silver_events"), day)
         if version not in run.slots("gold_training_set"):
             return {"version": version, "status": "created", "rows": run.put("gold_training_set", version, snapshot)}
-        published = run.read("gold_training_set", lambda slot: slot == version)
-        if checksum(published) != checksum(snapshot):
+        same = lambda slot: slot == version
+        if checksum(run.read("gold_training_set", same)) != checksum(snapshot):
             raise SnapshotImmutableError(f"snapshot {version} exists with different content; publish a new version")
-        return {"version": version, "status": "unchanged", "rows": published.count()}
+        return {"version": version, "status": "unchanged", "rows": run.rows("gold_training_set", same)}
 
     def build_chunks(self, run: Run, model: chunks.Model = chunks.hash_model, model_version: str = chunks.MODEL_VERSION) -> dict:
-        """Chunk all live transcripts; embed only texts this model has never embedded."""
-        pieces = chunks.split_chunks(chunks.live_transcripts(self.transcripts(run), self.tickets(run)))
+        """Index the transcripts of all tickets this run has changed; embed only texts new to the model.
+
+        Tickets that did not change keep their chunks. After a change of model all are indexed anew.
+        """
+        tickets, transcripts = run.read("silver_tickets"), run.read("silver_transcripts")
+        (new_tickets, n_tickets), (new_transcripts, n_transcripts) = run.appended("silver_tickets"), run.appended("silver_transcripts")
+        touched, at_most = new_tickets.select("ticket_id").unionByName(new_transcripts.select("ticket_id")), n_tickets + n_transcripts
+        outdated = not run.read("gold_doc_chunks").where(F.col("embedding_model_version") != model_version).isEmpty()
+        if outdated:
+            touched, at_most = transcripts.select("ticket_id"), run.rows("silver_transcripts")
+        if not at_most:
+            return {"chunks": run.rows("gold_doc_chunks"), "embedded_new": 0}
+        live = chunks.live_transcripts(
+            keyed.latest_by(keyed.matching(transcripts, touched, "ticket_id", at_most), ["ticket_id"], [F.col("exported_at")]),
+            keyed.latest_by(keyed.matching(tickets, touched, "ticket_id", at_most), ["ticket_id"], [F.col("_lsn")]),
+        )
+        pieces = chunks.split_chunks(live)
         missing = chunks.missing_embeddings(pieces, run.read("embedding_cache"), model_version)
         embedded = run.append("embedding_cache", chunks.embed(missing, model, model_version))
         indexed = chunks.with_embeddings(pieces, run.read("embedding_cache"), model_version)
-        return {"chunks": run.replace("gold_doc_chunks", indexed), "embedded_new": embedded}
+        run.replace_keys("gold_doc_chunks", "ticket_id", touched, at_most, indexed)
+        return {"chunks": run.rows("gold_doc_chunks"), "embedded_new": embedded}
 
     def label_tickets(
         self,
@@ -119,10 +165,12 @@ class Warehouse:
         """Land the day, then bring every table up to date; all of them are published or none."""
         landed = self.bronze.land_day(day)
         run = self.lake.begin()
+        staged = self.stage(run)
         results = {
             "land": landed,
+            "staged": staged,
             "silver_tickets": self.upsert_tickets(run, day),
-            "silver_history": self.build_history(run),
+            "silver_history": self.build_history(run, staged["tickets"]),
             "silver_events": self.upsert_events(run, day),
             "silver_transcripts": self.upsert_transcripts(run, day),
             "gold_feature_daily": self.build_features(run, day),

@@ -11,13 +11,15 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import keyed
 from tidemark.operators.schemas import TABLES, conform
 from tidemark.sources.folders import Folders
 
-Slots = dict[str, str]
+# Of every slot its folder and, where it was counted, its number of rows.
+Slots = dict[str, dict]
 
 
 class Lake:
@@ -36,15 +38,29 @@ class Lake:
         """A table as last committed; with `slots`, only the slots whose name is accepted."""
         return _read(self, self.tables(), table, slots)
 
+    def empty_folder(self) -> str:
+        folder = f"{self.root}/_empty"
+        self.folders.make(folder)
+        return folder
+
     def begin(self) -> Run:
         return Run(self)
 
 
+def _slot_of(path: str) -> str:
+    """The name of a slot that is called after its folder."""
+    return path.rsplit("/", 1)[1]
+
+
 def _read(lake: Lake, tables: dict[str, Slots], table: str, slots: Callable[[str], bool] | None) -> DataFrame:
-    wanted = [path for slot, path in tables.get(table, {}).items() if slots is None or slots(slot)]
-    if not wanted:
-        return lake.spark.createDataFrame([], TABLES[table])
-    return lake.spark.read.schema(TABLES[table]).parquet(*[f"{lake.root}/{p}" for p in wanted])
+    wanted = [held["path"] for slot, held in tables.get(table, {}).items() if slots is None or slots(slot)]
+    return _scan(lake, table, wanted)
+
+
+def _scan(lake: Lake, table: str, paths: list[str]) -> DataFrame:
+    # A folder without files stands in for a table without slots; its scan has the same columns.
+    folders = [f"{lake.root}/{p}" for p in paths] or [lake.empty_folder()]
+    return lake.spark.read.schema(TABLES[table]).parquet(*folders)
 
 
 class Run:
@@ -57,6 +73,7 @@ class Run:
         self._base = int(commits[-1].removesuffix(".json")) if commits else 0
         self.tables = {name: dict(slots) for name, slots in lake.tables().items()}
         self._written = 0
+        self._appended: dict[str, list[dict]] = {}
 
     def read(self, table: str, slots: Callable[[str], bool] | None = None) -> DataFrame:
         return _read(self.lake, self.tables, table, slots)
@@ -64,53 +81,96 @@ class Run:
     def slots(self, table: str) -> list[str]:
         return list(self.tables.get(table, {}))
 
-    def _write(self, table: str, df: DataFrame, by: str | None = None) -> str:
+    def rows(self, table: str, accepted: Callable[[str], bool] | None = None) -> int:
+        """Rows of a table's slots as counted when they were written."""
+        held = self.tables.get(table, {}).items()
+        return sum(h["rows"] for slot, h in held if accepted is None or accepted(slot))
+
+    def _write(self, table: str, df: DataFrame, by: Column | None = None) -> str:
         self._written += 1
         path = f"{table}/{self.id}-{self._written:03d}"
         rows = conform(df, TABLES[table])
         if by is None:
             rows.write.parquet(f"{self.lake.root}/{path}")
         else:
-            # The slot value stays a column of the files, so a slot folder is a table of its own.
-            slotted = rows.withColumn("slot", F.col(by).cast("string"))
-            slotted.write.partitionBy("slot").parquet(f"{self.lake.root}/{path}")
+            # The slot is no column of the files, so a slot's folder is a table of its own.
+            rows.withColumn("slot", by.cast("string")).write.partitionBy("slot").parquet(f"{self.lake.root}/{path}")
         return path
 
-    def rows(self, path: str) -> int:
-        """Rows of a folder, from the file footers."""
-        return self.spark.read.parquet(f"{self.lake.root}/{path}").count()
+    def _held(self, path: str) -> dict:
+        # A count of Parquet rows reads the file footers only.
+        return {"path": path, "rows": self.spark.read.parquet(f"{self.lake.root}/{path}").count()}
 
-    def put(self, table: str, slot: str, df: DataFrame) -> int:
-        """Fill one slot, replacing what it held; the number of rows."""
-        path = self._write(table, df)
-        self.tables.setdefault(table, {})[slot] = path
-        return self.rows(path)
+    def put(self, table: str, slot: str, df: DataFrame, origin: str | None = None) -> int:
+        """Fill one slot, replacing what it held; the number of rows. `origin` says what it was made from."""
+        held = self._held(self._write(table, df))
+        self.tables.setdefault(table, {})[slot] = held | {"origin": origin}
+        return held["rows"]
+
+    def slots_from(self, table: str, origin: str) -> set[str]:
+        """The slots of a table made from `origin`."""
+        return {slot for slot, held in self.tables.get(table, {}).items() if held.get("origin") == origin}
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows in a slot of their own; nothing is added when there are none."""
         path = self._write(table, df)
-        rows = self.rows(path)
-        if rows:
-            self.tables.setdefault(table, {})[path.rsplit("/", 1)[1]] = path
-        return rows
+        held = self._held(path)
+        if held["rows"]:
+            self.tables.setdefault(table, {})[_slot_of(path)] = held
+            self._appended.setdefault(table, []).append(held)
+        return held["rows"]
+
+    def appended(self, table: str) -> tuple[DataFrame, int]:
+        """What this run has appended to a table, and its number of rows."""
+        held = self._appended.get(table, [])
+        return _scan(self.lake, table, [h["path"] for h in held]), sum(h["rows"] for h in held)
 
     def replace(self, table: str, df: DataFrame) -> int:
         """Make `df` the whole table."""
         path = self._write(table, df)
-        self.tables[table] = {"all": path}
-        return self.rows(path)
+        held = self._held(path)
+        self.tables[table] = {_slot_of(path): held}
+        return held["rows"]
 
-    def put_by(self, table: str, df: DataFrame, by: str, dropped: Callable[[str], bool]) -> None:
-        """Drop the slots `dropped` accepts, then fill one slot per value of `by`.
+    def replace_keys(self, table: str, key: str, touched: DataFrame, at_most: int, rebuilt: DataFrame) -> int:
+        """Make `rebuilt` all there is of the `touched` keys; the number of rows written.
+
+        Only slots that hold a touched key are rewritten. `touched` has the one column `key` and at
+        most `at_most` rows.
+        """
+        small = at_most <= keyed.BROADCAST_ROWS
+        keys = F.broadcast(touched.distinct()) if small else touched.distinct()
+        folder = F.regexp_extract("_metadata.file_path", rf"/{table}/([^/]+)/", 1)
+        holding = self.read(table).select(key, folder.alias("slot")).join(keys, key, "left_semi")
+        # As many rows as the table has slots, at most.
+        hit = {row["slot"] for row in holding.select("slot").distinct().collect()}
+        kept = self.read(table, lambda slot: slot in hit).join(keys, key, "left_anti")
+        slots = {slot: held for slot, held in self.tables.get(table, {}).items() if slot not in hit}
+        path = self._write(table, rebuilt.unionByName(kept))
+        held = self._held(path)
+        self.tables[table] = {**slots, _slot_of(path): held} if held["rows"] else slots
+        return held["rows"]
+
+    def put_by(self, table: str, df: DataFrame, by: Column, dropped: Callable[[str], bool]) -> int:
+        """Drop the slots `dropped` accepts, then fill one slot per value of `by`; the number of rows.
 
         A slot that gets no rows stays dropped.
         """
         path = self._write(table, df, by)
-        kept = {slot: p for slot, p in self.tables.get(table, {}).items() if not dropped(slot)}
-        for name in self.lake.folders.names(f"{self.lake.root}/{path}"):
+        folder = f"{self.lake.root}/{path}"
+        kept = {slot: held for slot, held in self.tables.get(table, {}).items() if not dropped(slot)}
+        written = 0
+        for name in self.lake.folders.names(folder):
             if name.startswith("slot="):
-                kept[name.removeprefix("slot=")] = f"{path}/{name}"
+                # Slot values are dates and numbers of ours, so folder names need no unescaping.
+                kept[name.removeprefix("slot=")] = {"path": f"{path}/{name}", "rows": None}
+        if any(held["rows"] is None for held in kept.values()):
+            counted = self.spark.read.parquet(folder).groupBy("slot").count().collect()
+            for row in counted:
+                kept[str(row["slot"])]["rows"] = row["count"]
+                written += row["count"]
         self.tables[table] = kept
+        return written
 
     def commit(self) -> None:
         """Publish everything. Fails when another run has committed since this one began."""

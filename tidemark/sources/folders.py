@@ -19,6 +19,9 @@ class Folders:
     def exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
 
+    def make(self, path: str) -> None:
+        self._fs(path).mkdirs(self._path(path))
+
     def names(self, path: str) -> list[str]:
         """Names in a folder, sorted; none when it does not exist."""
         if not self.exists(path):

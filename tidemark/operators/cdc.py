@@ -72,41 +72,48 @@ def ticket_state(changes: DataFrame) -> DataFrame:
     )
 
 
+_VERSION = ("ticket_id", "_lsn", "_op", "_changed_at", "priority", "status", "category", "_ingested_at", "_kafka_offset")
+
+
 def scd2(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Every version of every ticket with the time it was valid; a delete is a version too."""
-    versions = once_per_change(changes).select(
+    """Every version of every ticket with the time it was valid; a delete is a version too.
+
+    The log is shuffled once, by ticket; removing redeliveries and closing versions both work on that.
+    Tickets with more changes than one task should sort are cut into slices of their sequence numbers.
+    """
+    log = changes.select(*_VERSION)
+    cuts = hot_cuts(log.select("ticket_id", "_lsn"), ["ticket_id"], F.col("_lsn"), hot_rows)
+    if cuts is None:
+        closed = _close_versions(once_per_change(log.repartition("ticket_id")))
+    else:
+        cold, hot = split_hot(log, ["ticket_id"], cuts, F.col("_lsn"))
+        closed = _close_versions(once_per_change(cold.repartition("ticket_id")))
+        closed = closed.unionByName(_close_sliced_versions(once_per_change(hot)))
+    return closed.select(
         "ticket_id",
         "priority",
         "status",
         "category",
         (F.col("_op") == "d").alias("is_deleted"),
         F.col("_changed_at").alias("valid_from"),
+        "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
         "_lsn",
     )
-    cuts = hot_cuts(versions, ["ticket_id"], F.col("_lsn"), hot_rows)
-    if cuts is None:
-        closed = _close_versions(versions)
-    else:
-        cold, hot = split_hot(versions, ["ticket_id"], cuts, F.col("_lsn"))
-        closed = _close_versions(cold).unionByName(_close_sliced_versions(hot))
-    return closed.select(
-        "ticket_id", "priority", "status", "category", "is_deleted", "valid_from", "valid_to",
-        F.col("valid_to").isNull().alias("is_current"), "_lsn",
-    )
 
 
 def _close_versions(versions: DataFrame) -> DataFrame:
     by_lsn = Window.partitionBy("ticket_id").orderBy("_lsn")
-    return versions.withColumn("valid_to", F.lead("valid_from").over(by_lsn))
+    return versions.withColumn("valid_to", F.lead("_changed_at").over(by_lsn))
 
 
 def _close_sliced_versions(hot: DataFrame) -> DataFrame:
     """As `_close_versions`, slice by slice; the last version of a slice is closed by the next slice's first."""
     by_lsn = Window.partitionBy("ticket_id", "_slice").orderBy("_lsn")
-    heads = hot.groupBy("ticket_id", "_slice").agg(F.min_by("valid_from", "_lsn").alias("_head"))
+    heads = hot.groupBy("ticket_id", "_slice").agg(F.min_by("_changed_at", "_lsn").alias("_head"))
     by_slice = Window.partitionBy("ticket_id").orderBy("_slice")
     following = heads.select("ticket_id", "_slice", F.lead("_head").over(by_slice).alias("_next"))
-    inside = hot.withColumn("_after", F.lead("_lsn").over(by_lsn)).withColumn("_to", F.lead("valid_from").over(by_lsn))
+    inside = hot.withColumn("_after", F.lead("_lsn").over(by_lsn)).withColumn("_to", F.lead("_changed_at").over(by_lsn))
     joined = inside.join(following, ["ticket_id", "_slice"])
     closing = F.when(F.col("_after").isNull(), F.col("_next")).otherwise(F.col("_to"))
     return joined.select(*[c for c in hot.columns if c != "_slice"], closing.alias("valid_to"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import parsed
 from tidemark.functions.text import chunk_words, hash_embed, mask_pii, text_hash, transcript_text
-from tidemark.operators.keyed import latest_by
+from tidemark.operators.keyed import concerned, latest_by, unseen
 
 # Fixed values of the document index.
 MODEL_VERSION = "hash-embed-v1"
@@ -53,14 +53,17 @@ def split_chunks(texts: DataFrame, size: int = CHUNK_SIZE, overlap: int = CHUNK_
     return pieces.withColumn("text_hash", text_hash(F.col("chunk_text")))
 
 
-def missing_embeddings(chunks: DataFrame, cache: DataFrame, model_version: str = MODEL_VERSION) -> DataFrame:
+def missing_embeddings(
+    chunks: DataFrame, cache: DataFrame, model_version: str = MODEL_VERSION, at_most: int | None = None
+) -> DataFrame:
     """The distinct (text_hash, chunk_text) the cache has no embedding of this model for.
 
     Copies collapse before the shuffle, so a text that occurs in a third of all chunks is one row here.
+    `at_most` is a bound on the number of chunks, if known; few chunks spare the cache its shuffle.
     """
     known = cache.where(F.col("model_version") == model_version).select("text_hash")
     distinct = chunks.groupBy("text_hash").agg(F.min("chunk_text").alias("chunk_text"))
-    return distinct.join(known, "text_hash", "left_anti")
+    return unseen(known, distinct, "text_hash", at_most)
 
 
 def hash_model(texts: DataFrame) -> DataFrame:
@@ -72,10 +75,12 @@ def embed(texts: DataFrame, model: Model = hash_model, model_version: str = MODE
     return model(texts).select("text_hash", F.lit(model_version).alias("model_version"), "embedding")
 
 
-def with_embeddings(chunks: DataFrame, cache: DataFrame, model_version: str = MODEL_VERSION) -> DataFrame:
+def with_embeddings(
+    chunks: DataFrame, cache: DataFrame, model_version: str = MODEL_VERSION, at_most: int | None = None
+) -> DataFrame:
     """Chunks joined to their cached embedding of this model.
 
     The cache has one row per hash and model, so a hot hash is split by the skew join, not multiplied.
     """
-    current = cache.where(F.col("model_version") == model_version)
+    current = concerned(cache.where(F.col("model_version") == model_version), chunks, "text_hash", at_most)
     return chunks.join(current, "text_hash").withColumnRenamed("model_version", "embedding_model_version")

@@ -53,7 +53,7 @@ def matching(state: DataFrame, batch: DataFrame, key: str, at_most: int | None)
     return state.join(keys, key, "left_semi").select(*state.columns)
 
 
-def _concerned(state: DataFrame, batch: DataFrame, key: str, at_most: int | None) -> DataFrame:
+def concerned(state: DataFrame, batch: DataFrame, key: str, at_most: int | None) -> DataFrame:
     """The state rows to compare a batch with: filtered by a small batch, all for any other.
 
     For a large batch the join that follows does the filtering, so that the state is shuffled once.
@@ -68,8 +68,8 @@ def newer_than_state(state: DataFrame, batch: DataFrame, key: str, version: str,
     An equal or older version never wins, so replaying an old batch yields nothing. `batch` has one
     row per key and at most `at_most` rows; of the state only key and version are read.
     """
-    concerned = _concerned(state.select(key, version), batch, key, at_most)
-    known = concerned.groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
+    met = concerned(state.select(key, version), batch, key, at_most)
+    known = met.groupBy(F.col(key).alias("_k")).agg(F.max(version).alias("_v"))
     joined = batch.join(known, F.col(key) == F.col("_k"), "left")
     return joined.where(F.col("_k").isNull() | (F.col(version) > F.col("_v"))).drop("_k", "_v")
 
@@ -88,7 +88,7 @@ def above_high_water_mark(state: DataFrame, batch: DataFrame, version: str) -> D
 
 def unseen(state: DataFrame, batch: DataFrame, key: str, at_most: int | None = None) -> DataFrame:
     """The batch rows whose key the state does not hold. Of the state only the key is read."""
-    known = _concerned(state.select(key), batch, key, at_most)
+    known = concerned(state.select(key), batch, key, at_most)
     return batch.join(known, key, "left_anti").select(*batch.columns)
 
 

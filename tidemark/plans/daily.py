@@ -135,10 +135,10 @@ class Warehouse:
             keyed.latest_by(keyed.matching(transcripts, touched, "ticket_id", at_most), ["ticket_id"], [F.col("exported_at")]),
             keyed.latest_by(keyed.matching(tickets, touched, "ticket_id", at_most), ["ticket_id"], [F.col("_lsn")]),
         )
-        pieces = chunks.split_chunks(live)
-        missing = chunks.missing_embeddings(pieces, run.read("embedding_cache"), model_version)
+        pieces, n_pieces = run.aside(chunks.split_chunks(live))
+        missing = chunks.missing_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
         embedded = run.append("embedding_cache", chunks.embed(missing, model, model_version))
-        indexed = chunks.with_embeddings(pieces, run.read("embedding_cache"), model_version)
+        indexed = chunks.with_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
         run.replace_keys("gold_doc_chunks", "ticket_id", touched, at_most, indexed)
         return {"chunks": run.rows("gold_doc_chunks"), "embedded_new": embedded}
 

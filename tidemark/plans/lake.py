@@ -97,6 +97,13 @@ class Run:
             rows.withColumn("slot", by.cast("string")).write.partitionBy("slot").parquet(f"{self.lake.root}/{path}")
         return path
 
+    def aside(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """`df` written to a folder of no table, for results a run needs more than once; and its rows."""
+        self._written += 1
+        path = f"_aside/{self.id}-{self._written:03d}"
+        df.write.parquet(f"{self.lake.root}/{path}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.lake.root}/{path}"), self._held(path)["rows"]
+
     def _held(self, path: str) -> dict:
         # A count of Parquet rows reads the file footers only.
         return {"path": path, "rows": self.spark.read.parquet(f"{self.lake.root}/{path}").count()}

@@ -117,6 +117,9 @@ def test_times(spark):
     iso = ["2026-08-12T21:10:00Z", "2026-08-12T21:10:00+07:00", "2026-08-12 21:10:00.5", "2026-08-12", "soon", "2026", None]
     got = [str(r[0]) for r in over(spark, iso, times.from_iso(F.col("s")))]
     assert got == ["2026-08-12 21:10:00", "2026-08-12 14:10:00", "2026-08-12 21:10:00.500000", "2026-08-12 00:00:00", "None", "None", "None"]
+    unix = ["1786784402", "1786784402000", "-5.5", "20000000000", "x1", "2026-08-12T21:10:00Z"]
+    got = [str(r[0]) for r in over(spark, unix, times.from_event_time(F.col("s")))]
+    assert got == ["2026-08-15 09:00:02", "2026-08-15 09:00:02", "1969-12-31 23:59:54.500000", "2603-10-11 11:33:20", "None", "2026-08-12 21:10:00"]
     row = spark.range(1).select(times.from_millis(F.lit(1786784402000)), times.from_micros(F.lit(1786784402000001))).first()
     assert [str(v) for v in row] == ["2026-08-15 09:00:02", "2026-08-15 09:00:02.000001"]
     assert times.days_between("2026-08-30", "2026-09-01") == ["2026-08-30", "2026-08-31", "2026-09-01"]

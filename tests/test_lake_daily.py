@@ -154,6 +154,12 @@ def test_no_personal_data_behind_bronze(built):
     assert {r["n_leaks"] for r in warehouse.pii_leaks().collect()} == {0}
 
 
+def test_promises_of_the_tables_hold(built):
+    warehouse, _, _ = built
+    tests = warehouse.table_tests().collect()
+    assert len(tests) == 14 and {r["violations"] for r in tests} == {0}
+
+
 def test_old_days_run_again_change_nothing(built):
     warehouse, days, _ = built
     sums = rerun_check(warehouse, days[0], times=2)

@@ -24,6 +24,8 @@ CASES = [
     ({k: v for k, v in OK.items() if k != "type"}, "type: Field required"),
     ({**OK, "ticket_id": 5}, "ticket_id: Input should be a valid string"),
     ({**OK, "page": ["x"]}, "page: Input should be a valid string"),
+    ({**OK, "event_time": 1786784402}, None),
+    ({**OK, "event_time": True}, "event_time: Input should be a valid datetime"),
     ({**OK, "event_time": "yesterday"}, "event_time: Input should be a valid datetime"),
     ({k: v for k, v in OK.items() if k != "event_time"}, "event_time: Field required"),
     ({**OK, "rating": "meh", "event_time": "yesterday"}, "rating: Input should be 'up' or 'down'"),
@@ -48,7 +50,7 @@ def test_every_rule_and_its_reason(spark):
 def test_split_is_complete_and_types_the_time(spark):
     gated = quality.gate_events(bronze(spark, [json.dumps({"value": v}) for v, _ in CASES]))
     valid, bad = quality.valid_events(gated), quality.quarantined_events(gated)
-    assert valid.count() == 2 and bad.count() == len(CASES) - 2
+    assert valid.count() == 3 and bad.count() == len(CASES) - 3
     assert str(valid.first()["event_time"]) == "2026-08-12 21:10:00"
     assert bad.where(F.col("event_id").isNull() & F.col("_payload").isNull()).count() == 0
 

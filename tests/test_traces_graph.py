@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import graph, traces
+from tidemark.plans.flywheel import flywheel
 from tidemark.sources.documents import read_documents, read_trace_export, write_jsonl
 
 
@@ -63,6 +64,20 @@ def test_summary_eval_pairs_and_decontamination(spark, rows, tmp_path):
     assert rows(traces.decontaminate(pairs, traces.eval_set(spans))) == [("two", "good2", None)]
 
 
+@pytest.mark.parametrize("name", ["traces.json", "traces.jsonl"])
+def test_flywheel_from_traces_to_data_sets(spark, tmp_path, name):
+    from test_features import sample
+
+    turns = [turn("1", "q one?", answer="good1", split="eval"), turn("2", "Q one?", "error", "bad1"), turn("3", "two", answer="first"), turn("4", "two", "error", "bad"), turn("5", "two", answer="second")]
+    text = json.dumps(turns) if name.endswith(".json") else "\n".join(json.dumps(t) for t in turns) + "\n\n"
+    (tmp_path / name).write_text(text, encoding="utf-8")
+    out = str(tmp_path / "out")
+    got = flywheel(spark, str(tmp_path / name), out, *sample(spark))
+    assert got == {"n_spans": 5, "n_traces": 5, "n_eval": 1, "n_pairs_raw": 2, "n_pref": 1, "leaks": 2}
+    pair = json.loads(spark.read.text(f"{out}/preference_pairs").first()[0])
+    assert pair == {"prompt": "two", "chosen": "first", "rejected": "bad"}
+
+
 def test_summary(spark, rows, tmp_path):
     child = span("c", attributes={"gen_ai.usage.input_tokens": 3, "gen_ai.usage.output_tokens": 4}, status="error")
     spans = land(spark, tmp_path, [span("r", child, trace_id="x", duration_ms=7, attributes={"input": "i"})])

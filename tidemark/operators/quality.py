@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.records import once
 from tidemark.functions.text import has_pii
-from tidemark.functions.times import from_iso
+from tidemark.functions.times import from_event_time
 
 # The reasons a record is refused for.
 MISSING = "Field required"
@@ -82,7 +82,7 @@ def _reason() -> Column:
         F.when(has_rating, _one_of("rating", ("up", "down"), NOT_RATING)),
         _optional_text("page"),
         _fail("event_time", _kind("event_time").isNull(), MISSING),
-        _fail("event_time", from_iso(F.col("event_time")).isNull(), NOT_TIME),
+        _fail("event_time", from_event_time(F.col("event_time")).isNull(), NOT_TIME),
         _fail("record", (F.col("type") == "feedback") & ~has_rating, NEEDS_RATING),
         _fail("record", (F.col("type") == "click") & has_rating, HAS_RATING),
     )
@@ -98,7 +98,7 @@ def gate_events(bronze: DataFrame) -> DataFrame:
     asked = read.select("*", once(_facts(F.col("j"))).alias("f")).select("*", "f.*")
     return asked.select(
         *[f for f in _FIELDS if f != "event_time"],
-        from_iso(F.col("event_time")).alias("event_time"),
+        from_event_time(F.col("event_time")).alias("event_time"),
         _reason().alias("reason"),
         "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload",
     )

@@ -15,8 +15,10 @@ _TYPES = {
     "DATE": T.DateType(),
     "TIMESTAMP_NTZ": T.TimestampNTZType(),
     "ARRAY<DOUBLE>": T.ArrayType(T.DoubleType()),
-    # Order of arrival: the file and the position in it.
-    "ORDINAL": T.StructType([T.StructField("file", T.StringType()), T.StructField("pos", T.LongType())]),
+    # Order of arrival: the file, the block of it one task reads, and the position in that.
+    "ORDINAL": T.StructType(
+        [T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("pos", T.LongType())]
+    ),
 }
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,12 @@ from tidemark.sources.landing import Bronze
 
 # Days every run recomputes behind its own: the 99th percentile of measured lateness, rounded up.
 LOOKBACK_DAYS = 3
+# What the attributes of a ticket may be, apart from null.
+TICKET_DOMAINS = {
+    "priority": ["low", "medium", "high"],
+    "status": ["open", "pending", "closed"],
+    "category": ["bug", "billing", "other"],
+}
 # A merged table with more slots than this is rewritten as one.
 MAX_SLOTS = 32
 
@@ -202,6 +209,23 @@ class Warehouse:
     def lateness(self) -> dict:
         return features.lateness_profile(features.event_lateness(self.bronze.scan("events"))).first().asDict()
 
+    def table_tests(self) -> DataFrame:
+        """(`table_name`, `rule`, `violations`) for the promises the tables make; all should be 0."""
+        tested = {
+            "silver_tickets": quality.table_tests(
+                self.tickets(self.lake), not_null=["ticket_id", "is_deleted", "_lsn"], accepted=TICKET_DOMAINS, unique=[["ticket_id"]]
+            ),
+            "silver_events": quality.table_tests(
+                self.lake.read("silver_events"), not_null=["event_id", "user_id"], unique=[["event_id"]]
+            ),
+            "gold_feature_daily": quality.table_tests(
+                self.lake.read("gold_feature_daily"), not_null=["user_id", "event_date"], unique=[["user_id", "event_date"]]
+            ),
+            "gold_doc_chunks": quality.table_tests(self.lake.read("gold_doc_chunks"), unique=[["ticket_id", "chunk_idx"]]),
+        }
+        named = [df.select(F.lit(name).alias("table_name"), "rule", "violations") for name, df in tested.items()]
+        return reduce(DataFrame.unionByName, named)
+
     def pii_leaks(self) -> DataFrame:
         """Texts with personal data left in any table behind Bronze."""
         return quality.pii_scan(

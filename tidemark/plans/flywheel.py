@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import features, traces
 from tidemark.operators.schemas import TABLES, conform
-from tidemark.sources.documents import read_trace_export, write_jsonl
+from tidemark.sources.documents import read_trace_export, read_trace_lines, write_jsonl
 
 
 def flywheel(spark: SparkSession, trace_path: str, out: str, events: DataFrame, history: DataFrame) -> dict:
@@ -16,7 +16,8 @@ def flywheel(spark: SparkSession, trace_path: str, out: str, events: DataFrame,
     `events` are (user_id, event_ts, ...), `history` (user_id, valid_from, lifetime_spend).
     """
     spans_path = f"{out}/bronze_agent_spans"
-    flat = traces.flatten_spans(read_trace_export(spark, trace_path))
+    read = read_trace_lines if trace_path.endswith(".jsonl") else read_trace_export
+    flat = traces.flatten_spans(read(spark, trace_path))
     conform(flat, TABLES["bronze_agent_spans"]).write.parquet(spans_path)
     spans = spark.read.schema(TABLES["bronze_agent_spans"]).parquet(spans_path)
     held_out = traces.eval_set(spans)

@@ -15,8 +15,22 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> D
 
 
 def read_trace_export(spark: SparkSession, path: str) -> DataFrame:
-    """Root spans of trace exports in order of arrival."""
-    return read_json_array(spark, path).select(F.struct("file", "pos").alias("trace_ord"), F.col("record").alias("root"))
+    """Root spans of trace exports, files of one JSON array each, in order of arrival."""
+    arrays = read_json_array(spark, path).withColumn("block", F.lit(0).cast("bigint"))
+    return arrays.select(F.struct("file", "block", "pos").alias("trace_ord"), F.col("record").alias("root"))
+
+
+def read_trace_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Root spans of trace exports with one span tree per line, the form to prefer: files can be split."""
+    lines = spark.read.text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        # Rises along the lines of a block, which is all that is asked of it.
+        F.monotonically_increasing_id().alias("pos"),
+    )
+    kept = lines.where(F.trim("value") != "")
+    return kept.select(F.struct("file", "block", "pos").alias("trace_ord"), F.parse_json("value").alias("root"))
 
 
 def write_jsonl(df: DataFrame, folder: str) -> int:

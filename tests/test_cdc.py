@@ -104,3 +104,10 @@ def test_snapshot_shuffles_the_log_once(spark):
     snapshot = cdc.training_snapshot(changes(spark, [change("c", 1, "2024-03-01T08:00:00", "A", row)]), no_events(spark), "2024-03-01")
     plan = snapshot._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(ticket_id") <= 2
+
+
+def test_history_shuffles_the_log_once(spark):
+    row = ticket_row("A", "2024-03-01T07:00:00")
+    history = cdc.scd2(changes(spark, [change("c", 1, "2024-03-01T08:00:00", "A", row)]))
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

@@ -86,3 +86,19 @@ def test_asof_needs_one_shuffle_and_no_join(spark):
     out = features.asof_join(events, history, ["user_id"], "event_ts", "valid_from", ["lifetime_spend"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_slices_of_a_hot_key_are_of_similar_size(spark):
+    from tidemark.operators.hot import hot_cuts, split_hot
+
+    line = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") * F.col("id")).alias("o"))
+    cuts = hot_cuts(line, ["k"], F.col("o"), hot_rows=1000)
+    assert [r["k"] for r in cuts.collect()] == ["hot"]
+    cold, hot = split_hot(line, ["k"], cuts, F.col("o"))
+    assert cold.count() + hot.count() == 40_000
+    sizes = [r["count"] for r in hot.groupBy("_slice").count().collect()]
+    assert len(sizes) > 500 and max(sizes) < 10 * sum(sizes) / len(sizes)
+    # Slices follow the order: no row of a slice precedes a row of an earlier one.
+    bounds = hot.groupBy("_slice").agg(F.min("o").alias("a"), F.max("o").alias("b")).orderBy("_slice").collect()
+    assert all(x["b"] < y["a"] for x, y in zip(bounds, bounds[1:]))
+    assert hot_cuts(line, ["k"], F.col("o"), hot_rows=20_000) is None

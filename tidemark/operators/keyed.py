@@ -6,7 +6,7 @@ sends at most one row per key. A key that holds a third of all rows costs no mor
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,17 +23,21 @@ def _rank(order: Sequence[Column], last_wins: bool) -> Column:
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the smallest by `order`, nulls last. `order` should be total per key."""
-    return _pick(df, keys, F.min_by(F.struct(*df.columns), _rank(order, last_wins=False)))
+    return _pick(df, keys, lambda row: F.min_by(row, _rank(order, last_wins=False)))
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key: the greatest by `order`, null counting as smallest."""
-    return _pick(df, keys, F.max_by(F.struct(*df.columns), _rank(order, last_wins=True)))
+    return _pick(df, keys, lambda row: F.max_by(row, _rank(order, last_wins=True)))
 
 
-def _pick(df: DataFrame, keys: Sequence[str], chosen: Column) -> DataFrame:
-    picked = df.groupBy(*keys).agg(chosen.alias("_row"))
-    return picked.select(*[F.col("_row")[c].alias(c) for c in df.columns])
+def _pick(df: DataFrame, keys: Sequence[str], choose: Callable[[Column], Column]) -> DataFrame:
+    # Keys come from the grouping itself, so that later joins and windows on them need no new shuffle.
+    others = [c for c in df.columns if c not in keys]
+    if not others:
+        return df.distinct()
+    picked = df.groupBy(*keys).agg(choose(F.struct(*others)).alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 # A batch of at most this many rows may send its keys to every executor; a key and its slot in the
@@ -97,9 +101,9 @@ def insert_new(
 ) -> DataFrame:
     """What an insert-only merge appends: the first row of every key never seen before.
 
-    Known keys are dropped before the first rows are picked, so that only new rows are grouped.
+    Copies collapse first, before any shuffle; the join with the state then reuses their partitioning.
     """
-    return first_by(unseen(state, batch, key, at_most), [key], order)
+    return unseen(state, first_by(batch, [key], order), key, at_most)
 
 
 def overwrite_range(state: DataFrame, rebuilt: DataFrame, column: str, low: str, high: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.labels import PRICE_PER_1K_TOKENS, keyword_answer, parse_label, prompt, token_estimate
 from tidemark.functions.text import text_hash
+from tidemark.operators.keyed import unseen
 
 # The model that answers and the version of its prompt.
 MODEL = "fake-llm-2026-09"
@@ -35,12 +36,21 @@ def with_input_hash(texts: DataFrame) -> DataFrame:
     return texts.withColumn("input_hash", text_hash(F.col("text")))
 
 
-def unanswered(texts: DataFrame, cache: DataFrame, model: str = MODEL, prompt_version: str = PROMPT_VERSION) -> DataFrame:
-    """The distinct inputs without a cached answer of this model and prompt version."""
+def unanswered(
+    texts: DataFrame,
+    cache: DataFrame,
+    model: str = MODEL,
+    prompt_version: str = PROMPT_VERSION,
+    at_most: int | None = None,
+) -> DataFrame:
+    """The distinct inputs without a cached answer of this model and prompt version.
+
+    `at_most` is a bound on the number of texts, if known; few texts spare the cache its shuffle.
+    """
     asked = cache.where((F.col("model") == model) & (F.col("prompt_version") == prompt_version))
     inputs = with_input_hash(texts).where(F.col("text").isNotNull())
     distinct = inputs.groupBy("input_hash").agg(F.min("text").alias("text"))
-    fresh = distinct.join(asked.select("input_hash"), "input_hash", "left_anti")
+    fresh = unseen(asked, distinct, "input_hash", at_most)
     return fresh.withColumn("prompt", prompt(F.col("text")))
 
 

@@ -31,6 +31,18 @@ class SnapshotImmutableError(RuntimeError):
     """A rebuilt training snapshot differs from the one already published."""
 
 
+def merge_tickets(run: Run, table: str, batch: DataFrame, version: str, at_most: int) -> int:
+    """Guarded upsert by ticket that writes the winning rows only; reads key and version of the state.
+
+    `batch` has one row per ticket and at most `at_most` rows.
+    """
+    winners = keyed.newer_than_state(run.read(table), batch, "ticket_id", version, at_most)
+    written = run.append(table, winners)
+    if len(run.slots(table)) > MAX_SLOTS:
+        run.replace(table, keyed.latest_by(run.read(table), ["ticket_id"], [F.col(version)]))
+    return written
+
+
 class Warehouse:
     """Bronze and the tables built from it."""
 
@@ -64,19 +76,11 @@ class Warehouse:
     def transcripts(self, tables: Run | Lake) -> DataFrame:
         return keyed.latest_by(tables.read("silver_transcripts"), ["ticket_id"], [F.col("exported_at")])
 
-    def _merge(self, run: Run, table: str, batch: DataFrame, version: str, at_most: int) -> int:
-        """Guarded upsert that writes the winning rows only; reads key and version of the state."""
-        winners = keyed.newer_than_state(run.read(table), batch, "ticket_id", version, at_most)
-        written = run.append(table, winners)
-        if len(run.slots(table)) > MAX_SLOTS:
-            run.replace(table, keyed.latest_by(run.read(table), ["ticket_id"], [F.col(version)]))
-        return written
-
     def upsert_tickets(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
         batch = cdc.ticket_state(run.read("stage_ticket_changes", of_day))
         at_most = run.rows("stage_ticket_changes", of_day)
-        return {"applied": self._merge(run, "silver_tickets", batch, "_lsn", at_most)}
+        return {"applied": merge_tickets(run, "silver_tickets", batch, "_lsn", at_most)}
 
     def build_history(self, run: Run, days: list[str]) -> dict:
         """Bring the history of all tickets changed in the batches `days` up to date."""
@@ -102,7 +106,7 @@ class Warehouse:
     def upsert_transcripts(self, run: Run, day: str) -> dict:
         exports = self.bronze.scan("transcripts", batch=day)
         batch = chunks.latest_exports(chunks.decode_exports(exports))
-        return {"applied": self._merge(run, "silver_transcripts", batch, "exported_at", exports.count())}
+        return {"applied": merge_tickets(run, "silver_transcripts", batch, "exported_at", exports.count())}
 
     # Gold
 
@@ -158,7 +162,8 @@ class Warehouse:
         """Label every live ticket; only inputs new to this model and prompt version are asked."""
         run = self.lake.begin()
         texts = labelling.live_ticket_texts(self.tickets(run))
-        fresh = labelling.unanswered(texts, run.read("answer_cache"), model, prompt_version)
+        at_most = run.rows("silver_tickets")
+        fresh = labelling.unanswered(texts, run.read("answer_cache"), model, prompt_version, at_most)
         asked = run.append("answer_cache", labelling.answers(fresh, labeller, model, prompt_version))
         judged = labelling.judged(texts, run.read("answer_cache"), model, prompt_version)
         labelled = run.replace("gold_ticket_labels", labelling.gold_labels(judged))

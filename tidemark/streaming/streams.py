@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators import cdc
-from tidemark.operators.keyed import latest_by, newer_than_state
+from tidemark.operators.keyed import latest_by
+from tidemark.plans.daily import merge_tickets
 from tidemark.plans.lake import Lake
 from tidemark.sources.landing import kafka_records
 
@@ -42,7 +43,7 @@ def upsert_tickets_stream(bronze: DataFrame, lake: Lake, checkpoint: str) -> Str
     def merge(records: DataFrame, _epoch: int) -> None:
         run = lake.begin()
         batch = cdc.ticket_state(cdc.decode_changes(records))
-        run.append("silver_tickets", newer_than_state(run.read("silver_tickets"), batch, "ticket_id", "_lsn"))
+        merge_tickets(run, "silver_tickets", batch, "_lsn", at_most=records.count())
         run.commit()
 
     return bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

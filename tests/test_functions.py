@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+from collections import Counter
 
 import pytest
 from hypothesis import given, settings
@@ -26,11 +27,10 @@ def windows(s, size, overlap):
 
 
 def embedding(s):
-    counts = [0] * 16
-    for token in re.findall(r"\w+", s.lower()):
-        counts[int(hashlib.md5(token.encode()).hexdigest(), 16) % 16] += 1
-    norm = math.sqrt(sum(c * c for c in counts)) or 1.0
-    return [round(c / norm, 6) for c in counts]
+    # The low four bits of the digest's last byte are the digest modulo 16.
+    buckets = Counter(hashlib.md5(token.encode()).digest()[-1] & 15 for token in re.findall(r"\w+", s.lower()))
+    length = math.hypot(*(buckets[b] for b in range(16)))
+    return [round(buckets[b] / length, 6) if length else 0.0 for b in range(16)]
 
 
 @settings(max_examples=15, deadline=None)
@@ -92,12 +92,10 @@ def test_long_run_without_an_at_sign_is_scanned_in_linear_time(spark):
 
 
 def python_sentences(s):
-    out = []
-    for line in s.splitlines():
-        line = line.strip()
-        if line and not line.startswith("#"):
-            out += [p.strip() for p in re.split(r"(?<=[.!?])\s+", line) if p.strip()]
-    return out
+    # White space after a stop becomes a line break; what is left of headings and blanks goes.
+    lines = [line.strip() for line in s.splitlines()]
+    broken = "\n".join(re.sub(r"([.!?])\s+", r"\1\n", line) for line in lines if line[:1] != "#")
+    return [sentence.strip() for sentence in broken.split("\n") if sentence.strip()]
 
 
 @settings(max_examples=15, deadline=None)

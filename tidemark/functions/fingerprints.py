@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,4 @@ def checksum(df: DataFrame) -> str:
 
 def combined_checksum(checksums: list[str]) -> str:
     """One checksum for several tables, in the given order."""
-    import hashlib
-
     return hashlib.md5("|".join(checksums).encode()).hexdigest()

@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality
+from tidemark.operators.keyed import latest_by
 from tidemark.plans.daily import Warehouse
 from tidemark.plans.lake import Lake
 from tidemark.queries.events import _FEATURES, _day_as_text
 from tidemark.queries.inputs import CHANGE_SQL, EVENT_SQL, change_lines, event_lines, export_objects
 from tidemark.queries.registry import Registry
 from tidemark.session import shared_folder
+from tidemark.sources.landing import kafka_records
 from tidemark.streaming import streams
 
 registry = Registry()
@@ -29,7 +31,7 @@ def _work_folder(spark: SparkSession) -> str:
 
 
 def _deliver(spark: SparkSession, sf: str, folder: str) -> Warehouse:
-    """Ticket and event records as one delivery each; exports likewise, one array per file."""
+    """The records of each source as one delivery, in lines."""
     event_lines(spark, sf).write.text(f"{folder}/in/events/{DAY}.jsonl")
     change_lines(spark, sf).write.text(f"{folder}/in/cdc/tickets/{DAY}.jsonl")
     export_objects(spark, sf).write.text(f"{folder}/in/transcripts/{DAY}.jsonl")
@@ -105,16 +107,12 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, f"{folder}/lake")
     bronze = spark.readStream.schema(schema).parquet(f"{folder}/bronze")
     streams.finish(streams.upsert_tickets_stream(bronze, lake, f"{folder}/c2"))
-    from tidemark.operators.keyed import latest_by
-
     state = latest_by(lake.read("silver_tickets"), ["ticket_id"], [F.col("_lsn")])
     return state.select("ticket_id", "is_deleted", F.col("_lsn").alias("lsn"))
 
 
 def _event_stream(spark: SparkSession, sf: str, folder: str) -> DataFrame:
     event_lines(spark, sf).write.text(f"{folder}/in")
-    from tidemark.sources.landing import kafka_records
-
     records = kafka_records(spark.readStream.text(f"{folder}/in"), "events", DAY, with_op=False)
     return quality.valid_events(quality.gate_events(records))
 
@@ -132,7 +130,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(once.schema).parquet(f"{folder}/out")
 
 
-@registry.query(f"{_FEATURES.replace('count(*)', '2 * count(*)')} FROM ({EVENT_SQL}) WHERE reason IS NULL GROUP BY ALL".replace("2 * count(*) FILTER", "2 * count(*) FILTER"))
+@registry.query(f"{_FEATURES.replace('count(*)', '2 * count(*)')} FROM ({EVENT_SQL}) WHERE reason IS NULL GROUP BY ALL")
 def stream_feature_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Daily features kept up to date by a stream that counts every delivery."""
     folder = _work_folder(spark)

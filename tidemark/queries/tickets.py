@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc, keyed
+from tidemark.operators import cdc, keyed, quality
 from tidemark.queries.events import silver_events
 from tidemark.queries.inputs import CHANGE_SQL, EVENT_SQL, bronze_tickets, ticket_changes
 from tidemark.queries.registry import Registry
@@ -119,6 +119,4 @@ SELECT 2 * count(*) AS n_records, 2 * count(*) FILTER (WHERE event_type = 'view'
        count(*) AS n_redeliveries FROM events""")
 def bronze_profile(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records keep tombstones and redeliveries."""
-    from tidemark.operators.quality import bronze_profile as profile
-
-    return profile(bronze_tickets(spark, sf))
+    return quality.bronze_profile(bronze_tickets(spark, sf))

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 # A key with fewer rows than this is never cut.
 HOT_ROWS = 2_000_000
 _STEPS = (512, 256, 128, 64, 32, 16, 8, 4, 2, 1)
@@ -36,11 +38,13 @@ def hot_cuts(df: DataFrame, keys: Sequence[str], order: Column, hot_rows: int =
         return None
     hot_keys = df.sparkSession.createDataFrame(hot, counted.schema)
     fractions = [n / (_CUTS + 1) for n in range(1, _CUTS + 1)]
-    return (
+    cuts = (
         df.join(F.broadcast(hot_keys), list(keys), "left_semi")
         .groupBy(*keys)
         .agg(F.percentile_approx(order, fractions, 10 * _CUTS).alias("_cuts"))
     )
+    # Used on both sides of the split, and must be the same on both.
+    return cut_lineage(cuts)
 
 
 def slice_number(cuts: Column, value: Column) -> Column:

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.queries import all_oracles, all_queries
 
 SF = os.environ.get("TIDEMARK_TEST_TABLES", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -27,10 +28,15 @@ def normalised(columns, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(all_queries()) == set(all_oracles())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_the_contract_holds_all_queries():
+    assert set(all_queries()) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+
+
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_agrees_with_its_sql(spark, name):
     df = entry_points.queries()[name](spark, SF)
     con = duckdb.connect()

@@ -21,9 +21,9 @@ from tidemark.llm.common import WordHashes, chunks, mix64, ngrams, row_hash, sma
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-# 40 bands of 6: a pair at 0.8 shares none of them with probability 0.738 ** 40 = 5e-6, a pair at 0.3
-# shares one with 3 %.
-BANDS, ROWS_PER_BAND = 40, 6
+# 32 bands of 5: a pair at 0.8 shares none of them with probability 0.672 ** 32 = 3e-6, a pair at 0.3
+# shares one with 8 %.
+BANDS, ROWS_PER_BAND = 32, 5
 # Shingles worked on at once in a task; a longer text is worked on alone.
 _CHUNK = 200_000
 
@@ -167,7 +167,7 @@ def near_duplicate_roots(signed: DataFrame, docs: DataFrame, doc_id: str, text:
     # Nodes of buckets that one pivot has not made one class meet again, by what is rare in them.
     unsettled = _still_open(buckets, roots).select("node").distinct()
     again = node_texts.join(unsettled, "node")
-    buckets, each, seen = store(_rare_buckets(again, n, similarity)), 1, checked.select("a", "b")
+    buckets, each, seen = store(_rare_buckets(again, n, similarity)), 8, checked.select("a", "b")
     part = similarity / (1 + similarity)
     while True:
         held = store(_still_open(buckets, roots))

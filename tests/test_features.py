@@ -97,8 +97,26 @@ def test_slices_of_a_hot_key_are_of_similar_size(spark):
     cold, hot = split_hot(line, ["k"], cuts, F.col("o"))
     assert cold.count() + hot.count() == 40_000
     sizes = [r["count"] for r in hot.groupBy("_slice").count().collect()]
-    assert len(sizes) > 500 and max(sizes) < 10 * sum(sizes) / len(sizes)
+    # As many slices as the key has thousands of rows, to the next power of two.
+    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / len(sizes)
     # Slices follow the order: no row of a slice precedes a row of an earlier one.
     bounds = hot.groupBy("_slice").agg(F.min("o").alias("a"), F.max("o").alias("b")).orderBy("_slice").collect()
     assert all(x["b"] < y["a"] for x, y in zip(bounds, bounds[1:]))
     assert hot_cuts(line, ["k"], F.col("o"), hot_rows=20_000) is None
+
+
+def test_rows_without_a_key_go_around_the_time_lines(spark):
+    left = spark.sql("SELECT CAST(id AS INT) AS i, IF(id % 4 = 0, 'a', NULL) AS k, timestamp_seconds(id) AS t FROM range(4000)")
+    right = spark.sql("SELECT k, timestamp_seconds(1000) AS f, 7 AS v FROM VALUES ('a'), (NULL) AS x(k)")
+    out = features.asof_join(left, right, ["k"], "t", "f", ["v"], hot_rows=100)
+    got = {r["i"]: r["v"] for r in out.collect()}
+    assert len(got) == 4000 and all(v == (7 if i % 4 == 0 and i >= 1000 else None) for i, v in got.items())
+
+
+def test_unix_times_count_as_late_too(spark):
+    from tidemark.operators.schemas import BRONZE
+
+    lines = ['{"value": {"event_time": 1709287200}}', '{"value": {"event_time": "2024-03-01T10:00:00Z"}}', '{"value": {"event_time": 99999999999999999999}}']
+    bronze = spark.createDataFrame([("e", "d", datetime.datetime(2024, 3, 3), 0, 1, None, x) for x in lines], BRONZE)
+    assert [r[0] for r in features.event_lateness(bronze).collect()] == [2, 2]
+    assert tuple(features.lookback_check(features.event_lateness(bronze), 1).first()) == (2, 1, False)

@@ -1,10 +1,13 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from deliveries import change, three_days, ticket_row, write
+from deliveries import change, export, three_days, ticket_row, write
 from tidemark.functions.fingerprints import checksum
-from tidemark.operators import cdc, features
-from tidemark.plans.daily import LOOKBACK_DAYS, SnapshotImmutableError, Warehouse, rerun_check
+from tidemark.operators import cdc, chunks, features
+from tidemark.operators.keyed import newest_generation
+from tidemark.plans.daily import LOOKBACK_DAYS, SnapshotImmutableError, Warehouse, fresh_check, rerun_check
 from tidemark.plans.flywheel import feature_leaks
 from tidemark.plans.lake import Lake
 
@@ -54,23 +57,39 @@ def test_slots_of_dropped_values_do_not_survive(spark, tmp_path):
     assert [r["ticket_id"] for r in lake.read("gold_ticket_labels", lambda slot: slot == "D").collect()] == ["D"]
 
 
-@pytest.mark.parametrize("at_most", [3, 5_000_000])
-def test_keys_are_replaced_in_the_slots_that_hold_them(spark, tmp_path, at_most):
+def versions(spark, *tickets):
+    schema = "ticket_id string, priority string, status string, category string, is_deleted boolean, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, _lsn bigint"
+    return spark.createDataFrame([(t, p, None, None, False, None, None, True, 1) for t, p in tickets], schema)
+
+
+def test_keys_are_replaced_by_what_is_appended(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "silver_ticket_history" / "lake"))
+    batches = [(["A", "B"], versions(spark, ("A", "a1"), ("B", "b1"))), (["B", "C"], versions(spark, ("B", "b2"), ("B", "b3"))), (["C", "A"], versions(spark, ("C", "c3")))]
+    written, before = [], {}
+    for keys, rebuilt in batches:
+        run = lake.begin()
+        touched = spark.createDataFrame([(k,) for k in keys], "ticket_id string")
+        written.append(run.append_keys("silver_ticket_history", "ticket_id", touched, rebuilt))
+        run.commit()
+        # What was written before stays as it is.
+        assert before.items() <= lake.tables()["silver_ticket_history"].items()
+        before = lake.tables()["silver_ticket_history"]
+    held = newest_generation(lake.read("silver_ticket_history"), "ticket_id")
+    assert sorted((r["ticket_id"], r["priority"]) for r in held.collect()) == [("B", "b2"), ("B", "b3"), ("C", "c3")]
+    assert written == [2, 3, 2]
+
+
+def test_small_slots_are_written_together(spark, tmp_path):
     lake = Lake(spark, str(tmp_path))
     run = lake.begin()
-    for tickets in ("AB", "CD", "EF"):
-        run.append("gold_ticket_labels", labels(spark, *tickets))
+    run.append("gold_ticket_labels", labels(spark, *"ABCDEFGH"))
+    large = set(run.slots("gold_ticket_labels"))
+    for ticket in "IJKL":
+        run.append("gold_ticket_labels", labels(spark, ticket))
+        run.compact("gold_ticket_labels", 3)
     run.commit()
-    before = lake.tables()["gold_ticket_labels"]
-    run = lake.begin()
-    touched = spark.createDataFrame([("B",), ("C",), ("X",)], "ticket_id string")
-    rebuilt = labels(spark, "B", "X").withColumn("label", F.lit("other"))
-    run.replace_keys("gold_ticket_labels", "ticket_id", touched, at_most, rebuilt)
-    run.commit()
-    got = sorted((r["ticket_id"], r["label"]) for r in lake.read("gold_ticket_labels").collect())
-    assert got == [("A", "bug"), ("B", "other"), ("D", "bug"), ("E", "bug"), ("F", "bug"), ("X", "other")]
-    # The slot without a touched key is the very same folder.
-    assert len(set(before) & set(lake.tables()["gold_ticket_labels"])) == 1
+    slots = lake.tables()["gold_ticket_labels"]
+    assert len(slots) <= 3 and large <= set(slots) and names(lake) == list("ABCDEFGHIJKL")
 
 
 @pytest.fixture(scope="module")
@@ -115,7 +134,7 @@ def test_silver_tables(built, rows):
     assert rows(warehouse.tickets(warehouse.lake), "ticket_id", "priority", "status", "body", "is_deleted") == [
         ("A", "high", "closed", "write to <EMAIL> or <PHONE>", False), ("B", None, None, None, True), ("C", "low", "closed", "hello", False),
     ]
-    history = warehouse.lake.read("silver_ticket_history")
+    history = warehouse.history(warehouse.lake)
     assert rows(history, "ticket_id", "_lsn", "is_current") == [("A", 10, False), ("A", 20, True), ("B", 11, False), ("B", 30, True), ("C", 21, True)]
     assert rows(warehouse.lake.read("silver_events"), "event_id") == [("e1",), ("e2",), ("e3",), ("e4",), ("late1",), ("late2",)]
     assert rows(warehouse.lake.read("quarantine_events"), "event_id", "reason") == [
@@ -130,7 +149,7 @@ def test_late_events_reach_their_day_and_features_reconcile(built, rows):
     got = rows(warehouse.lake.read("gold_feature_daily").withColumn("event_date", F.col("event_date").cast("string")))
     assert got == [("u1", "2024-03-01", 4, 3, 1, 0), ("u2", "2024-03-02", 1, 1, 0, 0), ("u2", "2024-03-03", 1, 0, 0, 1)]
     assert warehouse.features_reconcile()
-    assert warehouse.lateness()["p99_days"] <= LOOKBACK_DAYS
+    assert warehouse.lateness()["p99_days"] <= LOOKBACK_DAYS and warehouse.lookback_covers()
 
 
 def test_snapshots_are_versions(built, rows):
@@ -145,8 +164,8 @@ def test_snapshots_are_versions(built, rows):
 
 def test_chunks_follow_deletes_and_newest_exports(built, rows):
     warehouse, _, results = built
-    assert rows(warehouse.lake.read("gold_doc_chunks"), "ticket_id", "chunk_idx", "chunk_text") == [("A", 0, "customer: one two agent: three agent: done")]
-    assert results[0]["gold_doc_chunks"]["chunks"] == 2 and results[2]["gold_doc_chunks"]["embedded_new"] == 0
+    assert rows(warehouse.doc_chunks(warehouse.lake), "ticket_id", "chunk_idx", "chunk_text") == [("A", 0, "customer: one two agent: three agent: done")]
+    assert results[0]["gold_doc_chunks"]["written"] == 2 and results[2]["gold_doc_chunks"]["embedded_new"] == 0
 
 
 def test_no_personal_data_behind_bronze(built):
@@ -168,9 +187,7 @@ def test_old_days_run_again_change_nothing(built):
 
 def test_rebuild_from_bronze_gives_the_same_gold(built, tmp_path):
     warehouse, days, _ = built
-    fresh = warehouse.rebuilt(str(tmp_path / "lake"))
-    fresh.backfill(days[0], days[-1])
-    assert fresh.gold_checksums() == warehouse.gold_checksums()
+    assert all(held == fresh for held, fresh in fresh_check(warehouse, str(tmp_path / "lake"), days).values())
 
 
 def test_labels_are_cached_versioned_and_validated(built, rows):
@@ -206,7 +223,7 @@ def test_a_batch_landed_late_cannot_rewrite_a_published_version(spark, tmp_path)
     with pytest.raises(SnapshotImmutableError):
         warehouse.run_day("2024-03-02")
     # History knows both tickets, and the version published first still holds one.
-    assert warehouse.lake.read("silver_ticket_history").count() == 2
+    assert warehouse.history(warehouse.lake).count() == 2
     assert warehouse.lake.read("gold_training_set").where("snapshot_version = 'v2024-03-02'").count() == 1
 
 
@@ -223,7 +240,8 @@ def test_merged_tables_are_compacted(spark, tmp_path, monkeypatch, rows):
         warehouse.stage(run)
         warehouse.upsert_tickets(run, day)
         run.commit()
-    assert rows(warehouse.lake.read("silver_tickets"), "priority", "_lsn") == [("p1", 2)]
+    assert len(warehouse.lake.tables()["silver_tickets"]) == 1
+    assert rows(warehouse.tickets(warehouse.lake), "priority", "_lsn") == [("p1", 2)]
 
 
 def test_feature_leaks(spark):
@@ -236,3 +254,31 @@ def test_incremental_features_equal_the_whole(built):
     warehouse, _, _ = built
     whole = features.daily_features(warehouse.lake.read("silver_events"))
     assert checksum(whole) == checksum(warehouse.lake.read("gold_feature_daily"))
+
+
+def test_rows_written_follow_the_batch(spark, tmp_path):
+    """Each day brings 20 new tickets and a change of an old one; no day writes the days before again."""
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    written = []
+    for n, day in enumerate(["2024-03-01", "2024-03-02", "2024-03-03"]):
+        fresh = [f"T{n}-{k}" for k in range(20)]
+        changes = [change("c", 100 * n + k, f"{day}T08:00:00", t, ticket_row(t, f"{day}T08:00:00")) for k, t in enumerate(fresh)]
+        if n:
+            changes.append(change("u", 100 * n + 50, f"{day}T09:00:00", "T0-0", ticket_row("T0-0", f"{day}T08:00:00", priority="high")))
+        exports = [export(t, f"{day}T10:00:00", ("customer", f"hello {t}")) for t in fresh]
+        write(tmp_path / "in", day, tickets=changes, exports=exports)
+        done = warehouse.run_day(day)
+        written.append((done["silver_history"]["written"], done["gold_doc_chunks"]["written"]))
+    assert written == [(20, 20), (22, 21), (23, 21)]
+    assert warehouse.history(warehouse.lake).count() == 62 and warehouse.doc_chunks(warehouse.lake).count() == 60
+
+
+def test_all_files_of_a_day_land_and_arrays_are_read_by_record(spark, tmp_path):
+    day = "2024-03-01"
+    write(tmp_path / "in", day, exports=[export(t, f"{day}T10:00:00", ("customer", "hi")) for t in "AB"])
+    (tmp_path / "in" / "transcripts" / f"{day}.jsonl").write_text(json.dumps(export("C", f"{day}T11:00:00", ("customer", "ho"))) + "\nbroken {\n", encoding="utf-8")
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    assert warehouse.bronze.land("transcripts", day)["rows"] == 4
+    kept = chunks.decode_exports(warehouse.bronze.scan("transcripts")).where("ticket_id IS NOT NULL")
+    assert sorted(r["ticket_id"] for r in kept.collect()) == ["A", "B", "C"]
+    assert [r["reason"] for r in warehouse.unreadable("transcripts").collect()] == ["not one record"]

@@ -85,8 +85,11 @@ def test_pii_scan_counts_leaks_per_source(spark, rows):
 
 
 def test_profile_counts_tombstones_and_redeliveries(spark):
-    data = [("t", "d", None, 0, 1, "c", "x"), ("t", "d", None, 0, 1, "c", "x"), ("t", "d", None, 1, 1, None, "x"), ("t", "d", None, 0, 2, "u", "x")]
-    assert tuple(quality.bronze_profile(spark.createDataFrame(data, BRONZE)).first()) == (4, 1, 1)
+    data = [("t", "d", None, 0, 1, "c", "{}"), ("t", "d", None, 0, 1, "c", "{}"), ("t", "d", None, 1, 1, None, "{}"), ("t", "d", None, 0, 2, "u", "{}")]
+    data += [("t", "d", None, None, None, None, bad) for bad in ('{"value": {"op', '[{"value": null}, {"value": null}]', "7")]
+    bronze = spark.createDataFrame(data, BRONZE)
+    assert tuple(quality.bronze_profile(bronze).first()) == (7, 3, 1, 1)
+    assert sorted(r["reason"] for r in quality.unreadable_records(bronze).collect()) == ["not one record", "not one record", "not valid JSON"]
 
 
 def test_contract_orders_columns_and_refuses_others(spark):

@@ -51,30 +51,37 @@ def test_a_failing_stream_raises(spark, tmp_path):
         streams.finish(query)
 
 
-def event_stream(spark, tmp_path):
-    records = kafka_records(spark.readStream.text(str(tmp_path / "in")), "events", "", with_op=False)
-    return quality.valid_events(quality.gate_events(records))
+def stream_events(spark, tmp_path):
+    lines = spark.readStream.option("maxFilesPerTrigger", 1).text(str(tmp_path / "in"))
+    gated = quality.gate_events(kafka_records(lines, "events", "", with_op=False))
+    lake = Lake(spark, str(tmp_path / "lake"))
+    streams.finish(streams.events_stream(gated, lake, str(tmp_path / "c")))
+    return lake
 
 
-def test_redeliveries_are_dropped_across_restarts(spark, tmp_path, rows):
-    for n in range(2):
-        put(tmp_path / "in", f"{n}.jsonl", [event("e1", "u", "2024-03-01T10:00:00"), event(f"new{n}", "u", "2024-03-01T11:00:00")])
-        once = streams.dedup_stream(event_stream(spark, tmp_path)).select("event_id")
-        query = once.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-        streams.finish(query)
-    assert rows(spark.read.parquet(str(tmp_path / "out"))) == [("e1",), ("new0",), ("new1",)]
+def test_redeliveries_are_dropped_across_restarts_however_late(spark, tmp_path, rows):
+    for n, at in enumerate(["2024-03-01T10:00:00", "2024-03-30T10:00:00", "2024-06-01T10:00:00"]):
+        put(tmp_path / "in", f"{n}.jsonl", [event("e1", "u", "2024-03-01T10:00:00", arrived=at), event(f"new{n}", "u", "2024-03-01T11:00:00", arrived=at)])
+        lake = stream_events(spark, tmp_path)
+    assert rows(lake.read("silver_events"), "event_id") == [("e1",), ("new0",), ("new1",), ("new2",)]
 
 
-def test_late_events_update_their_day_until_the_watermark(spark, tmp_path, rows):
+def test_late_events_update_their_day_and_none_is_too_late(spark, tmp_path, rows):
     files = [
         [event("a", "u", "2024-03-01T10:00:00"), event("b", "u", "2024-03-03T10:00:00")],
         [event("late", "u", "2024-03-01T11:00:00", "feedback", "up"), event("c", "u", "2024-03-20T10:00:00")],
-        [event("too late", "u", "2024-03-01T12:00:00")],
+        [event("very late", "u", "2024-03-01T12:00:00"), event("a", "u", "2024-03-01T10:00:00")],
     ]
     for n, records in enumerate(files):
         put(tmp_path / "in", f"{n}.jsonl", records)
-        features = streams.daily_features_stream(event_stream(spark, tmp_path))
-        streams.finish(streams.write_updates(features, str(tmp_path / "out"), str(tmp_path / "c")))
-    now = streams.current_updates(spark.read.parquet(str(tmp_path / "out")))
-    got = rows(now.withColumn("event_date", F.col("event_date").cast("string")), "event_date", "n_events", "n_feedback_up")
-    assert got == [("2024-03-01", 2, 1), ("2024-03-03", 1, 0), ("2024-03-20", 1, 0)]
+    lake = stream_events(spark, tmp_path)
+    now = lake.read("gold_feature_daily").withColumn("event_date", F.col("event_date").cast("string"))
+    assert rows(now, "event_date", "n_events", "n_feedback_up") == [("2024-03-01", 3, 1), ("2024-03-03", 1, 0), ("2024-03-20", 1, 0)]
+    assert len(lake.tables()["silver_events"]) == 3
+
+
+def test_a_line_without_a_time_lands_on_a_day(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.jsonl").write_text('{"timestamp": 17092\n', encoding="utf-8")
+    landed = land(spark, tmp_path, "tickets").first()
+    assert landed["_batch_id"] == str(landed["ingest_date"]) and landed["_op"] is None

@@ -15,7 +15,7 @@ def row_digest(df: DataFrame) -> Column:
 
 def _lane(digest: Column, start: int) -> Column:
     # 15 hex digits stay below 2**60, so the cast is exact.
-    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(20,0)")
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
 
 
 def table_checksum(df: DataFrame) -> DataFrame:
@@ -25,12 +25,13 @@ def table_checksum(df: DataFrame) -> DataFrame:
     duplicates count.
     """
     digests = df.select(row_digest(df).alias("d"))
+    # Sums of 60-bit numbers in 38 digits: room for 10**20 rows.
     summed = digests.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(_lane(F.col("d"), 1)), F.lit(0)).cast("decimal(38,0)").alias("hi"),
-        F.coalesce(F.sum(_lane(F.col("d"), 17)), F.lit(0)).cast("decimal(38,0)").alias("lo"),
+        F.count(F.lit(1)).alias("n_rows"), F.sum(_lane(F.col("d"), 1)).alias("hi"), F.sum(_lane(F.col("d"), 17)).alias("lo")
     )
-    parts = F.concat_ws("|", F.col("n_rows").cast("string"), F.col("hi").cast("string"), F.col("lo").cast("string"))
+    # Only an empty table has no sums; any other null would be an overflow, and gives no checksum.
+    lanes = [F.when(F.col("n_rows") == 0, "0").otherwise(F.col(lane).cast("string")) for lane in ("hi", "lo")]
+    parts = F.concat(F.col("n_rows").cast("string"), F.lit("|"), lanes[0], F.lit("|"), lanes[1])
     return summed.select("n_rows", F.md5(parts).alias("checksum"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # What counts as an e-mail address and as a Vietnamese phone number.
@@ -36,6 +36,15 @@ def mask_pii(text: Column) -> Column:
     return F.regexp_replace(no_mail, F.lit(PHONE), F.lit("<PHONE>"))
 
 
+def register_sql_functions(spark: SparkSession) -> None:
+    """Makes `mask_pii(text)` callable from SQL in this session, as an SQL function of the same patterns."""
+    literal = lambda s: "r'" + s + "'"
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION mask_pii(text STRING) RETURNS STRING RETURN "
+        f"regexp_replace(regexp_replace(text, {literal(_EMAIL_SCAN)}, '<EMAIL>'), {literal(PHONE)}, '<PHONE>')"
+    )
+
+
 def has_pii(text: Column) -> Column:
     return text.rlike(_EMAIL_SCAN) | text.rlike(PHONE)
 

@@ -10,6 +10,7 @@ from tidemark.functions.text import mask_pii
 from tidemark.functions.times import from_micros, from_millis
 from tidemark.operators.hot import HOT_ROWS, hot_cuts, split_hot
 from tidemark.operators.keyed import first_by, latest_by
+from tidemark.session import cut_lineage
 
 _ROW = (
     "STRUCT<ticket_id: STRING, user_id: STRING, subject: STRING, body: STRING, priority: STRING, "
@@ -24,7 +25,8 @@ _ENVELOPE = (
 def decode_changes(bronze: DataFrame) -> DataFrame:
     """One typed row per change record, redeliveries included; tombstones and keyless records dropped.
 
-    A delete has no `after`, so its key comes from `before`.
+    A delete has no `after`, so its key comes from `before`. Lines that cannot be read are no changes
+    and no tombstones: `quality.unreadable_records` has them.
     """
     changed = bronze.where(F.col("_op").isNotNull()).select("*", parsed(F.col("_payload"), _ENVELOPE).alias("r"))
     value = F.col("r")["value"]
@@ -78,10 +80,10 @@ _VERSION = ("ticket_id", "_lsn", "_op", "_changed_at", "priority", "status", "ca
 def scd2(changes: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Every version of every ticket with the time it was valid; a delete is a version too.
 
-    The log is shuffled once, by ticket; removing redeliveries and closing versions both work on that.
+    The log is decoded and stored once, then shuffled once, by ticket; removing redeliveries and closing versions both work on that.
     Tickets with more changes than one task should sort are cut into slices of their sequence numbers.
     """
-    log = changes.select(*_VERSION)
+    log = cut_lineage(changes.select(*_VERSION))
     cuts = hot_cuts(log.select("ticket_id", "_lsn"), ["ticket_id"], F.col("_lsn"), hot_rows)
     if cuts is None:
         closed = _close_versions(once_per_change(log.repartition("ticket_id")))

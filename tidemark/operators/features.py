@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import parsed
-from tidemark.functions.times import from_iso
+from tidemark.functions.times import from_event_time
 from tidemark.operators.hot import HOT_ROWS, hot_cuts, split_hot
+from tidemark.session import cut_lineage
 
 
 def daily_features(events: DataFrame) -> DataFrame:
@@ -54,10 +56,18 @@ def lateness_profile(lateness_days: DataFrame) -> DataFrame:
     )
 
 
+def lookback_check(lateness_days: DataFrame, lookback_days: int) -> DataFrame:
+    """One row: the 99th percentile in whole days, the lookback, and whether it is `covered`."""
+    late = F.col("p99_days").cast("bigint")
+    return lateness_profile(lateness_days).select(
+        late.alias("p99_days"), F.lit(lookback_days).alias("lookback_days"), (late <= lookback_days).alias("covered")
+    )
+
+
 def event_lateness(bronze_events: DataFrame) -> DataFrame:
     """Calendar days from event to arrival, of every raw record that names an event time."""
     read = bronze_events.select("_ingested_at", parsed(F.col("_payload"), "value STRUCT<event_time: STRING>").alias("r"))
-    happened = from_iso(F.col("r")["value"]["event_time"])
+    happened = from_event_time(F.col("r")["value"]["event_time"])
     days = F.datediff(F.to_date("_ingested_at"), F.to_date(happened))
     return read.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
 
@@ -78,10 +88,12 @@ def asof_join(
     one task are cut into slices.
     """
     found = F.struct(*[F.col(v).alias(v) for v in values])
-    a = left.select(*on, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
+    # Rows without a key match nothing; there may be very many, so they go around the time lines.
+    apart = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in on])
+    a = left.where(~apart).select(*on, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
     b = right.dropna(subset=[right_time, *on])
     b = b.select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), found.alias("_r"))
-    line = a.unionByName(b, allowMissingColumns=True)
+    line = cut_lineage(a.unionByName(b, allowMissingColumns=True))
     cuts = hot_cuts(line.select(*on, "_t"), on, F.unix_micros(F.col("_t").cast("timestamp")), hot_rows)
     if cuts is None:
         carried = _carry(line, on)
@@ -89,7 +101,9 @@ def asof_join(
         cold, hot = split_hot(line, on, cuts, F.unix_micros(F.col("_t").cast("timestamp")))
         carried = _carry(cold, on).unionByName(_carry_sliced(hot, on))
     matched = carried.where(F.col("_side") == 1)
-    return matched.select("_l.*", *[F.col("_r")[v].alias(v) for v in values])
+    found_none = [F.lit(None).cast(right.schema[v].dataType).alias(v) for v in values]
+    keyless = left.where(apart).select("*", *found_none)
+    return matched.select("_l.*", *[F.col("_r")[v].alias(v) for v in values]).unionByName(keyless)
 
 
 def _along(on: Sequence[str]) -> Window:

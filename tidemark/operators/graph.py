@@ -110,33 +110,35 @@ def traverse(edges: DataFrame, start: str, relation: str, max_hops: int = 3) ->
     A node is walked on from once, by the path that reaches it first, and only if it is itself a
     subject. Nodes up to `max_hops` edges away are walked on from, so an answer is at most
     `max_hops + 1` edges away. Each level is one join with the edges and one aggregation that keeps the
-    first path per node; the level is then stored, so a lost executor costs one level and the plan
+    first path per node; both are then stored, so a lost executor costs one level and the plan
     does not grow. Of paths only the nodes themselves are kept, never pairs of them.
     """
     spark = edges.sparkSession
-    hop = edges.select(F.col("subject").alias("node"), "relation", "object", F.col("ord").alias("edge"))
+    # The source of the edges is read once; each edge then knows whether its object leads on.
+    hop = cut_lineage(edges.select(F.col("subject").alias("node"), "relation", "object", F.col("ord").alias("edge")))
+    subjects = hop.select(F.col("node").alias("object")).distinct().withColumn("leads_on", F.lit(True))
+    hop = cut_lineage(hop.join(subjects, "object", "left"))
     # Queue order among the nodes of a level is the order of the edges that led to them.
     came_by = f"array<{edges.schema['ord'].dataType.simpleString()}>"
     first = spark.range(1).select(
         F.lit(start).alias("node"), F.array(F.lit(start)).alias("path"), F.expr(f"cast(array() as {came_by})").alias("via")
     )
     level, seen, answers = cut_lineage(first), [first.select("node")], []
-    subjects = hop.select(F.col("node").alias("object")).distinct()
     for depth in range(max_hops + 1):
-        steps = level.join(hop, "node")
+        steps = cut_lineage(level.join(hop, "node"))
         longer = F.concat("path", F.array("object")).alias("path")
         hits = steps.where(F.col("relation") == relation)
         answers.append(hits.select(longer, F.lit(depth + 1).alias("hops"), F.col("object").alias("answer")))
         if depth == max_hops:
             break
         via = F.concat("via", F.array("edge"))
-        reached = steps.groupBy("object").agg(
+        reached = steps.where("leads_on").groupBy("object").agg(
             F.min_by(F.struct(longer, via.alias("via")), via).alias("s")
         )
         known = seen[0]
         for more in seen[1:]:
             known = known.unionByName(more)
-        fresh = reached.join(known, F.col("object") == F.col("node"), "left_anti").join(subjects, "object", "left_semi")
+        fresh = reached.join(known, F.col("object") == F.col("node"), "left_anti")
         level = cut_lineage(fresh.select(F.col("object").alias("node"), "s.path", "s.via"))
         if level.isEmpty():
             break

@@ -14,42 +14,43 @@ from pyspark.sql import functions as F
 
 from tidemark.session import cut_lineage
 
-# A key with fewer rows than this is never cut.
+# A key with fewer rows than this is never cut, and a slice has about so many.
 HOT_ROWS = 2_000_000
-_STEPS = (512, 256, 128, 64, 32, 16, 8, 4, 2, 1)
-_CUTS = 2 * _STEPS[0] - 1
 
 
 def hot_cuts(df: DataFrame, keys: Sequence[str], order: Column, hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys holding more than their fair share of rows, with the borders of their slices in `_cuts`.
 
-    The fair share is one shuffle partition's worth, and at least `hot_rows`, so there are at most
-    as many hot keys as shuffle partitions; the result is small enough to broadcast by construction.
-    None when no key is hot, which is known after a count and, for larger inputs, a count per key.
+    `df` is read more than once if a key is hot, so it should be stored. The fair share is one shuffle
+    partition's worth, and at least `hot_rows`, so there are at most as many hot keys as shuffle
+    partitions; the result is small enough to broadcast by construction. The number of slices follows
+    the rows of the largest key, about `hot_rows` to a slice. None when no key is hot, which is known
+    after one count per key. Rows that are equal in the order column stay in one slice.
     """
-    total = df.count()
-    if total <= hot_rows:
-        return None
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(hot_rows, total // partitions)
-    counted = df.groupBy(*keys).count().where(F.col("count") > share).select(*keys)
-    hot = counted.collect()
-    if not hot:
+    counted = df.dropna(subset=list(keys)).groupBy(*keys).count()
+    total, largest = counted.agg(F.sum("count"), F.max("count")).first()
+    share = max(hot_rows, (total or 0) // partitions)
+    if not total or largest <= share:
         return None
-    hot_keys = df.sparkSession.createDataFrame(hot, counted.schema)
-    fractions = [n / (_CUTS + 1) for n in range(1, _CUTS + 1)]
+    slices = 1 << (-(-largest // hot_rows) - 1).bit_length()
+    hot = counted.where(F.col("count") > share).select(*keys)
+    hot_keys = df.sparkSession.createDataFrame(hot.collect(), hot.schema)
+    fractions = [n / slices for n in range(1, slices)]
     cuts = (
         df.join(F.broadcast(hot_keys), list(keys), "left_semi")
         .groupBy(*keys)
-        .agg(F.percentile_approx(order, fractions, 10 * _CUTS).alias("_cuts"))
+        .agg(F.percentile_approx(order, fractions, 10 * slices).alias("_cuts"))
     )
     # Used on both sides of the split, and must be the same on both.
     return cut_lineage(cuts)
 
 
 def slice_number(cuts: Column, value: Column) -> Column:
-    """How many of the sorted `cuts` are smaller than `value`, by binary search; 0 for null."""
-    steps = F.array(*[F.lit(s) for s in _STEPS])
+    """How many of the sorted `cuts`, one less than a power of two, are smaller than `value`; 0 for null."""
+    # Binary search, by halves of the number of slices.
+    halvings = F.log2(F.size(cuts) + 1).cast("int")
+    steps = F.transform(F.sequence(F.lit(1), halvings), lambda k: F.pow(F.lit(2), halvings - k).cast("int"))
     found = F.aggregate(
         steps,
         F.lit(0),

@@ -106,6 +106,16 @@ def insert_new(
     return unseen(state, first_by(batch, [key], order), key, at_most)
 
 
+def newest_generation(df: DataFrame, key: str) -> DataFrame:
+    """What holds of a table to which whole keys are appended again: of each key its newest generation.
+
+    A key that has none left has one row marked `_gone` in it.
+    """
+    newest = df.groupBy(key).agg(F.max("_generation").alias("_newest"))
+    held = df.join(newest, key).where((F.col("_generation") == F.col("_newest")) & ~F.col("_gone"))
+    return held.select(*[c for c in df.columns if c not in ("_generation", "_gone")])
+
+
 def overwrite_range(state: DataFrame, rebuilt: DataFrame, column: str, low: str, high: str) -> DataFrame:
     """The state with all rows of `column` in [low, high] replaced by the rebuilt ones.
 

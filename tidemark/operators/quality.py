@@ -23,6 +23,7 @@ NEEDS_RATING = "Value error, feedback event needs rating up/down"
 HAS_RATING = "Value error, click event must not carry a rating"
 NOT_OBJECT = "value is not an object"
 NOT_JSON = "not valid JSON"
+NOT_RECORD = "not one record"
 
 _FIELDS = ("event_id", "user_id", "ticket_id", "type", "rating", "page", "event_time")
 
@@ -35,8 +36,9 @@ def _facts(record: Column) -> Column:
     # Paths start at the record: cutting `value` out first would copy it for every field. The type of
     # the whole value is only asked for where it cannot be an object with an id.
     no_id = F.try_variant_get(record, "$.value.event_id", "variant").isNull()
+    is_record = F.when(no_id, F.schema_of_variant(record).startswith("OBJECT"))
     kind = F.when(no_id, F.schema_of_variant(F.try_variant_get(record, "$.value", "variant")))
-    facts = [record.isNotNull().alias("is_json"), kind.alias("value_kind")]
+    facts = [record.isNotNull().alias("is_json"), is_record.alias("is_record"), kind.alias("value_kind")]
     for field in _FIELDS:
         facts.append(F.try_variant_get(record, f"$.value.{field}", "string").alias(field))
         facts.append(F.schema_of_variant(F.try_variant_get(record, f"$.value.{field}", "variant")).alias(f"{field}_kind"))
@@ -73,6 +75,7 @@ def _reason() -> Column:
     no_object = ~F.col("value_kind").startswith("OBJECT") & (F.col("value_kind") != "VOID")
     return F.coalesce(
         _fail("record", ~F.col("is_json"), NOT_JSON),
+        _fail("record", ~F.col("is_record"), NOT_RECORD),
         _fail("record", no_object, NOT_OBJECT),
         *_required_text("event_id"),
         *_required_text("user_id"),
@@ -169,11 +172,28 @@ def pii_scan(texts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return every.groupBy("source").agg(F.count("text").alias("n_texts"), F.count_if(has_pii(F.col("text"))).alias("n_leaks"))
 
 
+def _unreadable(record: Column) -> Column:
+    """Why a parsed record is none, or null: it is no JSON, or no object."""
+    kind = F.schema_of_variant(record)
+    return F.when(record.isNull(), NOT_JSON).when(~kind.startswith("OBJECT"), NOT_RECORD)
+
+
+def unreadable_records(bronze: DataFrame) -> DataFrame:
+    """Landed records that are no JSON object, with `reason`; nothing else is done with them."""
+    read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
+    judged = read.select("*", once(_unreadable(F.col("j"))).alias("reason")).where(F.col("reason").isNotNull())
+    return judged.select("_source", "_batch_id", "reason", "_payload")
+
+
 def bronze_profile(bronze: DataFrame) -> DataFrame:
-    """Records, tombstones (no operation) and redeliveries (same partition and offset again)."""
-    place = F.struct("_kafka_partition", "_kafka_offset")
-    return bronze.agg(
+    """Records, those that cannot be read, tombstones (read, but without an operation) and redeliveries
+    (same partition and offset again)."""
+    read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
+    judged = read.select("*", once(_unreadable(F.col("j")).isNotNull()).alias("bad"))
+    place = F.when(~F.col("bad"), F.struct("_kafka_partition", "_kafka_offset"))
+    return judged.agg(
         F.count(F.lit(1)).alias("n_records"),
-        F.count_if(F.col("_op").isNull()).alias("n_tombstones"),
-        (F.count(F.lit(1)) - F.count_distinct(place)).alias("n_redeliveries"),
+        F.count_if("bad").alias("n_unreadable"),
+        F.count_if(F.col("_op").isNull() & ~F.col("bad")).alias("n_tombstones"),
+        (F.count_if(~F.col("bad")) - F.count_distinct(place)).alias("n_redeliveries"),
     )

@@ -50,7 +50,8 @@ TABLES = {
     ),
     "silver_ticket_history": _schema(
         "ticket_id STRING, priority STRING, status STRING, category STRING, is_deleted BOOLEAN, "
-        "valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN, _lsn BIGINT"
+        "valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN, _lsn BIGINT, "
+        "_generation BIGINT, _gone BOOLEAN"
     ),
     "silver_events": _schema(
         "event_id STRING, user_id STRING, ticket_id STRING, type STRING, rating STRING, page STRING, "
@@ -74,7 +75,8 @@ TABLES = {
     "embedding_cache": _schema("text_hash STRING, model_version STRING, embedding ARRAY<DOUBLE>"),
     "gold_doc_chunks": _schema(
         "ticket_id STRING, chunk_idx INT, chunk_text STRING, text_hash STRING, embedding_model_version STRING, "
-        "embedding ARRAY<DOUBLE>, category STRING, priority STRING, status STRING"
+        "embedding ARRAY<DOUBLE>, category STRING, priority STRING, status STRING, "
+        "_generation BIGINT, _gone BOOLEAN"
     ),
     "answer_cache": _schema("input_hash STRING, model STRING, prompt_version STRING, answer STRING"),
     "gold_ticket_labels": _schema("ticket_id STRING, label STRING, model STRING, prompt_version STRING"),

@@ -33,12 +33,21 @@ def _attribute(name: str, kind: str = "string") -> Column:
     return _get(f'$.attributes["{name}"]', kind)
 
 
+def root_spans(roots: DataFrame) -> DataFrame:
+    """The first row `flatten_spans` has of every tree, without walking down."""
+    trace = F.coalesce(F.nullif(F.try_variant_get("root", "$.trace_id", "string"), F.lit("")), F.try_variant_get("root", "$.span_id", "string"))
+    return _typed(roots.select("trace_ord", trace.alias("trace_id"), F.lit(0).alias("depth"), F.col("root").alias("span")))
+
+
 def flatten_spans(roots: DataFrame) -> DataFrame:
     """One row per span of every tree in `roots` (`trace_ord`, `root` variant), however deep.
 
     Children inherit the trace id of their root. `trace_ord` keeps the order of arrival.
     """
-    spans = roots.sparkSession.sql(_WALK, roots=roots)
+    return _typed(roots.sparkSession.sql(_WALK, roots=roots))
+
+
+def _typed(spans: DataFrame) -> DataFrame:
     attributes = F.coalesce(F.to_json(_get("$.attributes", "variant")), F.lit("{}"))
     return spans.select(
         "trace_id",

@@ -23,7 +23,7 @@ TICKET_DOMAINS = {
     "status": ["open", "pending", "closed"],
     "category": ["bug", "billing", "other"],
 }
-# A merged table with more slots than this is rewritten as one.
+# Of a merged table with more slots than this the smaller ones are written together.
 MAX_SLOTS = 32
 
 
@@ -38,16 +38,15 @@ def merge_tickets(run: Run, table: str, batch: DataFrame, version: str, at_most:
     """
     winners = keyed.newer_than_state(run.read(table), batch, "ticket_id", version, at_most)
     written = run.append(table, winners)
-    if len(run.slots(table)) > MAX_SLOTS:
-        run.replace(table, keyed.latest_by(run.read(table), ["ticket_id"], [F.col(version)]))
+    run.compact(table, MAX_SLOTS)
     return written
 
 
 class Warehouse:
     """Bronze and the tables built from it."""
 
-    def __init__(self, spark: SparkSession, deliveries: str, bronze_root: str, lake_root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, deliveries: str, bronze_root: str, lake_root: str, lookback_days: int = LOOKBACK_DAYS):
+        self.spark, self.lookback_days = spark, lookback_days
         self.bronze = Bronze(spark, bronze_root, deliveries)
         self.lake = Lake(spark, lake_root)
 
@@ -76,6 +75,17 @@ class Warehouse:
     def transcripts(self, tables: Run | Lake) -> DataFrame:
         return keyed.latest_by(tables.read("silver_transcripts"), ["ticket_id"], [F.col("exported_at")])
 
+    def history(self, tables: Run | Lake) -> DataFrame:
+        """Every version of every ticket. A changed ticket's history is appended anew; newest wins."""
+        return keyed.newest_generation(tables.read("silver_ticket_history"), "ticket_id")
+
+    def doc_chunks(self, tables: Run | Lake) -> DataFrame:
+        """The document index, kept as the history is."""
+        return keyed.newest_generation(tables.read("gold_doc_chunks"), "ticket_id")
+
+    def gold(self, table: str) -> DataFrame:
+        return self.doc_chunks(self.lake) if table == "gold_doc_chunks" else self.lake.read(table)
+
     def upsert_tickets(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
         batch = cdc.ticket_state(run.read("stage_ticket_changes", of_day))
@@ -91,7 +101,9 @@ class Warehouse:
         touched = run.read("stage_ticket_changes", fresh).select("ticket_id")
         at_most = run.rows("stage_ticket_changes", fresh)
         rebuilt = cdc.scd2(keyed.matching(changes, touched, "ticket_id", at_most))
-        return {"written": run.replace_keys("silver_ticket_history", "ticket_id", touched, at_most, rebuilt)}
+        written = run.append_keys("silver_ticket_history", "ticket_id", touched, rebuilt)
+        run.compact("silver_ticket_history", MAX_SLOTS)
+        return {"written": written}
 
     def upsert_events(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
@@ -110,9 +122,9 @@ class Warehouse:
 
     # Gold
 
-    def build_features(self, run: Run, day: str, lookback: int = LOOKBACK_DAYS) -> dict:
+    def build_features(self, run: Run, day: str) -> dict:
         """Recompute the event days [day - lookback, day]; other days keep their folders."""
-        low = shift(day, -lookback)
+        low = shift(day, -self.lookback_days)
         rebuilt = features.daily_features_between(run.read("silver_events"), low, day)
         run.put_by("gold_feature_daily", rebuilt, F.col("event_date"), lambda slot: low <= slot <= day)
         return {"window": f"{low}..{day}", "rows": run.rows("gold_feature_daily")}
@@ -137,11 +149,12 @@ class Warehouse:
         tickets, transcripts = run.read("silver_tickets"), run.read("silver_transcripts")
         (new_tickets, n_tickets), (new_transcripts, n_transcripts) = run.appended("silver_tickets"), run.appended("silver_transcripts")
         touched, at_most = new_tickets.select("ticket_id").unionByName(new_transcripts.select("ticket_id")), n_tickets + n_transcripts
-        outdated = not run.read("gold_doc_chunks").where(F.col("embedding_model_version") != model_version).isEmpty()
+        outdated = set(run.slots("gold_doc_chunks")) - run.slots_from("gold_doc_chunks", model_version)
         if outdated:
             touched, at_most = transcripts.select("ticket_id"), run.rows("silver_transcripts")
+            run.replace("gold_doc_chunks", run.read("gold_doc_chunks").limit(0))
         if not at_most:
-            return {"chunks": run.rows("gold_doc_chunks"), "embedded_new": 0}
+            return {"written": 0, "embedded_new": 0}
         live = chunks.live_transcripts(
             keyed.latest_by(keyed.matching(transcripts, touched, "ticket_id", at_most), ["ticket_id"], [F.col("exported_at")]),
             keyed.latest_by(keyed.matching(tickets, touched, "ticket_id", at_most), ["ticket_id"], [F.col("_lsn")]),
@@ -150,8 +163,9 @@ class Warehouse:
         missing = chunks.missing_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
         embedded = run.append("embedding_cache", chunks.embed(missing, model, model_version))
         indexed = chunks.with_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
-        run.replace_keys("gold_doc_chunks", "ticket_id", touched, at_most, indexed)
-        return {"chunks": run.rows("gold_doc_chunks"), "embedded_new": embedded}
+        written = run.append_keys("gold_doc_chunks", "ticket_id", touched, indexed, origin=model_version)
+        run.compact("gold_doc_chunks", MAX_SLOTS)
+        return {"written": written, "embedded_new": embedded}
 
     def label_tickets(
         self,
@@ -198,12 +212,12 @@ class Warehouse:
 
     def rebuilt(self, lake_root: str) -> Warehouse:
         """A warehouse over the same Bronze with all other tables still to be built."""
-        return Warehouse(self.spark, self.bronze.deliveries, self.bronze.root, lake_root)
+        return Warehouse(self.spark, self.bronze.deliveries, self.bronze.root, lake_root, self.lookback_days)
 
     # Checks
 
     def gold_checksums(self) -> dict[str, str]:
-        sums = {table: checksum(self.lake.read(table)) for table in GOLD_TABLES}
+        sums = {table: checksum(self.gold(table)) for table in GOLD_TABLES}
         return sums | {"gold": combined_checksum(list(sums.values()))}
 
     def features_reconcile(self) -> bool:
@@ -214,6 +228,14 @@ class Warehouse:
     def lateness(self) -> dict:
         return features.lateness_profile(features.event_lateness(self.bronze.scan("events"))).first().asDict()
 
+    def lookback_covers(self) -> bool:
+        """Whether the lookback covers the 99th percentile of what has landed."""
+        return features.lookback_check(features.event_lateness(self.bronze.scan("events")), self.lookback_days).first()["covered"]
+
+    def unreadable(self, source: str) -> DataFrame:
+        """Landed records no table is built from, with the reason."""
+        return quality.unreadable_records(self.bronze.scan(source))
+
     def table_tests(self) -> DataFrame:
         """(`table_name`, `rule`, `violations`) for the promises the tables make; all should be 0."""
         tested = {
@@ -226,7 +248,7 @@ class Warehouse:
             "gold_feature_daily": quality.table_tests(
                 self.lake.read("gold_feature_daily"), not_null=["user_id", "event_date"], unique=[["user_id", "event_date"]]
             ),
-            "gold_doc_chunks": quality.table_tests(self.lake.read("gold_doc_chunks"), unique=[["ticket_id", "chunk_idx"]]),
+            "gold_doc_chunks": quality.table_tests(self.doc_chunks(self.lake), unique=[["ticket_id", "chunk_idx"]]),
         }
         named = [df.select(F.lit(name).alias("table_name"), "rule", "violations") for name, df in tested.items()]
         return reduce(DataFrame.unionByName, named)
@@ -238,11 +260,20 @@ class Warehouse:
                 "silver_tickets": (self.tickets(self.lake), "body"),
                 "silver_transcripts": (self.transcripts(self.lake), "text"),
                 "gold_training_set": (self.lake.read("gold_training_set"), "text"),
-                "gold_doc_chunks": (self.lake.read("gold_doc_chunks"), "chunk_text"),
+                "gold_doc_chunks": (self.doc_chunks(self.lake), "chunk_text"),
             }
         )
 
 
+def fresh_check(warehouse: Warehouse, lake_root: str, days: list[str]) -> dict[str, tuple[str, str]]:
+    """Gold checksums of the warehouse beside those of a fresh build from the same Bronze."""
+    fresh = warehouse.rebuilt(lake_root)
+    for day in days:
+        fresh.run_day(day)
+    again = fresh.gold_checksums()
+    return {table: (held, again[table]) for table, held in warehouse.gold_checksums().items()}
+
+
 def rerun_check(warehouse: Warehouse, day: str, times: int = 3) -> list[dict[str, str]]:
     """Gold checksums before and after running an old day again, `times` times; all should be equal."""
     sums = [warehouse.gold_checksums()]

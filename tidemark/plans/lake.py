@@ -14,8 +14,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import keyed
 from tidemark.operators.schemas import TABLES, conform
+from tidemark.session import cut_lineage
 from tidemark.sources.folders import Folders
 
 # Of every slot its folder and, where it was counted, its number of rows.
@@ -136,28 +136,39 @@ class Run:
         """Make `df` the whole table."""
         path = self._write(table, df)
         held = self._held(path)
-        self.tables[table] = {_slot_of(path): held}
+        self.tables[table] = {_slot_of(path): held} if held["rows"] else {}
         return held["rows"]
 
-    def replace_keys(self, table: str, key: str, touched: DataFrame, at_most: int, rebuilt: DataFrame) -> int:
-        """Make `rebuilt` all there is of the `touched` keys; the number of rows written.
+    def append_keys(self, table: str, key: str, touched: DataFrame, rebuilt: DataFrame, origin: str | None = None) -> int:
+        """Make `rebuilt` all there is of the `touched` keys, by appending it; the number of rows written.
 
-        Only slots that hold a touched key are rewritten. `touched` has the one column `key` and at
-        most `at_most` rows.
+        Nothing written before is read or written again: `keyed.newest_generation` tells what holds.
         """
-        small = at_most <= keyed.BROADCAST_ROWS
-        keys = F.broadcast(touched.distinct()) if small else touched.distinct()
-        folder = F.regexp_extract("_metadata.file_path", rf"/{table}/([^/]+)/", 1)
-        holding = self.read(table).select(key, folder.alias("slot")).join(keys, key, "left_semi")
-        # As many rows as the table has slots, at most.
-        hit = {row["slot"] for row in holding.select("slot").distinct().collect()}
-        kept = self.read(table, lambda slot: slot in hit).join(keys, key, "left_anti")
-        slots = {slot: held for slot, held in self.tables.get(table, {}).items() if slot not in hit}
-        path = self._write(table, rebuilt.unionByName(kept))
+        generation = F.lit(self._base + 1).cast("bigint")
+        rebuilt = cut_lineage(rebuilt)
+        gone = touched.select(key).distinct().join(rebuilt.select(key).distinct(), key, "left_anti")
+        rows = rebuilt.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
+        path = self._write(table, rows.withColumn("_generation", generation))
         held = self._held(path)
-        self.tables[table] = {**slots, _slot_of(path): held} if held["rows"] else slots
+        if held["rows"]:
+            self.tables.setdefault(table, {})[_slot_of(path)] = held | {"origin": origin}
         return held["rows"]
 
+    def compact(self, table: str, most: int) -> None:
+        """With more than `most` slots, write the smaller ones together as one; large ones stay.
+
+        A row is written again only when its slot is among the smaller half, so about as often as the
+        logarithm of the number of batches.
+        """
+        held = self.tables.get(table, {})
+        if len(held) <= most:
+            return
+        small = sorted(held, key=lambda slot: (held[slot]["rows"], slot))[: len(held) - most // 2]
+        path = self._write(table, _scan(self.lake, table, [held[slot]["path"] for slot in small]))
+        origins = {held[slot].get("origin") for slot in small}
+        merged = self._held(path) | {"origin": origins.pop() if len(origins) == 1 else None}
+        self.tables[table] = {slot: h for slot, h in held.items() if slot not in small} | {_slot_of(path): merged}
+
     def put_by(self, table: str, df: DataFrame, by: Column, dropped: Callable[[str], bool]) -> int:
         """Drop the slots `dropped` accepts, then fill one slot per value of `by`; the number of rows.
 
@@ -181,7 +192,7 @@ class Run:
 
     def commit(self) -> None:
         """Publish everything. Fails when another run has committed since this one began."""
+        # Created only if it is not there, which one of two writers does; a file system that cannot
+        # promise this needs a committer that can.
         number = f"{self._base + 1:010d}"
-        aside = f"{self.lake.root}/_commits/.{number}-{self.id}"
-        self.lake.folders.write_text(aside, json.dumps(self.tables, sort_keys=True))
-        self.lake.folders.move(aside, f"{self.lake.root}/_commits/{number}.json")
+        self.lake.folders.write_text(f"{self.lake.root}/_commits/{number}.json", json.dumps(self.tables, sort_keys=True))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.fingerprints import combined_checksum, checksum
 from tidemark.functions.fingerprints import table_checksum as checksum_of
 from tidemark.operators import cdc, features, keyed, quality
-from tidemark.queries.events import silver_events
-from tidemark.queries.inputs import table, ticket_changes
+from tidemark.queries.events import FIRST_DAY, LAST_DAY, silver_events
+from tidemark.queries.inputs import CHANGE_SQL, EVENT_SQL, table, ticket_changes
 from tidemark.queries.registry import Registry
 
 registry = Registry()
@@ -77,23 +78,41 @@ def table_checksum_duplicated(spark: SparkSession, sf: str) -> DataFrame:
     return checksum_of(once.unionByName(once))
 
 
+@registry.query(f"""
+SELECT md5(a.checksum || '|' || b.checksum) AS checksum
+FROM ({_checksum_sql(_ORDER_JSON)}) a, ({_checksum_sql(f"{_ORDER_JSON} UNION ALL {_ORDER_JSON}")}) b""")
+def combined_checksums(spark: SparkSession, sf: str) -> DataFrame:
+    """One checksum for the order table and its double."""
+    orders = table(spark, sf, "orders")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate")
+    once = orders.select("o_orderkey", "o_custkey", "o_orderstatus", day)
+    return spark.createDataFrame([(combined_checksum([checksum(once), checksum(once.unionByName(once))]),)], "checksum string")
+
+
 def _agreement(name: str, a: DataFrame, b: DataFrame) -> DataFrame:
-    left = checksum_of(a).select(F.col("checksum").alias("a"))
-    right = checksum_of(b).select(F.col("checksum").alias("b"))
-    return left.select(F.lit(name).alias("subject"), (F.col("a") == right.scalar()).alias("agrees"))
+    """Whether two tables are equal, and the rows of each."""
+    right = checksum_of(b).select(F.struct("checksum", "n_rows").alias("r"))
+    both = checksum_of(a).withColumn("r", right.scalar())
+    return both.select(
+        F.lit(name).alias("subject"), (F.col("checksum") == F.col("r.checksum")).alias("agrees"), F.col("n_rows").alias("n_left"), F.col("r.n_rows").alias("n_right")
+    )
 
 
-@registry.query("SELECT 'gold_feature_daily' AS subject, true AS agrees FROM (SELECT count(*) FROM events)")
+@registry.query(f"""
+SELECT 'gold_feature_daily' AS subject, true AS agrees, n AS n_left, n AS n_right
+FROM (SELECT count(DISTINCT (user_id, CAST(ts AS DATE))) AS n FROM ({EVENT_SQL}) WHERE reason IS NULL)""")
 def features_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """Features built in two windows against one aggregate over all events."""
     events = silver_events(spark, sf)
-    first = features.daily_features_between(events, "2024-01-01", "2024-01-15")
-    second = features.daily_features_between(events, "2024-01-13", "2024-01-31")
-    windowed = keyed.overwrite_range(first, second, "event_date", "2024-01-13", "2024-01-31")
+    first = features.daily_features_between(events, FIRST_DAY, "2024-01-15")
+    second = features.daily_features_between(events, "2024-01-13", LAST_DAY)
+    windowed = keyed.overwrite_range(first, second, "event_date", "2024-01-13", LAST_DAY)
     return _agreement("gold_feature_daily", windowed, features.daily_features(events))
 
 
-@registry.query("SELECT 'silver_tickets' AS subject, true AS agrees FROM (SELECT count(*) FROM events)")
+@registry.query(f"""
+SELECT 'silver_tickets' AS subject, true AS agrees, n AS n_left, n AS n_right
+FROM (SELECT count(DISTINCT ticket_id) AS n FROM ({CHANGE_SQL}))""")
 def tickets_parity(spark: SparkSession, sf: str) -> DataFrame:
     """Merging batch by batch against taking the newest change of the whole log."""
     changes = ticket_changes(spark, sf)

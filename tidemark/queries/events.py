@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import features, keyed, quality
+from tidemark.plans.daily import LOOKBACK_DAYS
 from tidemark.queries.inputs import EVENT_SQL, bronze_events, gated_events, table
 from tidemark.queries.registry import Registry
 
 registry = Registry()
+# Ranges of days open at an end.
+FIRST_DAY, LAST_DAY = "0001-01-01", "9999-12-30"
 _BATCH = "strftime(arrived, '%Y-%m-%d')"
 _FEATURES = """
 SELECT user_id, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n_events,
@@ -23,8 +26,15 @@ def _arrival() -> list:
     return [F.col("_ingested_at"), F.col("_kafka_offset")]
 
 
-def silver_events(spark: SparkSession, sf: str) -> DataFrame:
-    return keyed.first_by(quality.valid_events(gated_events(spark, sf)), ["event_id"], _arrival())
+def silver_events(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """The first copy of every valid event; only the named columns, if any are, are moved."""
+    valid = quality.valid_events(gated_events(spark, sf))
+    if columns:
+        valid = valid.select("event_id", "_ingested_at", "_kafka_offset", *columns)
+    return keyed.first_by(valid, ["event_id"], _arrival())
+
+
+_FEATURE_INPUT = ("user_id", "type", "rating", "event_time")
 
 
 def _day_as_text(df: DataFrame) -> DataFrame:
@@ -34,19 +44,19 @@ def _day_as_text(df: DataFrame) -> DataFrame:
 @registry.query(f"{_FEATURES} FROM ({EVENT_SQL}) WHERE reason IS NULL GROUP BY ALL")
 def feature_daily(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records, each delivered twice -> gate -> first copy -> features per user and event day."""
-    return _day_as_text(features.daily_features(silver_events(spark, sf)))
+    return _day_as_text(features.daily_features(silver_events(spark, sf, *_FEATURE_INPUT)))
 
 
 @registry.query(f"""
 {_FEATURES} FROM ({EVENT_SQL}) WHERE reason IS NULL
-  AND (arrived < TIMESTAMP '2024-01-21' OR CAST(ts AS DATE) BETWEEN DATE '2024-01-17' AND DATE '2024-01-31')
+  AND (arrived < TIMESTAMP '2024-01-21' OR CAST(ts AS DATE) >= DATE '2024-01-17')
 GROUP BY ALL""")
 def feature_window_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """Features known on 20 January, with the days from the 17th on recomputed from all events."""
     events = silver_events(spark, sf)
     known = features.daily_features(events.where(F.col("_batch_id") <= "2024-01-20"))
-    rebuilt = features.daily_features_between(events, "2024-01-17", "2024-01-31")
-    return _day_as_text(keyed.overwrite_range(known, rebuilt, "event_date", "2024-01-17", "2024-01-31"))
+    rebuilt = features.daily_features_between(events, "2024-01-17", LAST_DAY)
+    return _day_as_text(keyed.overwrite_range(known, rebuilt, "event_date", "2024-01-17", LAST_DAY))
 
 
 @registry.query(f"""
@@ -62,8 +72,9 @@ def event_gate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registry.query(f"""
-SELECT {_BATCH} AS batch_id, CAST(u % 3 AS INTEGER) AS kafka_partition, CAST(n AS BIGINT) AS kafka_offset, event_id, reason
-FROM ({EVENT_SQL}) WHERE reason IS NOT NULL""")
+SELECT CASE WHEN read THEN {_BATCH} END AS batch_id, CASE WHEN read THEN CAST(u % 3 AS INTEGER) END AS kafka_partition,
+       CASE WHEN read THEN CAST(n AS BIGINT) END AS kafka_offset, CASE WHEN read THEN event_id END AS event_id, reason
+FROM (SELECT *, reason NOT LIKE 'record: not%' AS read FROM ({EVENT_SQL})) WHERE reason IS NOT NULL""")
 def event_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     bad = quality.quarantined_events(gated_events(spark, sf, redelivered=False))
     return bad.select(
@@ -99,12 +110,21 @@ def event_insert_new(spark: SparkSession, sf: str) -> DataFrame:
 SELECT quantile_cont(d, 0.50) AS p50, quantile_cont(d, 0.95) AS p95, quantile_cont(d, 0.99) AS p99,
        CAST(max(d) AS BIGINT) AS max, count(*) AS n, CAST(ceil(quantile_cont(d, 0.99)) AS BIGINT) AS p99_days
 FROM (SELECT date_diff('day', CAST(ts AS DATE), CAST(arrived + again * INTERVAL 1 MINUTE AS DATE)) AS d
-      FROM ({EVENT_SQL}), (VALUES (0), (1)) copies(again) WHERE reason IS NULL OR reason NOT LIKE 'event_time%')""")
+      FROM ({EVENT_SQL}), (VALUES (0), (1)) copies(again) WHERE reason IS NULL OR (reason NOT LIKE 'event_time%' AND reason NOT LIKE 'record: not%'))""")
 def lateness(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar days from event to arrival, over every raw record that names a readable time."""
     return features.lateness_profile(features.event_lateness(bronze_events(spark, sf)))
 
 
+@registry.query(f"""
+SELECT CAST(ceil(quantile_cont(d, 0.99)) AS BIGINT) AS p99_days, 3 AS lookback_days, ceil(quantile_cont(d, 0.99)) <= 3 AS covered
+FROM (SELECT date_diff('day', CAST(ts AS DATE), CAST(arrived + again * INTERVAL 1 MINUTE AS DATE)) AS d
+      FROM ({EVENT_SQL}), (VALUES (0), (1)) copies(again) WHERE reason IS NULL OR (reason NOT LIKE 'event_time%' AND reason NOT LIKE 'record: not%'))""")
+def lookback_covers_lateness(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the days every run recomputes cover the 99th percentile of lateness."""
+    return features.lookback_check(features.event_lateness(bronze_events(spark, sf)), LOOKBACK_DAYS)
+
+
 @registry.query("""
 SELECT round(quantile_cont(d, 0.50), 6) AS p50, round(quantile_cont(d, 0.95), 6) AS p95,
        round(quantile_cont(d, 0.99), 6) AS p99, CAST(max(d) AS BIGINT) AS max, count(*) AS n,

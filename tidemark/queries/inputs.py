@@ -20,14 +20,18 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# Tables up to this size may be shuffled to give every core a share of them.
+SPREAD_BYTES = 256 << 20
+
+
 def spread_table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table that heavy work per row follows; one stored in fewer splits than cores is spread first.
+    """A table that heavy work per row follows; a small one, stored in few splits, is spread first.
 
-    A large table has more splits than cores and is read as it lies, without a shuffle.
+    Any larger table is read as it lies, without a shuffle.
     """
     df = table(spark, sf, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    stored = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(spark.sparkContext.defaultParallelism) if int(str(stored)) <= SPREAD_BYTES else df
 
 
 def _millis(ts: Column) -> Column:
@@ -38,8 +42,12 @@ def _text_id(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
 
-def _delivered(records: DataFrame, arrival: str, partition: Column, value: Column, redelivered: bool) -> DataFrame:
-    """Kafka records as JSON lines; with `redelivered`, every one of them a second time."""
+def _delivered(records: DataFrame, arrival: str, partition: Column, value: Column, redelivered: bool, broken: Column) -> DataFrame:
+    """Kafka records as JSON lines; with `redelivered`, every one of them a second time.
+
+    Of the `broken` records, those with an even number are cut off in the middle and the others stand
+    twice in an array on one line.
+    """
     copies = F.array(F.lit(0), F.lit(REDELIVERY_MS)) if redelivered else F.array(F.lit(0))
     record = F.struct(
         partition.cast("int").alias("partition"),
@@ -47,7 +55,10 @@ def _delivered(records: DataFrame, arrival: str, partition: Column, value: Colum
         (F.col(arrival) + F.col("copy")).alias("timestamp"),
         value.alias("value"),
     )
-    return records.withColumn("copy", F.explode(copies)).select(F.to_json(record, _JSON).alias("value"))
+    lines = records.withColumn("copy", F.explode(copies)).select("event_id", broken.alias("broken"), F.to_json(record, _JSON).alias("line"))
+    cut = F.substring(F.col("line"), F.lit(1), (F.length("line") / 2).cast("int"))
+    twice = F.concat(F.lit("["), "line", F.lit(","), "line", F.lit("]"))
+    return lines.select(F.when(~F.col("broken"), F.col("line")).when(F.col("event_id") % 2 == 0, cut).otherwise(twice).alias("value"))
 
 
 def _by_arrival_day(bronze: DataFrame) -> DataFrame:
@@ -70,6 +81,8 @@ SELECT event_id AS n, user_id AS u, ts,
             WHEN event_type = 'error' AND value >= 5 AND value < 20 THEN 'meh' END AS rating,
        props AS page,
        CASE WHEN event_type = 'click' OR event_type = 'purchase' THEN NULL
+            WHEN event_type = 'error' AND value >= 100 AND event_id % 2 = 0 THEN 'record: not valid JSON'
+            WHEN event_type = 'error' AND value >= 100 THEN 'record: not one record'
             WHEN event_type = 'signup' THEN 'record: Value error, feedback event needs rating up/down'
             WHEN event_type = 'view' THEN 'record: Value error, click event must not carry a rating'
             WHEN value < 5 THEN 'user_id: Input should be a valid string'
@@ -100,11 +113,16 @@ def event_lines(spark: SparkSession, sf: str, redelivered: bool = True) -> DataF
         .when(error & (amount >= 5) & (amount < 20), "meh")
         .alias("rating"),
         F.col("props").alias("page"),
-        F.when(error & (amount >= 20) & (amount < 50), "not a time").otherwise(time).alias("event_time"),
+        # No time, or a number no time can have.
+        F.when(error & (amount >= 20) & (amount < 30), "not a time")
+        .when(error & (amount >= 30) & (amount < 40), "99999999999999999999")
+        .when(error & (amount >= 40) & (amount < 50), "99999999999999999")
+        .otherwise(time)
+        .alias("event_time"),
     )
     late = (F.floor(amount) % 4) * 86_400_000
     records = spread_table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + late)
-    return _delivered(records, "arrival", F.col("user_id") % 3, value, redelivered)
+    return _delivered(records, "arrival", F.col("user_id") % 3, value, redelivered, error & (amount >= 100))
 
 
 def bronze_events(spark: SparkSession, sf: str, redelivered: bool = True) -> DataFrame:
@@ -158,7 +176,9 @@ def change_lines(spark: SparkSession, sf: str, redelivered: bool = True) -> Data
         F.when(kind == "signup", "c").when(kind == "error", "d").otherwise("u").alias("op"),
     )
     records = spread_table(spark, sf, "events").withColumn("arrival", _millis(F.col("ts")) + 2000)
-    return _delivered(records, "arrival", F.lit(0), F.when(kind != "view", change), redelivered)
+    # Of the tombstones some cannot be read, which is something else.
+    broken = (kind == "view") & (amount >= 100)
+    return _delivered(records, "arrival", F.lit(0), F.when(kind != "view", change), redelivered, broken)
 
 
 def bronze_tickets(spark: SparkSession, sf: str, redelivered: bool = True) -> DataFrame:
@@ -179,13 +199,13 @@ FROM conversations
 """
 
 
-def export_objects(spark: SparkSession, sf: str) -> DataFrame:
+def export_objects(spark: SparkSession, sf: str, prefix: str = "C-") -> DataFrame:
     turns = F.transform(
         F.split("text", "\n"), lambda line: F.struct(F.col("role").alias("role"), line.alias("text"))
     )
     time = F.timestamp_seconds(F.lit(1704067200) + F.col("turn") * 3600)
     export = F.struct(
-        _text_id("C-", "conv_id").alias("ticket_id"),
+        _text_id(prefix, "conv_id").alias("ticket_id"),
         F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("exported_at"),
         turns.alias("turns"),
     )
@@ -282,7 +302,7 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     )
     head = F.lit("# Notes. Widgets carry a 1-day warranty.\n\n")
     parts = part.select(_text_id("part-", "p_partkey").alias("doc"), F.concat(head, terms).alias("text"))
-    nation = table(spark, sf, "nation").join(F.broadcast(table(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     region = F.replace("r_name", F.lit(" "), F.lit("-"))
     nations = nation.select(
         _text_id("nation-", "n_nationkey").alias("doc"),
@@ -291,10 +311,7 @@ def catalogue(spark: SparkSession, sf: str) -> DataFrame:
             "n_name", F.lit(" ship from the Port of "), "r_name", F.lit("."),
         ).alias("text"),
     )
-    # The nation table is fixed by the data model at a few hundred rows at most.
-    customer = table(spark, sf, "customer").join(
-        F.broadcast(table(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    customer = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     customers = customer.select(
         _text_id("customer-", "c_custkey").alias("doc"),
         F.concat(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import EMAIL, PHONE, hash_embed, mask_pii, norm_text
+from tidemark.functions.text import EMAIL, PHONE, hash_embed, mask_pii, norm_text, register_sql_functions
 from tidemark.operators import chunks, quality
 from tidemark.operators.schemas import TABLES
 from tidemark.queries.inputs import EXPORT_SQL, bronze_exports, documents, spread_table, table
@@ -49,6 +49,13 @@ def mask_documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread_table(spark, sf, "documents").select("doc_id", mask_pii(F.col("text")).alias("masked"))
 
 
+@registry.query(f"SELECT doc_id, {mask_sql('text')} AS masked FROM documents")
+def mask_documents_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """The mask as a function of SQL."""
+    register_sql_functions(spark)
+    return spark.sql("SELECT doc_id, mask_pii(text) AS masked FROM {docs}", docs=spread_table(spark, sf, "documents"))
+
+
 def _leaks(text: str) -> str:
     return f"count(*) FILTER (WHERE regexp_matches({text}, '{EMAIL}') OR regexp_matches({text}, '{PHONE}'))"
 

@@ -85,14 +85,15 @@ def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
     return cdc.scd2(ticket_changes(spark, sf)).withColumnRenamed("_lsn", "lsn")
 
 
-_SNAPSHOT = f"""
-WITH changes AS (SELECT * FROM ({CHANGE_SQL}) WHERE batch_id <= '2024-01-20'),
+def snapshot_sql(day: str) -> str:
+    return f"""
+WITH changes AS (SELECT * FROM ({CHANGE_SQL}) WHERE batch_id <= '{day}'),
 latest AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) = 1),
 created AS (SELECT ticket_id, priority AS priority_at_creation FROM changes WHERE op = 'c'
             QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY lsn) = 1),
 feedback AS (SELECT ticket_id, bool_or(rating = 'down') AS got_negative_feedback FROM ({EVENT_SQL})
-             WHERE reason IS NULL AND type = 'feedback' AND strftime(arrived, '%Y-%m-%d') <= '2024-01-20' GROUP BY 1)
-SELECT 'v2024-01-20' AS snapshot_version, ticket_id, subject || '. ' || body AS text, category AS label,
+             WHERE reason IS NULL AND type = 'feedback' AND strftime(arrived, '%Y-%m-%d') <= '{day}' GROUP BY 1)
+SELECT 'v{day}' AS snapshot_version, ticket_id, subject || '. ' || body AS text, category AS label,
        priority_at_creation, coalesce(got_negative_feedback, false) AS got_negative_feedback,
        strftime(created_at, '%Y-%m-%d') AS created_date
 FROM latest JOIN created USING (ticket_id) LEFT JOIN feedback USING (ticket_id)
@@ -100,7 +101,7 @@ WHERE op <> 'd' AND status = 'closed' AND category IS NOT NULL
 """
 
 
-@registry.query(_SNAPSHOT)
+@registry.query(snapshot_sql("2024-01-20"))
 def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """The training snapshot of 20 January out of the whole month's log."""
     snapshot = cdc.training_snapshot(ticket_changes(spark, sf), silver_events(spark, sf), "2024-01-20")
@@ -115,8 +116,18 @@ def ticket_feedback(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @registry.query("""
-SELECT 2 * count(*) AS n_records, 2 * count(*) FILTER (WHERE event_type = 'view') AS n_tombstones,
-       count(*) AS n_redeliveries FROM events""")
+SELECT 2 * count(*) AS n_records, 2 * count(*) FILTER (WHERE event_type = 'view' AND value >= 100) AS n_unreadable,
+       2 * count(*) FILTER (WHERE event_type = 'view' AND value < 100) AS n_tombstones,
+       count(*) FILTER (WHERE event_type <> 'view' OR value < 100) AS n_redeliveries FROM events""")
 def bronze_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw records keep tombstones and redeliveries."""
+    """Raw records keep tombstones, redeliveries and lines that cannot be read."""
     return quality.bronze_profile(bronze_tickets(spark, sf))
+
+
+@registry.query("""
+SELECT 'tickets' AS source, CASE event_id % 2 WHEN 0 THEN 'not valid JSON' ELSE 'not one record' END AS reason, 2 * count(*) AS n
+FROM events WHERE event_type = 'view' AND value >= 100 GROUP BY ALL""")
+def unreadable_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Ticket lines that are no record, listed and not taken for tombstones."""
+    found = quality.unreadable_records(bronze_tickets(spark, sf))
+    return found.groupBy(F.col("_source").alias("source"), "reason").agg(F.count(F.lit(1)).alias("n"))

@@ -56,10 +56,14 @@ def trace_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _spans(spark: SparkSession, sf: str) -> DataFrame:
-    return traces.flatten_spans(answer_turns(spark, sf))
+    """Questions and answers are in the roots, so no tree is walked."""
+    return traces.root_spans(answer_turns(spark, sf))
 
 
-@registry.query(f"SELECT trace_id, user_input AS input, agent_output AS reference FROM ({TURN_SQL}) WHERE status = 'ok' AND split = 'eval'")
+EVAL_SQL = f"SELECT trace_id, user_input AS input, agent_output AS reference FROM ({TURN_SQL}) WHERE status = 'ok' AND split = 'eval'"
+
+
+@registry.query(EVAL_SQL)
 def eval_set(spark: SparkSession, sf: str) -> DataFrame:
     return traces.eval_set(_spans(spark, sf))
 
@@ -77,8 +81,11 @@ def preference_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return traces.preference_pairs(_spans(spark, sf))
 
 
-@registry.query(f"""
-SELECT * FROM ({_PAIRS}) WHERE prompt NOT IN (SELECT prompt FROM ({TURN_SQL}) WHERE status = 'ok' AND split = 'eval')""")
+CLEAN_PAIRS_SQL = f"""
+SELECT * FROM ({_PAIRS}) WHERE prompt NOT IN (SELECT prompt FROM ({TURN_SQL}) WHERE status = 'ok' AND split = 'eval')"""
+
+
+@registry.query(CLEAN_PAIRS_SQL)
 def decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Preference pairs without those whose prompt is an eval input."""
     spans = _spans(spark, sf)

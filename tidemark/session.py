@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +61,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store `df` reliably, so that later steps neither recompute it nor carry its plan."""
+    """Store `df` in the shared folder, so that later steps neither recompute it nor carry its plan.
+
+    A written table and not `checkpoint()`, which computes what it stores twice. Its folder belongs to
+    the job, like checkpoint files, and goes with them.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    folder = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

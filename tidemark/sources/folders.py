@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -29,7 +30,7 @@ class Folders:
         return sorted(s.getPath().getName() for s in self._fs(path).listStatus(self._path(path)))
 
     def move(self, source: str, target: str) -> None:
-        """Rename; an existing target is an error, so of two writers one fails."""
+        """Rename; an existing target is an error."""
         fs = self._fs(target)
         fs.mkdirs(self._path(target).getParent())
         if fs.exists(self._path(target)) or not fs.rename(self._path(source), self._path(target)):
@@ -43,7 +44,13 @@ class Folders:
             stream.close()
 
     def write_text(self, path: str, text: str) -> None:
-        stream = self._fs(path).create(self._path(path), False)
+        """Create a file; of two writers of one path the file system lets one pass, the other fails."""
+        try:
+            stream = self._fs(path).create(self._path(path), False)
+        except Py4JJavaError as error:
+            if "AlreadyExists" in error.java_exception.getClass().getName() or self.exists(path):
+                raise FileExistsError(path) from error
+            raise
         try:
             stream.write(bytearray(text.encode("utf-8")))
         finally:

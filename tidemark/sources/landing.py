@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ _BRONZE_FILES = T.StructType([*BRONZE.fields, T.StructField("ingest_date", T.Str
 def kafka_records(lines: DataFrame, source: str, day: str, with_op: bool) -> DataFrame:
     """Bronze rows from JSON lines (`value`), one Kafka record each; blank lines are skipped.
 
-    The line is kept as it came. A line that is no JSON is kept too, with nulls beside it.
+    The line is kept as it came. A line that is no JSON, or an array of records, is kept too, with
+    nulls beside it; `quality.unreadable_records` lists such lines.
     """
     head = parsed(F.col("value"), "timestamp BIGINT, partition INT, offset BIGINT, value STRUCT<op: STRING>")
     return lines.where(F.trim("value") != "").select("value", head.alias("r")).select(
@@ -57,9 +59,30 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     return exploded.withColumn("pos", F.col("pos").cast("bigint"))
 
 
+# The fields of an export; in an array, others are not kept.
+_EXPORT_FIELDS = "ticket_id VARIANT, exported_at VARIANT, turns VARIANT"
+
+
+def read_export_array(spark: SparkSession, path: str) -> DataFrame:
+    """(`record` variant) of files that hold one array of exports each, read record by record.
+
+    No value is larger than a record, however large the file. One task reads a file; lines are the
+    form to prefer.
+    """
+    records = spark.read.option("multiLine", True).schema(_EXPORT_FIELDS).json(path)
+    # A folder's own columns are no fields of a record.
+    return records.select(F.parse_json(F.to_json(F.struct("ticket_id", "exported_at", "turns"))).alias("record"))
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(`record` variant) of files with one JSON object per line, the form to prefer: lines can be split."""
-    return spark.read.text(path).where(F.trim("value") != "").select(F.parse_json("value").alias("record"))
+    """(`record` variant) of files with one JSON object per line, the form to prefer: lines can be split.
+
+    A line that is no JSON becomes a record that is its text.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    as_text = F.parse_json(F.to_json(F.struct("value")))
+    record = F.coalesce(F.try_parse_json("value"), F.try_variant_get(as_text, "$.value", "variant"))
+    return lines.select(record.alias("record"))
 
 
 @dataclass(frozen=True)
@@ -78,7 +101,7 @@ def _kafka(with_op: bool):
 
 
 def _export(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
-    read = read_json_lines if path.endswith(".jsonl") else read_json_array
+    read = read_json_lines if path.endswith(".jsonl") else read_export_array
     return export_records(read(spark, path), source, day)
 
 
@@ -110,7 +133,9 @@ class Bronze:
         delivered = [place for place in places if self.folders.exists(place)]
         if not delivered:
             return {"source": source, "day": day, "status": "no-data", "rows": 0}
-        records = conform(spec.read(self.spark, delivered[0], source, day), BRONZE)
+        # A day may come in several files; all of them are the day's delivery.
+        files = [conform(spec.read(self.spark, place, source, day), BRONZE) for place in delivered]
+        records = reduce(DataFrame.unionByName, files)
         # Written aside and renamed: a half-written day is never visible.
         aside = f"{self.root}/{source}/_incoming-{uuid.uuid4().hex}"
         records.write.parquet(aside)

@@ -6,23 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators import cdc
-from tidemark.operators.keyed import latest_by
+from tidemark.operators import cdc, features, keyed, quality
 from tidemark.plans.daily import merge_tickets
 from tidemark.plans.lake import Lake
 from tidemark.sources.landing import kafka_records
 
-# How long a redelivery or a late event is waited for: the lookback of the daily run.
-WATERMARK = "3 days"
-
-
 def land_stream(lines: DataFrame, source: str, target: str, checkpoint: str) -> StreamingQuery:
     """Land what is new in a folder of JSON lines, every file exactly once, then stop.
 
-    The ingest day is the day a record reached us.
+    The ingest day is the day a record reached us; of a line that does not say when that was, the day
+    it is landed.
     """
     records = kafka_records(lines, source, "", with_op=source == "tickets")
-    day = F.date_format("_ingested_at", "yyyy-MM-dd")
+    day = F.date_format(F.coalesce(F.col("_ingested_at").cast("timestamp"), F.current_timestamp()), "yyyy-MM-dd")
     landed = records.withColumn("_batch_id", day).withColumn("ingest_date", day)
     return (
         landed.writeStream.format("parquet")
@@ -49,49 +45,29 @@ def upsert_tickets_stream(bronze: DataFrame, lake: Lake, checkpoint: str) -> Str
     return bronze.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def dedup_stream(events: DataFrame, key: str = "event_id", time: str = "event_time", watermark: str = WATERMARK) -> DataFrame:
-    """The first copy of every event, for copies no further apart than the watermark."""
-    # Watermarks need a zoned timestamp; the session zone is UTC, so nothing is shifted.
-    zoned = events.withColumn(time, F.col(time).cast("timestamp"))
-    once = zoned.withWatermark(time, watermark).dropDuplicatesWithinWatermark([key])
-    return once.withColumn(time, F.col(time).cast("timestamp_ntz"))
-
-
-def daily_features_stream(events: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Counts per user and event day; late events update their own day until the watermark passes it."""
-    feedback = F.col("type") == "feedback"
-    day = F.window("event_time", "1 day")
-    zoned = events.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    counted = zoned.withWatermark("event_time", watermark).groupBy("user_id", day).agg(
-        F.count(F.lit(1)).alias("n_events"),
-        F.count_if(F.col("type") == "click").alias("n_clicks"),
-        F.count_if(feedback & (F.col("rating") == "up")).alias("n_feedback_up"),
-        F.count_if(feedback & (F.col("rating") == "down")).alias("n_feedback_down"),
-    )
-    return counted.select(
-        "user_id", F.to_date(F.col("window")["start"]).alias("event_date"),
-        "n_events", "n_clicks", "n_feedback_up", "n_feedback_down",
-    )
-
-
-def write_updates(features: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Write every micro-batch's changed rows to a folder of its own; a retry replaces that folder."""
+def events_stream(gated: DataFrame, lake: Lake, checkpoint: str) -> StreamingQuery:
+    """Merge gated events into `silver_events`, each event once and however late, and recompute the
+    features of exactly the event days that got new ones, micro-batch by micro-batch.
 
-    def write(rows: DataFrame, epoch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
-
-    return (
-        features.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    What an event is compared with is the table, not a window of time, so no event is too late. Both
+    tables change with one commit; a micro-batch that is tried again after a failure adds nothing.
+    """
 
+    def merge(batch: DataFrame, _epoch: int) -> None:
+        run = lake.begin()
+        valid = quality.valid_events(batch)
+        arrival = [F.col("_ingested_at"), F.col("_kafka_offset")]
+        fresh = keyed.insert_new(run.read("silver_events"), valid, "event_id", arrival, at_most=batch.count())
+        if run.append("silver_events", fresh.drop("_kafka_partition", "_kafka_offset")):
+            added, _ = run.appended("silver_events")
+            day = F.to_date("event_time")
+            # One short text for each day of the micro-batch.
+            days = {row["d"] for row in added.select(day.cast("string").alias("d")).distinct().collect()}
+            rebuilt = features.daily_features(run.read("silver_events").where(day.cast("string").isin(*sorted(days))))
+            run.put_by("gold_feature_daily", rebuilt, F.col("event_date"), lambda slot: slot in days)
+        run.commit()
 
-def current_updates(written: DataFrame) -> DataFrame:
-    """The latest value of every (user, day) written by `write_updates`."""
-    return latest_by(written, ["user_id", "event_date"], [F.col("epoch")]).drop("epoch")
+    return gated.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def finish(query: StreamingQuery) -> None:

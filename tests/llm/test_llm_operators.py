@@ -282,7 +282,8 @@ def test_cut_texts_are_clean_and_others_untouched(spark):
     items = spark.createDataFrame([(k, prose(500 + k, 25)) for k in range(3)], "item_id long, text string")
     passage = prose(501, 25)
     rows = [(1, f"Before. {passage}, after", "s"), (2, "Untouched  text\n", "s"), (3, None, "s"), (4, passage, "s"),
-            (5, f"{' '.join(passage.split()[:5])} {passage} {' '.join(passage.split()[5:])} end", "s")]
+            # Too short on either side, but a window once what stands between is gone.
+            (5, f"{' '.join(passage.split()[:9])} {prose(502, 25)} {' '.join(passage.split()[9:18])} end", "s")]
     docs = documents(spark, rows)
     got = decontamination.decontaminate(docs, items)
     texts = {r["doc_id"]: r["text"] for r in got.collect()}

@@ -47,7 +47,7 @@ def test_other_queries_cover_the_table(spark, con, name):
 
 
 def test_planted_licence_lines_are_found(spark, con):
-    lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "This work is licensed under the GNU General Public License, version 3.": "GPL"}
+    lines = {"Licensed under the Apache License, Version 2.0.": "Apache-2.0", "Released under the MIT License.": "MIT", "Licensed under CC BY-NC 4.0.": "CC-BY-NC", "This work is licensed under the GNU General Public License, version 3.": "GPL", "All rights reserved.": "All-Rights-Reserved"}
     want = {}
     for i, text in con.execute("SELECT doc_id, text FROM documents").fetchall():
         want[i] = sorted({f for line, f in lines.items() if line in (text or "").split("\n")})

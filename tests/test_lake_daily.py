@@ -282,3 +282,23 @@ def test_all_files_of_a_day_land_and_arrays_are_read_by_record(spark, tmp_path):
     kept = chunks.decode_exports(warehouse.bronze.scan("transcripts")).where("ticket_id IS NOT NULL")
     assert sorted(r["ticket_id"] for r in kept.collect()) == ["A", "B", "C"]
     assert [r["reason"] for r in warehouse.unreadable("transcripts").collect()] == ["not one record"]
+
+
+def test_arrays_keep_every_field_and_broken_ones_are_refused(spark, tmp_path):
+    folder = tmp_path / "in" / "transcripts"
+    folder.mkdir(parents=True)
+    full = {"channel": {}, "exported_at": "2024-03-01T10:00:00Z", "note": None, "ticket_id": "A", "turns": []}
+    (folder / "2024-03-01.json").write_text(json.dumps([full, "no object"], indent=1))
+    broken = ['[{"ticket_id": "A"}, {"ticket', '[{"ticket_id": "A"}][{"ticket_id": "B"}]', '{"ticket_id": "A"}', "null", "\n"]
+    for k, text in enumerate(broken):
+        (folder / f"2024-04-0{k + 1}.json").write_text(text)
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    assert warehouse.bronze.land("transcripts", "2024-03-01")["rows"] == 2
+    payloads = [json.loads(r["_payload"]) for r in warehouse.bronze.scan("transcripts").collect()]
+    assert full in payloads and "no object" in payloads
+    assert warehouse.unreadable("transcripts").count() == 1
+    for k in range(len(broken)):
+        for _ in range(2):
+            with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|no array"):
+                warehouse.bronze.land("transcripts", f"2024-04-0{k + 1}")
+    assert warehouse.bronze.scan("transcripts").count() == 2

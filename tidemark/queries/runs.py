@@ -29,6 +29,8 @@ from tidemark.streaming import streams
 registry = Registry()
 # All rows are delivered on this ingest day.
 DAY = "2024-01-31"
+# The ingest day of a delivery that is cut off.
+BROKEN_DAY = "2024-02-01"
 
 
 def _work_folder(spark: SparkSession) -> str:
@@ -48,11 +50,16 @@ SELECT 'events' AS source, 'landed' AS first, 'already-landed' AS second, 2 * co
 UNION ALL SELECT 'tickets', 'landed', 'already-landed', 2 * count(*) FROM events
 UNION ALL SELECT 'transcripts', 'landed', 'already-landed', count(*) FROM conversations""")
 def landing(spark: SparkSession, sf: str) -> DataFrame:
-    """Records land once, however often the day is run; exports come in two files, lines and arrays."""
+    """Records land once, however often the day is run; exports come in two files, lines and arrays.
+
+    Exports have fields that nothing reads, and one that lost them is not counted. An array that is cut
+    off is refused and lands nothing.
+    """
     folder = _work_folder(spark)
     event_lines(spark, sf).write.text(f"{folder}/in/events/{DAY}.jsonl")
     change_lines(spark, sf).write.text(f"{folder}/in/cdc/tickets/{DAY}.jsonl")
-    exports = export_objects(spark, sf).withColumn("in_lines", F.xxhash64("value") % 2 == 0)
+    more = F.concat(F.lit('{"channel":{"name":"chat"},"tags":{},'), F.expr("substr(value, 2)"))
+    exports = export_objects(spark, sf).withColumn("in_lines", F.xxhash64("value") % 2 == 0).withColumn("value", more)
     exports.where("in_lines").select("value").write.text(f"{folder}/in/transcripts/{DAY}.jsonl")
     # Files of one array each: the exports of 50 conversations.
     number = F.get_json_object("value", "$.ticket_id").substr(3, 20).cast("bigint")
@@ -63,10 +70,20 @@ def landing(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
     for source in ("events", "tickets", "transcripts"):
         first, second = bronze.land(source, DAY), bronze.land(source, DAY)
-        counted = bronze.scan(source, batch=DAY).agg(F.count(F.lit(1)).alias("n_rows"))
+        whole = F.col("_payload").contains('"channel":{"name":"chat"}') & F.col("_payload").contains('"tags":{}')
+        counted = bronze.scan(source, batch=DAY).agg(F.count_if(whole if source == "transcripts" else F.lit(True)).alias("n_rows"))
         parts.append(counted.select(
             F.lit(source).alias("source"), F.lit(first["status"]).alias("first"), F.lit(second["status"]).alias("second"), "n_rows"
         ))
+    cut = exports.orderBy("value").limit(1).select(F.concat(F.lit("[\n"), "value", F.lit(",\n{")).alias("value"))
+    cut.write.text(f"{folder}/in/transcripts/{BROKEN_DAY}.json")
+    try:
+        bronze.land("transcripts", BROKEN_DAY)
+    except Exception as refused:
+        if "MALFORMED_RECORD_IN_PARSING" not in str(refused):
+            raise
+    else:
+        raise AssertionError("a cut-off array has landed")
     return reduce(DataFrame.unionByName, parts)
 
 

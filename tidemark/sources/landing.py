@@ -51,27 +51,19 @@ def export_records(records: DataFrame, source: str, day: str) -> DataFrame:
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """(`file`, `pos`, `record` variant) of files that hold one JSON array each."""
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), F.parse_json("value").alias("all")
-    )
-    exploded = spark.sql("SELECT file, e.pos, e.value AS record FROM {files}, LATERAL variant_explode(all) e", files=files)
-    return exploded.withColumn("pos", F.col("pos").cast("bigint"))
-
-
-# The fields of an export; in an array, others are not kept.
-_EXPORT_FIELDS = "ticket_id VARIANT, exported_at VARIANT, turns VARIANT"
+    """(`file`, `pos`, `record` variant) of files that hold one JSON array each, every field kept.
 
-
-def read_export_array(spark: SparkSession, path: str) -> DataFrame:
-    """(`record` variant) of files that hold one array of exports each, read record by record.
-
-    No value is larger than a record, however large the file. One task reads a file; lines are the
-    form to prefer.
+    Each element is a variant of its own, so only a file's text is one value (Spark's bound for one is
+    2 GB). A file that is cut off, or no array, fails the read; one of no bytes has no rows. One task
+    reads a file; lines are the form to prefer.
     """
-    records = spark.read.option("multiLine", True).schema(_EXPORT_FIELDS).json(path)
-    # A folder's own columns are no fields of a record.
-    return records.select(F.parse_json(F.to_json(F.struct("ticket_id", "exported_at", "turns"))).alias("record"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+    # Inside an object: what follows the array's end would be ignored otherwise.
+    whole = F.concat(F.lit('{"all":'), F.col("value"), F.lit("}"))
+    found = F.from_json(whole, "all ARRAY<VARIANT>", {"mode": "FAILFAST"})["all"]
+    refused = F.raise_error(F.concat(F.lit("no array: "), F.col("file"))).cast("array<variant>")
+    exploded = files.select("file", F.posexplode(F.coalesce(found, refused)).alias("pos", "record"))
+    return exploded.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -101,7 +93,7 @@ def _kafka(with_op: bool):
 
 
 def _export(spark: SparkSession, path: str, source: str, day: str) -> DataFrame:
-    read = read_json_lines if path.endswith(".jsonl") else read_export_array
+    read = read_json_lines if path.endswith(".jsonl") else read_json_array
     return export_records(read(spark, path), source, day)
 
 

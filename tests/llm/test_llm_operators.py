@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -211,6 +212,68 @@ def test_licences_are_found_and_prose_is_not(spark, odd, empty):
     assert license_scan.scan_licenses(empty).collect() == []
 
 
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "BSD": """Copyright (c) 2020, Some One
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "GPL": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "LGPL": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+    "Apache-2.0": """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.""",
+}
+
+
+def wrapped(text, width, prefix):
+    return "\n".join(prefix + line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+
+def test_wrapped_licence_texts_are_found(spark):
+    rows = [(k, textwrap.fill(prose(k, 80), 70) + "\n" + prose(k + 1000, 50), "s") for k in range(120)]
+    family, want = {}, {}
+    for k, (name, text) in enumerate(WRAPPED.items()):
+        for w, width in enumerate((30, 45, 72, 80)):
+            for p, (prefix, before) in enumerate((("", ""), (" * ", "/*\n"), ("# ", textwrap.fill(prose(w, 50), 60) + "\n"))):
+                i = 1000 + 100 * k + 10 * w + p
+                family[i] = name
+                rows.append((i, before + wrapped(text, width, prefix) + "\n\n" + prose(i, 30), "s"))
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: r for r in license_scan.scan_licenses(docs).collect()}
+    assert {i: r["licenses"] for i, r in got.items() if r["licenses"]} == {i: [name] for i, name in family.items()}
+    # The lines are those the wording stands on.
+    text = dict((i, t) for i, t, _ in rows)[1020].split("\n")
+    assert [text[k] for k in got[1020]["lines"]] == textwrap.wrap(WRAPPED["MIT"].split("\n")[4], 72)[:2]
+
+
+def test_a_wording_over_a_blank_line_or_scattered_words_is_none():
+    words = license_scan._words(b"Permission is hereby granted, free of charge, to any person obtaining a copy of this software")
+    assert license_scan.windows(b"one two\nthree\n\nfour") == [([0, 0, 1], [b"one", b"two", b"three"])]
+    assert license_scan._closest(words, [b"x", *words, b"y"]) == (len(words), 1, len(words) + 1)
+    spread = [w for word in words for w in (word, b"x")]
+    for t in (license_scan._words(t.encode()) for group in license_scan.TEMPLATES.values() for t in group):
+        assert sum(len(w) < 5 for w in t) < license_scan.CONFIRM * len(t)
+    assert license_scan._closest(words, spread)[0] < license_scan.CONFIRM * len(words)
+
+
 def test_pieces_cover_a_long_line():
     words = [f"w{k}".encode() for k in range(205)]
     parts = [p for _, p in license_scan.pieces(b" ".join(words))]

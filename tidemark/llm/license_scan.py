@@ -1,9 +1,11 @@
 """License scans: a trained paragraph classifier, with an unknown class and a comparison with templates.
 
-Paragraphs are lines, long ones in overlapping pieces. One sparse logistic regression over hashed word
+Looked at are lines, long ones in overlapping pieces, and the joined words of paragraphs (consecutive lines
+with words) in overlapping windows, as licence texts are wrapped at any column. One sparse logistic regression over hashed word
 n-grams per licence family says what a piece looks like; its probability is calibrated on examples it
 was not trained on, and what is not likely enough is unknown. A prediction counts only if the piece
-also holds most of one of the family's templates, word by word.
+also holds most of one of the family's templates, word by word. In a window other words may outweigh a
+notice, so there the templates decide alone: their words must stand close together, names included.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -65,6 +68,8 @@ NEGATIVES = 3_000
 THRESHOLD = 0.5
 # Share of a template's words that a piece must hold, in order, to confirm a prediction.
 CONFIRM = 0.8
+# Words that tell licences apart; where a window matches a template, both must have the same of them.
+NAMES = frozenset(b"apache mit bsd gnu gpl lesser lgpl library affero agpl mozilla mpl cc cc0 nc nd sa noncommercial noderivatives sharealike".split())
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
 
@@ -83,6 +88,23 @@ def pieces(text: bytes) -> list[tuple[int, list[bytes]]]:
     return out
 
 
+def windows(text: bytes) -> list[tuple[list[int], list[bytes]]]:
+    """(line of each word, words) of the overlapping pieces of paragraphs that hold words of several lines."""
+    out, numbers, words = [], [], []
+    for number, line in enumerate([*text.split(b"\n"), b""]):
+        if own := _words(line):
+            numbers += [number] * len(own)
+            words += own
+            continue
+        if words and numbers[0] != numbers[-1]:
+            for start in range(0, max(1, len(words) - PIECE + STEP), STEP):
+                of = numbers[start : start + PIECE]
+                if of[0] != of[-1]:
+                    out.append((of, words[start : start + PIECE]))
+        numbers, words = [], []
+    return out
+
+
 def _features(parts: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(piece, index, value) of single words and pairs of words of many pieces at once."""
     flat = hashes.of([w for p in parts for w in p])
@@ -119,6 +141,54 @@ class Model:
         return any(_common(t, part) >= CONFIRM * len(t) for t in self.templates[family])
 
 
+    def place(self, family: int, part: list[bytes]) -> tuple[int, int] | None:
+        """Where the window holds most of one of the family's templates close together: its best match."""
+        best, held = (0, 0, 0), set(part)
+        for t in self.templates[family]:
+            if sum(w in held for w in t) >= CONFIRM * len(t):
+                found, first, last = _closest(t, part)
+                if found >= CONFIRM * len(t) and NAMES.intersection(part[first:last]) == NAMES.intersection(t):
+                    best = max(best, (found, first - last, first))
+        return (best[2], best[2] - best[1]) if best[0] else None
+
+    @cached_property
+    def long_words(self) -> frozenset[bytes]:
+        return frozenset(w for group in self.templates for t in group for w in t if len(w) >= 5)
+
+    def named(self, joined: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[str, list[int]]]:
+        """(family, lines) of the windows that hold a template."""
+        for numbers, part in joined:
+            # No template has enough words without one of its long ones.
+            if not self.long_words.isdisjoint(part):
+                for f, family in enumerate(self.families):
+                    if place := self.place(f, part):
+                        yield family, numbers[slice(*place)]
+
+
+def _closest(a: list[bytes], b: list[bytes]) -> tuple[int, int, int]:
+    """(length, start, end) of the longest common subsequence that spans little more than `a` in `b`,
+    the shortest of equal ones."""
+    limit, best = int(len(a) / CONFIRM) + 2, (0, 0, 0)
+    for end in range(1, len(b) + 1):
+        if b[end - 1] not in a:
+            continue
+        low = max(0, end - limit)
+        # (length, first word) of the prefixes of `a`; a later first word is the closer match.
+        row = [(0, 0)] * (len(a) + 1)
+        for at in range(low, end):
+            last = row[0]
+            for k, x in enumerate(a, 1):
+                here = row[k]
+                if x == b[at]:
+                    row[k] = max(here, row[k - 1], (last[0] + 1, last[1] if last[0] else at))
+                else:
+                    row[k] = max(here, row[k - 1])
+                last = here
+        found, first = row[-1]
+        best = max(best, (found, first - end, first))
+    return best[0], best[2], best[2] - best[1]
+
+
 def _common(a: list[bytes], b: list[bytes]) -> int:
     """Length of the longest common subsequence; both are pieces, so short."""
     row = [0] * (len(b) + 1)
@@ -204,9 +274,10 @@ def negative_pieces(docs: DataFrame, doc_id="doc_id", text="text", limit: int =
 def scan_licenses(docs: DataFrame, doc_id="doc_id", text="text", model: Model | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """`doc_id, n_pieces, n_unknown, licenses, lines` of every row.
 
-    `licenses` are the families found, sorted, and `lines` the numbers of the lines that name one;
-    `n_unknown` counts pieces that a family was predicted for but no template confirmed. Null and
-    empty texts have no pieces. Rows that repeat, and null ids, get results like any other row.
+    `licenses` are the families found, sorted, and `lines` the numbers of the lines that name one, all
+    those of a wrapped wording; `n_pieces` counts pieces of lines and windows of paragraphs, `n_unknown`
+    pieces that a family was predicted for but no template confirmed. Null and empty texts have no
+    pieces. Rows that repeat, and null ids, get results like any other row.
     """
     if model is None:
         model = fit(negative_pieces(docs, doc_id, text))
@@ -217,7 +288,7 @@ def scan_licenses(docs: DataFrame, doc_id="doc_id", text="text", model: Model |
         for batch in batches:
             n_pieces, n_unknown, licenses, lines = [], [], [], []
             for t in texts(batch.column(1)):
-                parts = pieces(t)
+                parts, joined = pieces(t), windows(t)
                 found, places, unknown = set(), set(), 0
                 if parts:
                     chances = model.probabilities([p for _, p in parts], hashes)
@@ -227,7 +298,10 @@ def scan_licenses(docs: DataFrame, doc_id="doc_id", text="text", model: Model |
                             places.add(parts[k][0])
                         else:
                             unknown += 1
-                n_pieces.append(len(parts))
+                for family, numbers in model.named(joined):
+                    found.add(family)
+                    places.update(numbers)
+                n_pieces.append(len(parts) + len(joined))
                 n_unknown.append(unknown)
                 licenses.append(sorted(found))
                 lines.append(sorted(places))

@@ -467,6 +467,18 @@ def test_near_duplicates_of_odd_rows(spark, odd, empty):
     assert sorted(map(repr, (r["doc_id"] for r in kept.collect()))) == ["2", "9", "None"] and "hash" in kept.columns
 
 
+def test_one_row_of_each_class_whatever_the_ids(spark):
+    a, b, c, d = (prose(2000 + k, 60) for k in range(4))
+    rows = [(1, a, "s"), (1, b, "s"), (2, edited(a, 1, 1), "s"), (3, edited(b, 2, 1), "s")]
+    # Exactly repeated rows; equal and near texts without ids; null texts.
+    rows += [(5, c, "s")] * 4 + [(None, c, "s"), (None, d, "s"), (None, d, "t"), (None, edited(d, 3, 1), "s"), (7, None, "s"), (7, None, "s"), (None, None, "s")]
+    docs = documents(spark, rows)
+    got = Counter((r["doc_id"], r["class_id"]) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == Counter({(1, 1): 2, (2, 1): 1, (3, 1): 1, (5, 5): 4, (None, 5): 1, (None, None): 4, (7, 7): 2})
+    kept = Counter((r["doc_id"], r["text"] in (d, edited(d, 3, 1)) or r["text"]) for r in near_dedup.first_of_each(docs).collect())
+    assert kept == Counter({(1, a): 1, (1, b): 1, (5, c): 1, (None, True): 1, (7, None): 1, (None, None): 1})
+
+
 def test_components_of_a_long_path(spark):
     edges = store(spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")))
     assert {r["root"] for r in near_dedup.components(edges).collect()} == {0}

@@ -43,7 +43,7 @@ def overlap(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def _with_bands(docs: DataFrame, doc_id: str, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """`doc, hash, bands` of each row with an id and a text; a text without words has no bands."""
+    """`doc, hash, bands` of each row with a text; a text without words has no bands."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -58,7 +58,7 @@ def _with_bands(docs: DataFrame, doc_id: str, text: str, n: int, bands: int, row
                 keys += [next(found) if len(s) else [] for s in part]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys, pa.list_(pa.int64()))], ["doc", "hash", "bands"])
 
-    known = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull())
+    known = docs.where(F.col(text).isNotNull())
     rows_in = small_batches(known).select(F.col(doc_id).cast("long").alias("doc"), row_hash(F.col(text)).alias("hash"), F.col(text).alias("text"))
     return rows_in.mapInArrow(sign, "doc long, hash struct<a:long,b:long>, bands array<long>")
 
@@ -146,7 +146,7 @@ def _rare_buckets(nodes: DataFrame, n: int, similarity: float) -> DataFrame:
     return met.where(as_larger | as_smaller).select("key", "node", "size", "most")
 
 
-def near_duplicate_roots(signed: DataFrame, docs: DataFrame, doc_id: str, text: str, n: int, similarity: float) -> DataFrame | None:
+def near_duplicate_roots(signed: DataFrame, docs: DataFrame, text: str, n: int, similarity: float) -> DataFrame | None:
     """`node, root` for every node that is similar to another one; None if no two nodes meet.
 
     `signed` has `node, hash, bands` for each distinct text, stored.
@@ -158,9 +158,9 @@ def near_duplicate_roots(signed: DataFrame, docs: DataFrame, doc_id: str, text:
     if pairs.isEmpty():
         return None
     wanted = open_buckets.select("node").distinct()
-    own = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"), row_hash(F.col(text)).alias("hash"))
-    # Ids that come twice are settled by the text that was signed.
-    node_texts = store(own.join(signed.select("node", "hash").join(wanted, "node"), ["node", "hash"]).select("node", "text").dropDuplicates(["node"]))
+    # A third of all rows may have one text, so texts are reduced to one each before they are joined.
+    own = docs.where(F.col(text).isNotNull()).select(row_hash(F.col(text)).alias("hash"), F.col(text).alias("text")).dropDuplicates(["hash"])
+    node_texts = store(own.join(signed.select("node", "hash").join(wanted, "node"), "hash").select("node", "text"))
     checked = store(_similar(pairs, node_texts, n, similarity))
     roots = components(checked.where("linked"))
 
@@ -203,35 +203,59 @@ def _still_open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     return rooted.join(split.select("key"), "key")
 
 
+def _classes(docs: DataFrame, doc_id: str, text: str, n: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """`doc, hash` of every row with a text, and `hash, root, class_id` of every distinct text.
+
+    A node is a text, whatever ids have it. Nodes are numbered in the order of their 128-bit hashes, so
+    that neither ids nor the order of rows decide what is compared. `class_id` is the smallest id of a
+    class, null if it has none.
+    """
+    signed = store(_with_bands(docs, doc_id, text, n, bands, rows))
+    firsts = signed.groupBy("hash").agg(F.min("doc").alias("first"), F.first("bands").alias("bands"))
+    nodes = store(firsts.orderBy("hash").withColumn("node", F.monotonically_increasing_id()))
+    roots = near_duplicate_roots(nodes, docs, text, n, similarity)
+    if roots is None:
+        return signed.select("doc", "hash"), nodes.select("hash", F.col("node").alias("root"), F.col("first").alias("class_id"))
+    rooted = nodes.join(roots, "node", "left").select("hash", "first", F.coalesce("root", "node").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("first").alias("class_id"))
+    return signed.select("doc", "hash"), rooted.join(smallest, "root").select("hash", "root", "class_id")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id="doc_id", text="text", shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND
 ) -> DataFrame:
-    """`doc_id, class_id` of every row: the smallest id among all texts it is connected with.
+    """`doc_id, class_id` of every row: the smallest id among all texts its text is connected with.
 
     Texts are compared as multisets of runs of `shingle_words` words between blanks, ASCII letters in
     lower case. Equal texts are always one class, also empty ones; texts without words are similar to
-    nothing else. A null text is a class of its own, and a null id has no class. Rows that repeat an
-    id are taken as one document, the class of the text being each row's own. No rows, no classes.
+    nothing else. A null text is a class of its own. A row without an id has the class of its text,
+    which is null if no text of the class has an id. An id with several texts has the class of each
+    in that text's row. No rows, no classes.
+    """
+    rows, classed = _classes(docs, doc_id, text, shingle_words, similarity, bands, rows_per_band)
+    member = rows.join(classed, "hash").select(F.col("doc").alias("doc_id"), "class_id")
+    own = F.col(doc_id).cast("long")
+    return member.unionByName(docs.where(F.col(text).isNull()).select(own.alias("doc_id"), own.alias("class_id")))
+
+
+def first_of_each(
+    docs: DataFrame, doc_id="doc_id", text="text", shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, bands: int = BANDS, rows_per_band: int = ROWS_PER_BAND
+) -> DataFrame:
+    """One row of `docs` of each class: of the smallest id, then text hash, then row hash.
+
+    A row without an id is kept only if its class has none with one. Rows without a text are one class
+    for each id; rows with neither are all kept.
     """
-    signed = store(_with_bands(docs, doc_id, text, shingle_words, bands, rows_per_band))
-    # One node for each text: the smallest id that has it. A third of all rows may have one text, so
-    # ids are reduced before they move, and the join back is on text and id.
-    firsts = signed.groupBy("hash").agg(F.min("doc").alias("node"))
-    nodes = store(
-        signed.join(firsts.withColumn("doc", F.col("node")), ["hash", "doc"]).select("node", "hash", "bands").dropDuplicates(["node"])
-    )
-    roots = near_duplicate_roots(nodes, docs, doc_id, text, shingle_words, similarity)
-    classed = firsts
-    if roots is not None:
-        classed = firsts.join(roots, "node", "left").select("hash", F.coalesce("root", "node").alias("node"))
-    member = signed.select("doc", "hash").join(classed, "hash").select(F.col("doc").alias("doc_id"), F.col("node").alias("class_id"))
-    rest = docs.where(F.col(doc_id).isNull() | F.col(text).isNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.col(doc_id).cast("long").alias("class_id"))
-    return member.unionByName(rest)
-
-
-def first_of_each(docs: DataFrame, doc_id="doc_id", text="text", **options) -> DataFrame:
-    """The rows of `docs` whose id names their class: one document of each, and all without an id."""
-    classes = near_duplicates(docs, doc_id, text, **options)
-    firsts = classes.where(F.col("doc_id") == F.col("class_id")).select(F.col("class_id").alias("_first")).distinct()
-    kept = docs.join(firsts, F.col(doc_id).cast("long") == F.col("_first"), "left_semi")
-    return kept.unionByName(docs.where(F.col(doc_id).isNull()))
+    _, classed = _classes(docs, doc_id, text, shingle_words, similarity, bands, rows_per_band)
+    own = F.col(doc_id).cast("long")
+    rank = F.struct(own.isNull().alias("no_id"), own.alias("doc"), row_hash(F.col(text)).alias("hash"), row_hash(*[F.col(c) for c in docs.columns]).alias("row"))
+    # Rows are reduced to one for each text before any move, and only then joined: no key is hot.
+    told = docs.where(F.col(text).isNotNull()).select(row_hash(F.col(text)).alias("_hash"), rank.alias("_rank"), F.struct(*docs.columns).alias("_all"))
+    each = told.groupBy("_hash").agg(F.min("_rank").alias("_rank"))
+    winners = each.join(classed, each["_hash"] == classed["hash"]).groupBy("root").agg(F.min("_rank").alias("_rank"))
+    best = told.groupBy("_hash").agg(F.min_by("_all", "_rank").alias("_all"))
+    kept = best.join(winners.select(F.col("_rank.hash").alias("_hash")), "_hash", "left_semi").select("_all.*")
+    untold = docs.where(F.col(text).isNull())
+    named = untold.where(F.col(doc_id).isNotNull()).select(own.alias("_doc"), rank.alias("_rank"), F.struct(*docs.columns).alias("_all"))
+    named = named.groupBy("_doc").agg(F.min_by("_all", "_rank").alias("_all")).select("_all.*")
+    return kept.unionByName(named).unionByName(untold.where(F.col(doc_id).isNull()))

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import shared_folder
@@ -99,3 +99,21 @@ def chunks(items: Iterable, weight, limit: int) -> Iterator[list]:
         total += w
     if held:
         yield held
+
+
+def positions(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Adds `pos`, a row's place in its group from 0, and `n`, the group's rows; no group is gathered.
+
+    Rows are sorted over all tasks, groups in a row, and stored with the place that each task gives them;
+    the rows before a task's part of a group are summed over tasks. Group columns are never null. Equal
+    rows part by their arrival, so that they are no hot key of the sort either.
+    """
+    arrived = rows.withColumn("_arrival", F.monotonically_increasing_id())
+    ordered = arrived.orderBy(*group, *order, "_arrival").drop("_arrival").withColumn("_at", F.monotonically_increasing_id())
+    placed = store(ordered).withColumn("_task", F.shiftright("_at", 33))
+    parts = placed.groupBy(*group, "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_first"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("*", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("n"))
+    found = placed.join(parts.drop("_rows"), [*group, "_task"])
+    return found.withColumn("pos", F.col("_at") - F.col("_first") + F.col("_before")).drop("_at", "_task", "_first", "_before")

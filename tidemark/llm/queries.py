@@ -1,11 +1,14 @@
-"""The ten operators over their whole tables, and the corpus pipeline, as queries."""
+"""The thirteen operators over their whole tables, and the corpus pipeline, as queries."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, decontamination, license_scan, line_dedup, mixing, near_dedup, quality_classifier, rule_cascade, sharding, token_counts
+from tidemark.llm import (
+    chat_format, decontamination, hard_negatives, license_scan, line_dedup, merkle, mixing, near_dedup, quality_classifier, rule_cascade, secret_scan,
+    sharding, token_counts,
+)
 from tidemark.llm.common import store, table
 from tidemark.llm.oracles import ORACLES
 from tidemark.llm.shipping import ship
@@ -66,6 +69,28 @@ def op10_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select(*merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(hit, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    # Whoever checks a row has its present fields and the manifest's proof.
+    present = merkle.leaf_digest("doc_id", "source", "lang", "n_chars", tampered)
+    rows, _ = merkle.proofs(docs, keep={"present": present})
+    folded = merkle.folded(F.col("present"), F.col("path"))
+    checked = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return checked.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan_secrets(table(spark, sf, "documents"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     from corpus_pipeline import run
 
@@ -74,7 +99,8 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 _QUERIES = (
     op1_line_dedup, op2_source_mix, op3_token_counts, op4_quality_classifier, op5_license_scan, op6_decontamination,
-    op7_sharding, op8_near_dedup, op9_quality_rules, op10_chat_format, pipeline,
+    op7_sharding, op8_near_dedup, op9_quality_rules, op10_chat_format, op11_hard_negatives, op12_merkle_manifest,
+    op13_secret_scan, pipeline,
 )
 
 

@@ -80,17 +80,17 @@ def _random_windows(candidate: str) -> Iterator[tuple[int, int]]:
     counts = dict.fromkeys(candidate, 0)
     total, outside = 0, [0] * len(CLASSES)
     for k, ch in enumerate(candidate):
-        # In comes one character, out goes the one a window before; all else stays as it was.
-        total += COST[counts[ch] + 1] - COST[counts[ch]]
-        counts[ch] += 1
-        for c in range(len(CLASSES)):
-            outside[c] += not _BITS[ch] >> c & 1
+        # Out goes the character a window before, in comes this one; all else stays as it was.
         if k >= WINDOW:
             gone = candidate[k - WINDOW]
             counts[gone] -= 1
             total += COST[counts[gone]] - COST[counts[gone] + 1]
             for c in range(len(CLASSES)):
                 outside[c] -= not _BITS[gone] >> c & 1
+        total += COST[counts[ch] + 1] - COST[counts[ch]]
+        counts[ch] += 1
+        for c in range(len(CLASSES)):
+            outside[c] += not _BITS[ch] >> c & 1
         if k >= WINDOW - 1:
             own = outside.index(0)
             if total <= _MOST[own]:

@@ -90,19 +90,39 @@ def components(edges: DataFrame) -> DataFrame:
     Labels go to neighbours and then jump to their label's label, so the rounds grow with the
     logarithm of the longest path. Each round is stored; only a count comes to the driver.
     """
-    both = store(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = store(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")))
+    ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")), F.struct("a", F.col("a").alias("b")), F.struct(F.col("b").alias("a"), "b")))
+    # Every node is its own neighbour, so that one aggregation has its label and its neighbours' together.
+    both = store(edges.select(ends.alias("e")).select("e.*").distinct())
+    labels = store(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")))
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        met = labels.join(near, labels["node"] == near["a"]).select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("further"))
-        new = store(met.join(jump, "root").select("node", "old", F.least("root", "further").alias("root")))
+        mine = F.when(F.col("a") == F.col("b"), F.col("root"))
+        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"), F.min(mine).alias("old"))
+        jump = labels.select(F.col("node").alias("near"), F.col("root").alias("further"))
+        new = store(near.join(jump, "near").select(F.col("a").alias("node"), "old", F.least("near", "further").alias("root")))
         changed = new.where(F.col("old") != F.col("root")).limit(1).count()
         labels = new.select("node", "root")
         if not changed:
             return labels
 
 
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Adds `root`; a node without an edge is its own."""
+    known = roots.select("node", F.col("root").alias("known"))
+    return nodes.join(known, "node", "left").withColumn("root", F.coalesce("known", "node")).drop("known")
+
+
+def _contracted(roots: DataFrame, linked: DataFrame) -> DataFrame:
+    """`roots` after the links `a, b` between nodes: only the classes they join are worked on."""
+    ends = linked.select(F.col("a").alias("node"), "b")
+    ends = _rooted(ends, roots).select(F.col("b").alias("node"), F.col("root").alias("a"))
+    met = _rooted(ends, roots).select("a", F.col("root").alias("b")).where("a != b")
+    merged = components(met).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    # Nodes that had no edge before are classes of their own.
+    alone = merged.select(F.col("root").alias("node"), "root").join(roots.select("node"), "node", "left_anti")
+    both = roots.select("node", "root").unionByName(alone)
+    return store(both.join(merged, "root", "left").select("node", F.coalesce("top", "root").alias("root")))
+
+
 def _rare_buckets(nodes: DataFrame, n: int, similarity: float) -> DataFrame:
     """`key, node, size, most` such that any two nodes with the given similarity share a key.
 
@@ -152,67 +172,61 @@ def near_duplicate_roots(signed: DataFrame, docs: DataFrame, text: str, n: int,
     `signed` has `node, hash, bands` for each distinct text, stored.
     """
     buckets = signed.select("node", F.explode("bands").alias("key"))
-    open_buckets = _still_open(buckets, None)
-    pivots = open_buckets.groupBy("key").agg(F.min("node").alias("b"))
-    pairs = store(open_buckets.join(pivots, "key").where("node != b").select(F.col("node").alias("a"), "b").distinct())
+    pivots = buckets.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b < last").select("key", "b")
+    # A bucket's pivot leaves it: it has been compared with all others.
+    rest = store(buckets.join(pivots, "key").where("node != b"))
+    pairs = store(rest.select(F.col("node").alias("a"), "b").distinct())
     if pairs.isEmpty():
         return None
-    wanted = open_buckets.select("node").distinct()
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     # A third of all rows may have one text, so texts are reduced to one each before they are joined.
     own = docs.where(F.col(text).isNotNull()).select(row_hash(F.col(text)).alias("hash"), F.col(text).alias("text")).dropDuplicates(["hash"])
     node_texts = store(own.join(signed.select("node", "hash").join(wanted, "node"), "hash").select("node", "text"))
     checked = store(_similar(pairs, node_texts, n, similarity))
     roots = components(checked.where("linked"))
 
-    # Nodes of buckets that one pivot has not made one class meet again, by what is rare in them.
-    unsettled = _still_open(buckets, roots).select("node").distinct()
+    # What is left of a bucket, if it is of several classes, meets again by what is rare in it.
+    split = rest.select("key", "node").transform(lambda df: _rooted(df, roots)).groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    unsettled = store(rest.join(split.where("low != high").select("key"), "key").select("node").distinct())
+    if unsettled.isEmpty():
+        return roots
     again = node_texts.join(unsettled, "node")
-    buckets, each, seen = store(_rare_buckets(again, n, similarity)), 8, checked.select("a", "b")
+    buckets, each, seen = _rare_buckets(again, n, similarity), 8, checked.select("a", "b")
     part = similarity / (1 + similarity)
     while True:
-        held = store(_still_open(buckets, roots))
-        if held.isEmpty():
-            return roots
+        rooted = _rooted(buckets, roots)
         # Every pair of two classes has a node outside the bucket's largest class. Of those nodes the
         # smallest of each residue class is a pivot and then leaves the bucket; there are more of
         # them each time, so that the rounds grow with the logarithm of their number.
-        largest = held.groupBy("key", "root").count().groupBy("key").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+        classes = rooted.groupBy("key", "root").count().groupBy("key").agg(F.count(F.lit(1)).alias("classes"), F.max(F.struct("count", "root"))["root"].alias("main"))
+        held = store(rooted.join(classes.where("classes > 1").select("key", "main"), "key"))
+        if held.isEmpty():
+            return roots
         turn = F.pmod(F.xxhash64("node"), F.lit(each))
-        others = held.join(largest, "key").where(F.col("root") != F.col("main"))
-        pivots = others.groupBy("key", turn.alias("turn")).agg(F.min(F.struct("node", "root", "size", "most")).alias("pivot"))
-        pivots = pivots.select("key", F.col("pivot.node").alias("b"), F.col("pivot.root").alias("b_root"), F.col("pivot.size").alias("b_size"), F.col("pivot.most").alias("b_most"))
+        pivots = held.where("root != main").groupBy("key", turn.alias("turn")).agg(F.min(F.struct("node", "root", "size", "most")).alias("pivot"))
+        pivots = store(pivots.select("key", F.col("pivot.node").alias("b"), F.col("pivot.root").alias("b_root"), F.col("pivot.size").alias("b_size"), F.col("pivot.most").alias("b_most")))
         possible = F.least("most", "b_most") >= part * (F.col("size") + F.col("b_size")) - 1e-6
         pairs = held.join(pivots, "key").where((F.col("root") != F.col("b_root")) & possible)
-        pairs = pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
-        checked = store(_similar(store(pairs.join(seen, ["a", "b"], "left_anti")), node_texts, n, similarity))
+        pairs = store(pairs.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct().join(seen, ["a", "b"], "left_anti"))
+        checked = store(_similar(pairs, node_texts, n, similarity))
+        linked = checked.where("linked").select("a", "b")
+        if not linked.isEmpty():
+            roots = _contracted(roots, linked)
         seen = seen.unionByName(checked.select("a", "b"))
-        known = roots.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = components(known.unionByName(checked.where("linked").select("a", "b")))
-        buckets = store(held.join(pivots.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").drop("root"))
+        buckets = held.join(pivots.select("key", F.col("b").alias("node")), ["key", "node"], "left_anti").select("key", "node", "size", "most")
         each *= 8
 
 
-def _still_open(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """`key, node, root` of the buckets that hold nodes of more than one class."""
-    if roots is None:
-        rooted = buckets.withColumn("root", F.col("node"))
-    else:
-        known = roots.select("node", F.col("root").alias("known"))
-        rooted = buckets.join(known, "node", "left").withColumn("root", F.coalesce("known", "node")).drop("known")
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high"))
-    return rooted.join(split.select("key"), "key")
-
-
 def _classes(docs: DataFrame, doc_id: str, text: str, n: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
     """`doc, hash` of every row with a text, and `hash, root, class_id` of every distinct text.
 
-    A node is a text, whatever ids have it. Nodes are numbered in the order of their 128-bit hashes, so
-    that neither ids nor the order of rows decide what is compared. `class_id` is the smallest id of a
+    A node is a text, whatever ids have it. Nodes are numbered once, as they are stored; the numbers say
+    which text is a pivot, and the classes are the same for any. `class_id` is the smallest id of a
     class, null if it has none.
     """
     signed = store(_with_bands(docs, doc_id, text, n, bands, rows))
     firsts = signed.groupBy("hash").agg(F.min("doc").alias("first"), F.first("bands").alias("bands"))
-    nodes = store(firsts.orderBy("hash").withColumn("node", F.monotonically_increasing_id()))
+    nodes = store(firsts.withColumn("node", F.monotonically_increasing_id()))
     roots = near_duplicate_roots(nodes, docs, text, n, similarity)
     if roots is None:
         return signed.select("doc", "hash"), nodes.select("hash", F.col("node").alias("root"), F.col("first").alias("class_id"))
@@ -247,15 +261,18 @@ def first_of_each(
     for each id; rows with neither are all kept.
     """
     _, classed = _classes(docs, doc_id, text, shingle_words, similarity, bands, rows_per_band)
-    own = F.col(doc_id).cast("long")
-    rank = F.struct(own.isNull().alias("no_id"), own.alias("doc"), row_hash(F.col(text)).alias("hash"), row_hash(*[F.col(c) for c in docs.columns]).alias("row"))
+    own, body = F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`")
+    # Maps have neither order nor hash; their JSON stands for them.
+    plain = [F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in docs.schema.fields]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rank = F.struct(own.isNull().alias("no_id"), own.alias("doc"), row_hash(body).alias("hash"), row_hash(*plain).alias("row"))
     # Rows are reduced to one for each text before any move, and only then joined: no key is hot.
-    told = docs.where(F.col(text).isNotNull()).select(row_hash(F.col(text)).alias("_hash"), rank.alias("_rank"), F.struct(*docs.columns).alias("_all"))
+    told = docs.where(body.isNotNull()).select(row_hash(body).alias("_hash"), rank.alias("_rank"), whole.alias("_all"))
     each = told.groupBy("_hash").agg(F.min("_rank").alias("_rank"))
     winners = each.join(classed, each["_hash"] == classed["hash"]).groupBy("root").agg(F.min("_rank").alias("_rank"))
     best = told.groupBy("_hash").agg(F.min_by("_all", "_rank").alias("_all"))
     kept = best.join(winners.select(F.col("_rank.hash").alias("_hash")), "_hash", "left_semi").select("_all.*")
-    untold = docs.where(F.col(text).isNull())
-    named = untold.where(F.col(doc_id).isNotNull()).select(own.alias("_doc"), rank.alias("_rank"), F.struct(*docs.columns).alias("_all"))
+    untold = docs.where(body.isNull())
+    named = untold.where(own.isNotNull()).select(own.alias("_doc"), rank.alias("_rank"), whole.alias("_all"))
     named = named.groupBy("_doc").agg(F.min_by("_all", "_rank").alias("_all")).select("_all.*")
-    return kept.unionByName(named).unionByName(untold.where(F.col(doc_id).isNull()))
+    return kept.unionByName(named).unionByName(untold.where(own.isNull()))

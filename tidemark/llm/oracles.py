@@ -87,12 +87,14 @@ WITH RECURSIVE bits(n, c, step) AS (
     UNION ALL
     SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8
 ), lookup AS (SELECT list(c ORDER BY n) AS tab FROM bits WHERE step = 8),
-rows AS (
+summed AS (
     SELECT doc_id, strlen(coalesce(text, '')) + 16 AS size,
-           CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) % 4096 AS INTEGER) AS virtual_slot,
            xor(list_reduce(list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda p: CAST('0x' || p AS BIGINT)),
                            lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295) AS text_crc32
     FROM documents, lookup
+), rows AS (
+    SELECT *, CAST(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || text_crc32 || ':' || size), 1, 12) AS BIGINT) % 4096 AS INTEGER) AS virtual_slot
+    FROM summed
 ), slots AS (
     SELECT virtual_slot, CAST(sum(size) AS BIGINT) AS bytes, row_number() OVER (ORDER BY sum(size) DESC, virtual_slot) AS turn FROM rows GROUP BY virtual_slot
 ), dealt(turn, virtual_slot, shard, loads) AS (
@@ -104,8 +106,12 @@ rows AS (
 )
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
        row_number() OVER (PARTITION BY shard ORDER BY r.virtual_slot, doc_id, text_crc32, size) - 1 AS slot,
-       CAST(NULL AS INTEGER) AS grown_shard, r.virtual_slot, 0 AS map_version
-FROM rows r JOIN (SELECT virtual_slot, shard FROM dealt WHERE turn > 0) m ON r.virtual_slot = m.virtual_slot
+       CAST(NULL AS INTEGER) AS grown_shard, r.virtual_slot, 0 AS map_version,
+       CAST(CASE WHEN given * 41 <= held THEN 40 ELSE shard END AS INTEGER) AS next_shard, 1 AS next_version
+FROM rows r JOIN (
+    SELECT d.virtual_slot, shard, sum(bytes) OVER (PARTITION BY shard ORDER BY bytes, d.virtual_slot ROWS UNBOUNDED PRECEDING) AS given, sum(bytes) OVER (PARTITION BY shard) AS held
+    FROM dealt d JOIN slots s ON d.virtual_slot = s.virtual_slot WHERE d.turn > 0
+) m ON r.virtual_slot = m.virtual_slot
 """
 
 QUALITY_RULES = f"""

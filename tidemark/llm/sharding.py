@@ -24,15 +24,23 @@ def record_size(text: Column) -> Column:
     return (F.coalesce(F.octet_length(text), F.lit(0)) + RECORD_BYTES).cast("long")
 
 
-def slot_of(doc_id: Column, slots: int = SLOTS) -> Column:
-    """The slot of an id; null ids are one more key. md5, so that other engines can follow."""
-    digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
-    return F.pmod(F.conv(F.substring(digest, 1, 12), 16, 10).cast("long"), F.lit(slots)).cast("int")
+def text_crc32(text: Column) -> Column:
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def slot_of(doc_id: Column, text: Column, slots: int = SLOTS) -> Column:
+    """The slot of a record: of its id, or an empty one, and its text's checksum and size.
+
+    So rows without an id, and texts under one id, are many slots' worth; only rows that are equal in both
+    share a slot whatever happens. md5, so that other engines can follow.
+    """
+    told = F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), text_crc32(text).cast("string"), record_size(text).cast("string"))
+    return F.pmod(F.conv(F.substring(F.md5(told), 1, 12), 16, 10).cast("long"), F.lit(slots)).cast("int")
 
 
 def slot_weights(docs: DataFrame, doc_id="doc_id", text="text", slots: int = SLOTS) -> DataFrame:
     """`virtual_slot, bytes, records` for every slot that has records: at most `slots` rows."""
-    rows = docs.select(slot_of(F.col(doc_id), slots).alias("virtual_slot"), record_size(F.col(text)).alias("size"))
+    rows = docs.select(slot_of(F.col(doc_id), F.col(text), slots).alias("virtual_slot"), record_size(F.col(text)).alias("size"))
     return rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("records"))
 
 
@@ -92,16 +100,23 @@ def stored_map(docs: DataFrame, shards: int, doc_id="doc_id", text="text", slots
     return load_map(docs.sparkSession, folder, 0), weights
 
 
+def edited_map(slot_map: DataFrame, weights: DataFrame, new_shard: int, folder: str) -> DataFrame:
+    """The newest version of the map after one shard more has been added, saved beside the versions before."""
+    save_map(grow_map(slot_map, weights, new_shard), folder)
+    return load_map(slot_map.sparkSession, folder)
+
+
 def place_records(docs: DataFrame, slot_map: DataFrame, doc_id="doc_id", text="text", slots: int = SLOTS) -> DataFrame:
     """All columns of `docs` and a struct `placed`: `size, text_crc32, virtual_slot, shard, version`.
 
-    Null texts have no bytes and the checksum of none, 0. Null ids share a slot. The map has at most
-    `slots` rows, so it is broadcast. A column called `placed` is replaced.
+    Null texts have no bytes and the checksum of none, 0; a very long text is one record. Rows without an id
+    have slots by their texts. The map has at most `slots` rows, so it is broadcast. A column called `placed`
+    is replaced. No rows, no result.
     """
     own = F.struct(
         record_size(F.col(text)).alias("size"),
-        F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        slot_of(F.col(doc_id), slots).alias("virtual_slot"),
+        text_crc32(F.col(text)).alias("text_crc32"),
+        slot_of(F.col(doc_id), F.col(text), slots).alias("virtual_slot"),
     )
     rows = docs.select(F.struct("*").alias("_row"), own.alias("_own"))
     known = slot_map.select(F.struct("virtual_slot", "shard", "version").alias("_map"))

@@ -49,6 +49,10 @@ def train_model(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text"
     shards = max(1, -(-sample.count() // shard_rows))
     # At most `rows` short rows, so they may be sent to every task.
     rows_with_text = small_batches(docs).select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(sample), "id")
+    # Of an id with several rows one text is learned from, the one with the smallest digest; an id may have a
+    # third of all rows, and each task sends one of them at most.
+    one = F.struct(F.col("text").isNull().alias("none"), F.sha2("text", 256).alias("digest"))
+    rows_with_text = rows_with_text.groupBy("id", "label", "rank").agg(F.min_by("text", one).alias("text"))
     dealt = rows_with_text.repartition(shards, F.pmod("rank", F.lit(shards))).select(F.pmod("rank", F.lit(shards)).cast("int").alias("shard"), "rank", "id", "label", "text")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,11 +61,10 @@ def train_model(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text"
             shard, rank, ids, label, _ = (c.to_pylist() for c in batch.columns[:4] + [batch.column(0)])
             for s, r, i, y, t in zip(shard, rank, ids, label, texts(batch.column(4)), strict=True):
                 index, value = features(t, hashes, settings.bits)
-                by_shard.setdefault(s, []).append((r, i, t[:64], index, value, y))
+                by_shard.setdefault(s, []).append((r, i, index, value, y))
         for s, examples in by_shard.items():
-            # Rows that repeat an id have equal ranks; the text decides between them.
-            examples.sort(key=lambda e: (e[0], e[1], e[2], len(e[3])))
-            weights = train([e[3:] for e in examples], settings)
+            examples.sort(key=lambda e: e[:2])
+            weights = train([e[2:] for e in examples], settings)
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([weights.astype(np.float32).tobytes()], pa.binary())], ["shard", "weights"])
 
     learned = dealt.mapInArrow(learn, "shard int, weights binary").collect()
@@ -88,7 +91,9 @@ def quality_score(docs: DataFrame, weights: np.ndarray, text="text") -> Column:
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id="doc_id", text="text", label="quality", threshold: float = REJECT_BELOW, **options) -> DataFrame:
     """`doc_id, held_out, score, predicted` of every row; only the text decides a score.
 
-    Null ids are scored like others and count as not held out. Rows that repeat get equal scores.
+    Null ids are scored like others and count as not held out. Rows that repeat get equal scores; of a
+    labelled id with several texts one is learned from. A very long text is scored whole, by one task; null
+    and empty texts get the prior. No rows, no scores.
     """
     weights = train_model(docs, labels, doc_id, text, label, **options)
     scored = docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), quality_score(docs, weights, text).alias("score"))

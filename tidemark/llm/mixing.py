@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import WORD, store
 
-# A source's documents are counted in so many bins by key; only one bin's rows are ever put in order.
-# With 10^10 documents in a source that bin holds some 150,000 short rows.
-BINS = 1 << 16
+# A source's documents are counted in bins by key, so many to each doubling of it; only one bin's rows are ever
+# put in order. The rate of an exponential key moves it along this scale and does not change how it is spread:
+# whatever the weights, no bin holds more than a share of ln 2 / e / BINS, 3e-5 of them. With 10^10
+# documents in a source that is 310,000 short rows.
+BINS = 1 << 13
 # The plan has a row per source and is broadcast up to this many of them; beyond, it is shuffled.
 BROADCAST_SOURCES = 100_000
+LEAST_WEIGHT = 1e-6
 _SYMBOLS = "#*$%&|<>"
 
 
@@ -35,17 +38,21 @@ def _digest(doc_id: str, text: str, seed: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), F.col(doc_id).cast("string"), F.md5(F.coalesce(text, F.lit("")))))
 
 
-def _key(digest: Column, text: str) -> Column:
+def _key(digest: Column, text: str, quality: Column | None) -> Column:
     """An exponential variable with the document's quality as its rate, from 52 bits of the digest."""
     uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(1 << 52)
-    return -F.log(uniform) / quality_weight(F.col(text))
+    if quality is None:
+        return -F.log(uniform) / quality_weight(F.col(text))
+    # What is no weight, or none above zero, counts as the least one.
+    known = F.when(quality > LEAST_WEIGHT, quality.cast("double"))
+    return -F.log(uniform) / F.coalesce(F.when(F.isnan(known), None).otherwise(known), F.lit(LEAST_WEIGHT))
 
 
-def _sampled(docs: DataFrame, doc_id: str, text: str, source: str, seed: str) -> DataFrame:
+def _sampled(docs: DataFrame, doc_id: str, text: str, source: str, seed: str, quality: Column | None) -> DataFrame:
     """What the sampling looks at: source, size, key with its bin, and a digest that orders equal keys."""
     digest = _digest(doc_id, text, seed)
-    rows = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"), _key(digest, text).alias("key"), digest.alias("digest"))
-    return rows.withColumn("bin", F.floor((1 - F.exp(-F.col("key"))) * BINS))
+    rows = docs.select(F.col(source).alias("source"), n_words(F.col(text)).alias("size"), _key(digest, text, quality).alias("key"), digest.alias("digest"))
+    return rows.withColumn("bin", F.floor(F.log2("key") * BINS))
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_epochs: int) -> DataFrame:
@@ -74,13 +81,15 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_epochs: int
     return shared.select("source", "source_size", target.alias("target"))
 
 
-def mix_plan(docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, doc_id="doc_id", text="text", source="source", seed="mix") -> DataFrame:
+def mix_plan(
+    docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, doc_id="doc_id", text="text", source="source", seed="mix", quality: Column | None = None
+) -> DataFrame:
     """One row per source: sizes, target, complete `epochs`, and where the fractional epoch ends.
 
     Documents with a key below `cut` (ties by digest) are taken once more; those equal to it in both,
     which are one document or rows repeating it, share the `room` that is left.
     """
-    rows = store(_sampled(docs, doc_id, text, source, seed))
+    rows = store(_sampled(docs, doc_id, text, source, seed, quality))
     bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
     targets = source_targets(bins.groupBy("source").agg(F.sum("bin_size").alias("source_size")), weights, max_epochs)
     budget = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
@@ -117,7 +126,8 @@ def _bounded(per_source: DataFrame) -> DataFrame:
 
 
 def mix_documents(
-    docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, doc_id="doc_id", text="text", source="source", seed="mix", cut_last: bool = True
+    docs: DataFrame, weights=(1.0, 2.0, 3.0), max_epochs: int = 3, doc_id="doc_id", text="text", source="source", seed="mix", cut_last: bool = True,
+    quality: Column | None = None,
 ) -> DataFrame:
     """All rows and columns of `docs`, and a struct `mix` of `size, source_size, target, taken, copies`.
 
@@ -126,15 +136,18 @@ def mix_documents(
     word; without, documents stay whole, the last one is taken if that comes nearer to the target, and
     `copies` says how often each is taken. No row exceeds `max_epochs` times its size.
 
-    Null texts have no words and give none; null sources are one source, the last; null ids are as
+    `quality` is the documents' weight within their source, a column expression over `docs`, by default the
+    share of plain characters; what is null, no number or at most `LEAST_WEIGHT` counts as that.
+
+    Null texts have no words and give none; a very long text is one document. No rows, no mix; null sources are one source, the last; null ids are as
     good as others. Equal rows share what their source's budget leaves for them evenly, the remainder
     going unused (at most a word a row). Keys come from ids and texts alone, so reruns agree. A column
     called `mix` is replaced.
     """
-    plan = _bounded(mix_plan(docs, weights, max_epochs, doc_id, text, source, seed))
+    plan = _bounded(mix_plan(docs, weights, max_epochs, doc_id, text, source, seed, quality))
     plan = plan.select(F.struct("*").alias("_plan"))
     digest = _digest(doc_id, text, seed)
-    own = F.struct(n_words(F.col(text)).alias("size"), _key(digest, text).alias("key"), digest.alias("digest"))
+    own = F.struct(n_words(F.col(text)).alias("size"), _key(digest, text, quality).alias("key"), digest.alias("digest"))
     rows = docs.select(F.struct("*").alias("_row"), own.alias("_own"))
     joined = rows.join(plan, F.col(f"_row.{source}").eqNullSafe(F.col("_plan.source")))
     size, at, end = F.col("_own.size"), F.struct("_own.key", "_own.digest"), F.struct(F.col("_plan.cut").alias("key"), F.col("_plan.cut_digest").alias("digest"))

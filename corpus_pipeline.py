@@ -21,36 +21,61 @@ SHARDS = 40
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier does not reject."""
+    """Documents the quality classifier does not reject.
+
+    Rows without a text, and empty texts, are judged by the model's prior; a very long text is judged
+    whole, by one task. Equal texts fare alike. No labels reject nothing; no rows, no result.
+    """
     ship(spark)
     return quality_classifier.accepted(docs, table(tune(spark), sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class."""
+    """The document with the smallest id of each near-duplicate class.
+
+    Rows without a text are no duplicates but of rows with their id; equal rows, and equal texts under any
+    ids, are one class. A very long text is compared whole. No rows, no result.
+    """
     ship(spark)
     return near_dedup.first_of_each(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages they share with a benchmark; `n_chars` follows the text."""
+    """Documents without the passages they share with a benchmark; `n_chars` follows the text.
+
+    Documents without a hit, or without a text, stay as they are; those with nothing else go. A very long
+    text is searched whole, equal rows are cut alike. No rows, no result.
+    """
     ship(spark)
     clean = decontamination.decontaminate(docs, table(tune(spark), sf_dir, "benchmark"))
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else clean
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, whole."""
+    """Documents as often as the mix takes them, whole.
+
+    Rows without a source are a source, the last; documents without words come as often as their source's
+    complete epochs, at least once. Keys come from ids and texts, so equal rows are taken alike, and a very
+    long text is one document. No rows, no mix.
+    """
     tune(spark)
     return mixing.mixed_rows(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix with each row's shard, by a slot map saved beside the results."""
+    """The mix with each row's shard, by a slot map saved beside the results.
+
+    `size`, `virtual_slot`, `shard` and `map_version` are added and take the place of columns so called.
+    Rows without an id or a text have a slot by what they have; a very long text is one record of its size,
+    and rows equal in id and text share a slot. No rows, no result.
+    """
     tune(spark)
     slot_map, _ = sharding.stored_map(docs, SHARDS)
-    placed = sharding.place_records(docs, slot_map)
-    return placed.select(*docs.columns, "placed.size", "placed.virtual_slot", "placed.shard", F.col("placed.version").alias("map_version"))
+    rows = docs.select(F.col("doc_id"), F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    placed = sharding.place_records(rows, slot_map)
+    own = [F.col("placed.size"), F.col("placed.virtual_slot"), F.col("placed.shard"), F.col("placed.version").alias("map_version")]
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("size", "virtual_slot", "shard", "map_version")]
+    return placed.select(*kept, *own)
 
 
 STAGES = [

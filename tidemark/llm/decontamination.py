@@ -10,15 +10,16 @@ size; blocks follow each other, so a larger benchmark takes more passes and not
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import small_batches, texts
+from tidemark.llm.common import small_batches, store, texts
 from tidemark.llm.fm_index import FmIndex
 
 WINDOW = 10
@@ -103,7 +104,7 @@ def spans(hit: np.ndarray) -> list[tuple[int, int]]:
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, window: int, block_words: int) -> Iterator[Phrases]:
     """The benchmark in blocks whose words were counted to be about `block_words` each."""
-    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(text, F.lit("")).alias("text"))
+    rows = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item"), F.coalesce(text, F.lit("")).alias("text")).distinct()
     total = rows.agg(F.sum(F.regexp_count("text", F.lit(_JVM_WORD)))).first()[0] or 0
     n = -(-total // block_words)
     for k in range(n):
@@ -125,23 +126,19 @@ def _in_shards(batches: Iterator[pa.RecordBatch], column: int, shard_words: int)
         yield held, own
 
 
-def find_phrases(docs: DataFrame, benchmark: DataFrame, doc_id="doc_id", text="text", item_id="item_id", item_text="text", window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """`doc_id, n_words, spans, items` of every row: merged hit spans of words, and the items found.
+_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("last", T.IntegerType())]))
 
-    A window is `window` consecutive words of an item; an item of fewer words, but some, is one window
-    and an item without words has none. Null texts have no words. Items that share an id are one item;
-    a null id is the empty one. Rows that repeat get equal results. With an empty benchmark nothing is
-    hit; without documents there are no rows.
+
+def _searched(rows: DataFrame, blocks: Iterable[Phrases], shard_words: int) -> DataFrame:
+    """`rows`, of any `key`, `text` and `n_words`, with their merged hit `spans` and the `items` found.
+
+    Each block is a pass of its own over the rows, so that a task holds one block however many there are.
     """
-    schema = "doc_id {}, text string, n_words long, spans array<struct<first:int,last:int>>, items array<string>"
-    schema = schema.format(docs.schema[doc_id].dataType.simpleString())
-    state = small_batches(docs).select(
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_JVM_WORD)).cast("long").alias("n_words"),
-        F.array().cast("array<struct<first:int,last:int>>").alias("spans"), F.array().cast("array<string>").alias("items"),
-    )
+    spark = rows.sparkSession
+    state = small_batches(rows).select("key", "text", "n_words", F.array().cast(_SPANS).alias("spans"), F.array().cast("array<string>").alias("items"))
     arrow = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
-    for phrases in _blocks(benchmark, item_id, item_text, window, block_words):
-        sent = docs.sparkSession.sparkContext.broadcast(phrases)
+    for phrases in blocks:
+        sent = spark.sparkContext.broadcast(phrases)
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for held, own in _in_shards(batches, 1, shard_words):
@@ -155,10 +152,27 @@ def find_phrases(docs: DataFrame, benchmark: DataFrame, doc_id="doc_id", text="t
                         new_spans.append([{"first": a, "last": b} for a, b in spans(hit)])
                         new_items.append(sorted(items.union(old_items)))
                     columns = [*batch.columns[:3], pa.array(new_spans, arrow), pa.array(new_items, pa.list_(pa.string()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_words", "spans", "items"])
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "text", "n_words", "spans", "items"])
+
+        state = state.mapInArrow(search, state.schema)
+    return state
+
 
-        state = state.mapInArrow(search, schema)
-    return state.select("doc_id", "n_words", "spans", "items")
+def _word_count(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(_JVM_WORD)).cast("long")
+
+
+def find_phrases(docs: DataFrame, benchmark: DataFrame, doc_id="doc_id", text="text", item_id="item_id", item_text="text", window: int = WINDOW, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """`doc_id, n_words, spans, items` of every row: merged hit spans of words, and the items found.
+
+    A window is `window` consecutive words of an item; an item of fewer words, but some, is one window
+    and an item without words has none. Null texts have no words; a very long text is searched whole, as
+    a shard of its own. Items that share an id are one item; a null id is the empty one. Rows that repeat
+    get equal results. With an empty benchmark nothing is hit; without documents there are no rows.
+    """
+    rows = docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text"), _word_count(F.col(text)).alias("n_words"))
+    found = _searched(rows, _blocks(benchmark, item_id, item_text, window, block_words), shard_words)
+    return found.select(F.col("key").alias("doc_id"), "n_words", "spans", "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -189,9 +203,49 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text="text", item_id="i
     word by that are dropped. Texts without a hit, null ones too, are unchanged to the byte.
 
     What a cut brings together is searched again until nothing is found. A benchmark of several
-    blocks is searched for all of them before anything is cut.
+    blocks is searched for all of them, each in a pass of its own, before anything is cut. Repeated
+    rows are cut alike; a very long text is searched whole. No rows, no result.
     """
-    blocks = [docs.sparkSession.sparkContext.broadcast(p) for p in _blocks(benchmark, item_id, item_text, window, block_words)]
+    blocks = _blocks(benchmark, item_id, item_text, window, block_words)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
+        return docs
+    if second is not None:
+        return _cut_by_blocks(docs, lambda: _blocks(benchmark, item_id, item_text, window, block_words), text, shard_words)
+    return _cut_by_one(docs, first, text, shard_words)
+
+
+def _cut_by_blocks(docs: DataFrame, blocks: Callable[[], Iterable[Phrases]], text: str, shard_words: int) -> DataFrame:
+    """Rounds of searching and cutting; a row is done when a round finds nothing in it. A round leaves fewer
+    words in every row that goes into the next one."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    todo, done = docs.select(row.alias("key"), F.col(f"`{text}`").alias("text")), []
+    while True:
+        found = store(_searched(todo.withColumn("n_words", _word_count(F.col("text"))), blocks(), shard_words).drop("items"))
+        done.append(found.where(F.size("spans") == 0).select("key", "text"))
+        hit = found.where(F.size("spans") > 0)
+        if hit.isEmpty():
+            break
+
+        def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                new = []
+                for t, n, found in zip(texts(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                    own = np.zeros(n, bool)
+                    for s in found:
+                        own[s["first"] : s["last"]] = True
+                    # A text with nothing else in it goes.
+                    new.append(None if own.all() else cut(t, own).decode())
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], ["key", "text"])
+
+        todo = store(hit.mapInArrow(shorten, T.StructType(hit.schema.fields[:2])).where("text IS NOT NULL"))
+    kept = reduce(DataFrame.unionByName, done)
+    return kept.select(*[F.col("text" if c == text else f"key.`{c}`").alias(c) for c in docs.columns])
+
+
+def _cut_by_one(docs: DataFrame, phrases: Phrases, text: str, shard_words: int) -> DataFrame:
+    """All rounds of a row in one pass, with a benchmark of one block."""
+    sent = docs.sparkSession.sparkContext.broadcast(phrases)
     place = docs.columns.index(text)
     kind = pa.string()
 
@@ -201,12 +255,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text="text", item_id="i
             changed: dict[int, bytes] = {}
             while todo:
                 current = [changed.get(i, own[i]) for i in todo]
-                hit = None
-                for sent in blocks:
-                    found = [h for h, _ in _shard_hits([sent.value.numbers(t) for t in current], sent.value)]
-                    hit = found if hit is None else [a | b for a, b in zip(hit, found, strict=True)]
+                hit = [h for h, _ in _shard_hits([sent.value.numbers(t) for t in current], sent.value)]
                 again = []
-                for i, t, h in zip(todo, current, hit or [], strict=bool(hit)):
+                for i, t, h in zip(todo, current, hit, strict=True):
                     if h.any():
                         changed[i] = cut(t, h)
                         again.append(i)

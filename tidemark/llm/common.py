@@ -32,13 +32,22 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def store(df: DataFrame) -> DataFrame:
+# Short rows a task of a stored table has at least; a table known to be small is written in few files.
+TASK_ROWS = 50_000
+
+
+def store(df: DataFrame, rows: int | None = None, task_rows: int = TASK_ROWS) -> DataFrame:
     """Writes `df` to the shared folder and reads it back: computed once, and no lineage to lose.
 
     `checkpoint()` would compute its last stage twice. The folder belongs to the job, like checkpoint
-    files, and goes with them.
+    files, and goes with them. With `rows`, a bound of their number, a small `df` is written by as many tasks
+    as have `task_rows` each, but at least two for each core, whatever number of partitions shuffles have.
     """
     spark = df.sparkSession
+    if rows is not None:
+        tasks = max(2 * spark.sparkContext.defaultParallelism, -(-rows // task_rows))
+        if tasks < int(spark.conf.get("spark.sql.shuffle.partitions")):
+            df = df.coalesce(tasks)
     folder = f"{shared_folder(spark)}/tidemark-{uuid.uuid4()}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

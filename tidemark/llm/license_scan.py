@@ -1,11 +1,12 @@
 """License scans: a trained paragraph classifier, with an unknown class and a comparison with templates.
 
 Looked at are lines, long ones in overlapping pieces, and the joined words of paragraphs (consecutive lines
-with words) in overlapping windows, as licence texts are wrapped at any column. One sparse logistic regression over hashed word
-n-grams per licence family says what a piece looks like; its probability is calibrated on examples it
-was not trained on, and what is not likely enough is unknown. A prediction counts only if the piece
-also holds most of one of the family's templates, word by word. In a window other words may outweigh a
-notice, so there the templates decide alone: their words must stand close together, names included.
+with words) in overlapping windows, as licence texts are wrapped at any column. Sparse logistic regression over
+hashed word n-grams says how likely a piece or window is to be of each licence family, or to be a notice of
+another kind, the unknown class: terms of use, proprietary notices, near misses. Probabilities are calibrated on
+examples that were not trained on. A prediction counts only if a template of the family confirms it: a piece of a
+line must hold most of its words in order, a window must hold them close together, names included. What is
+predicted and not confirmed, or more likely a notice of another kind, is unknown.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHashes, mix64, small_batches, texts
-from tidemark.llm.linear import Ftrl, train
+from tidemark.llm.linear import Ftrl, train_classes
 
 # Wordings that licence notices use, by family.
 TEMPLATES = {
@@ -60,15 +60,35 @@ TEMPLATES = {
     "CC0": ("To the extent possible under law, the author has waived all copyright and related rights to this work.", "Released under CC0 1.0 Universal."),
     "All-Rights-Reserved": ("All rights reserved.", "No part of this publication may be reproduced without the prior written permission of the copyright holder."),
 }
+# Notices that are no licence of these families, examples of the unknown class.
+OTHER_NOTICES = (
+    "By accessing or using this website you agree to be bound by these terms of use and all applicable laws and regulations.",
+    "This software is proprietary and confidential. Unauthorized copying of this file, via any medium, is strictly prohibited.",
+    "You may not modify, distribute, sell or lease any part of our services or included software without our written consent.",
+    "We grant you a limited, non-exclusive, non-transferable, revocable license to use the application for personal purposes.",
+    "Your use of this product is governed by the end user license agreement that accompanies it.",
+    "This document is provided for information only and may be changed without notice.",
+    "Licensed under the terms of the agreement between the customer and the vendor.",
+    "Released under the terms agreed with the publisher.",
+    "Permission is granted to print one copy of this article for private study only.",
+    "The trademarks and logos shown here are the property of their owners and may not be used without permission.",
+    "You are not allowed to redistribute the data or to use it in commercial products without a separate license.",
+    "Subject to the license terms of the manufacturer, the firmware may be installed on one device.",
+    "The content is licensed to subscribers only and may not be passed on.",
+    "This work is protected by copyright law and international treaties.",
+)
 BITS = 16
 # A line longer than PIECE words is looked at in pieces that begin every STEP words.
 PIECE, STEP = 40, 20
 # Corpus pieces taken as examples of no licence, at most; the hash of the id picks their documents.
 NEGATIVES = 3_000
-THRESHOLD = 0.5
+# A family or the unknown class is predicted from this probability on; the templates confirm what is a family's.
+THRESHOLD = 0.3
 # Share of a template's words that a piece must hold, in order, to confirm a prediction.
 CONFIRM = 0.8
-# Words that tell licences apart; where a window matches a template, both must have the same of them.
+# Examples made of each template and notice.
+VARIATIONS = 40
+# Words that tell licences apart: a piece of a line must have those of the template, a match in a window the same ones.
 NAMES = frozenset(b"apache mit bsd gnu gpl lesser lgpl library affero agpl mozilla mpl cc cc0 nc nd sa noncommercial noderivatives sharealike".split())
 _SPLIT = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 
@@ -118,7 +138,10 @@ def _features(parts: list[list[bytes]], hashes: WordHashes) -> tuple[np.ndarray,
 
 @dataclass
 class Model:
-    """A weight for each feature and family, the slopes and offsets of the calibration, templates."""
+    """A weight for each feature and class, the slopes and offsets of the calibration, templates.
+
+    Classes are the families and, as the last one, the unknown notices.
+    """
 
     families: list[str]
     weights: np.ndarray
@@ -128,7 +151,7 @@ class Model:
 
     def probabilities(self, parts: list[list[bytes]], hashes: WordHashes) -> np.ndarray:
         piece, index, value = _features(parts, hashes)
-        margin = np.zeros((len(parts), len(self.families)))
+        margin = np.zeros((len(parts), self.weights.shape[1]))
         order = np.argsort(piece, kind="stable")
         if len(order):
             starts = np.searchsorted(piece[order], np.arange(len(parts)))
@@ -137,9 +160,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
 
     def confirmed(self, family: int, part: list[bytes]) -> bool:
-        """Whether the piece holds most of one of the family's templates, in order."""
-        return any(_common(t, part) >= CONFIRM * len(t) for t in self.templates[family])
-
+        """Whether the piece holds most of one of the family's templates, in order, and its names."""
+        held = set(part)
+        return any(NAMES.intersection(t) <= held and _common(t, part) >= CONFIRM * len(t) for t in self.templates[family])
 
     def place(self, family: int, part: list[bytes]) -> tuple[int, int] | None:
         """Where the window holds most of one of the family's templates close together: its best match."""
@@ -151,19 +174,6 @@ class Model:
                     best = max(best, (found, first - last, first))
         return (best[2], best[2] - best[1]) if best[0] else None
 
-    @cached_property
-    def long_words(self) -> frozenset[bytes]:
-        return frozenset(w for group in self.templates for t in group for w in t if len(w) >= 5)
-
-    def named(self, joined: list[tuple[list[int], list[bytes]]]) -> Iterator[tuple[str, list[int]]]:
-        """(family, lines) of the windows that hold a template."""
-        for numbers, part in joined:
-            # No template has enough words without one of its long ones.
-            if not self.long_words.isdisjoint(part):
-                for f, family in enumerate(self.families):
-                    if place := self.place(f, part):
-                        yield family, numbers[slice(*place)]
-
 
 def _closest(a: list[bytes], b: list[bytes]) -> tuple[int, int, int]:
     """(length, start, end) of the longest common subsequence that spans little more than `a` in `b`,
@@ -199,19 +209,32 @@ def _common(a: list[bytes], b: list[bytes]) -> int:
     return row[-1]
 
 
-def fit(negatives: list[list[bytes]], settings: Ftrl = Ftrl(bits=BITS, updates=20_000), seed: int = 7) -> Model:
-    """Trains on varied templates against pieces that hold none; one example in four calibrates."""
+def _template(text: str) -> list[bytes]:
+    words = _words(text.encode())
+    if len(words) > PIECE:
+        raise ValueError(f"a template of more than {PIECE} words fits no piece; give its parts: {text}")
+    return words
+
+
+def _varied(words: list[bytes], negatives: list[list[bytes]], rng: random.Random) -> list[bytes]:
+    """The words with a few lost, alone or with others before and after them, as far as a piece has room."""
+    kept = [w for w in words if rng.random() > 0.05] or words
+    around = rng.choice(negatives) if negatives and rng.random() < 0.75 else []
+    room = rng.randrange(PIECE - len(kept) + 1) if around and len(kept) < PIECE else 0
+    cut = rng.randrange(len(around) + 1) if around else 0
+    before = around[max(0, cut - room // 2) : cut]
+    return before + kept + around[cut : cut + room - len(before)]
+
+
+def fit(negatives: list[list[bytes]], settings: Ftrl = Ftrl(bits=BITS, updates=24_000), seed: int = 7) -> Model:
+    """Trains all classes at once on varied templates and notices against pieces that hold none; one example
+    in four calibrates."""
     rng, hashes = random.Random(seed), WordHashes()
     families = list(TEMPLATES)
-    templates = [[_words(t.encode())[:PIECE] for t in TEMPLATES[f]] for f in families]
+    templates = [[_template(t) for t in TEMPLATES[f]] for f in families]
     examples = [(part, None) for part in negatives]
-    for k, group in enumerate(templates):
-        for template in group:
-            for _ in range(25):
-                kept = [w for w in template if rng.random() > 0.05] or template
-                around = rng.choice(negatives) if negatives and rng.random() < 0.5 else []
-                cut = rng.randrange(len(around) + 1) if around else 0
-                examples.append((around[max(0, cut - 6) : cut] + kept + around[cut : cut + 6], k))
+    for k, group in enumerate([*templates, [_template(t) for t in OTHER_NOTICES]]):
+        examples += [(_varied(words, negatives, rng), k) for words in group for _ in range(VARIATIONS)]
     rng.shuffle(examples)
     piece, index, value = _features([p for p, _ in examples], hashes)
     order = np.lexsort((index, piece))
@@ -220,15 +243,13 @@ def fit(negatives: list[list[bytes]], settings: Ftrl = Ftrl(bits=BITS, updates=2
     for a, b in zip(bounds[:-1], bounds[1:], strict=True):
         own, inverse = np.unique(index[order[a:b]], return_inverse=True)
         rows.append((np.append(own, 1 << BITS), np.append(np.bincount(inverse, weights=value[order[a:b]], minlength=len(own)), 1.0)))
-    learned = [k % 4 != 0 for k in range(len(examples))]
-    weights = np.zeros(((1 << BITS) + 1, len(families)))
-    slope, offset = np.ones(len(families)), np.zeros(len(families))
-    for f in range(len(families)):
-        labels = [float(k == f) for _, k in examples]
-        weights[:, f] = train([(*r, y) for r, y, used in zip(rows, labels, learned, strict=True) if used], settings)
-        held = [(float(weights[r[0], f] @ r[1]), y) for r, y, used in zip(rows, labels, learned, strict=True) if not used]
-        slope[f], offset[f] = _calibrate(np.array([m for m, _ in held]), np.array([y for _, y in held]))
-    return Model(families, weights.astype(np.float32), slope, offset, templates)
+    classes = len(families) + 1
+    labels = np.array([[float(k == c) for c in range(classes)] for _, k in examples])
+    learned = np.arange(len(examples)) % 4 != 0
+    weights = train_classes([r for r, used in zip(rows, learned, strict=True) if used], labels[learned], settings)
+    margins = np.array([r[1] @ weights[r[0]] for r, used in zip(rows, learned, strict=True) if not used])
+    fits = [_calibrate(margins[:, c], labels[~learned][:, c]) for c in range(classes)]
+    return Model(families, weights.astype(np.float32), np.array([a for a, _ in fits]), np.array([b for _, b in fits]), templates)
 
 
 def _calibrate(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
@@ -267,17 +288,43 @@ def negative_pieces(docs: DataFrame, doc_id="doc_id", text="text", limit: int =
     small_batches(docs)
     found = ranked.where(F.col("rank") <= smallest).mapInArrow(pick, "rank long, piece binary").where("piece IS NOT NULL")
     rows = [bytes(r["piece"]).split() for r in found.orderBy("rank", "piece").limit(limit).collect()]
-    templates = [_words(t.encode())[:PIECE] for group in TEMPLATES.values() for t in group]
+    templates = [_template(t) for group in TEMPLATES.values() for t in group]
     return [r for r in rows if not any(_common(t, r) >= 0.5 * len(t) for t in templates)]
 
 
+def _found(model: Model, text: bytes, hashes: WordHashes, threshold: float) -> tuple[int, int, set[str], set[int]]:
+    """Units looked at, unknown ones, families found, and their lines."""
+    parts, joined = pieces(text), windows(text)
+    found, places, unknown = set(), set(), 0
+    units = [words for _, words in parts] + [words for _, words in joined]
+    if not units:
+        return 0, 0, found, places
+    chances = model.probabilities(units, hashes)
+    for k in np.flatnonzero((chances >= threshold).any(axis=1)).tolist():
+        confirmed = False
+        # The last class is of other notices and has no templates.
+        for f in np.flatnonzero(chances[k, :-1] >= threshold).tolist():
+            if k < len(parts):
+                lines = [parts[k][0]] if model.confirmed(f, units[k]) else []
+            else:
+                numbers, place = joined[k - len(parts)][0], model.place(f, units[k])
+                lines = numbers[slice(*place)] if place else []
+            if lines:
+                confirmed = True
+                found.add(model.families[f])
+                places.update(lines)
+        unknown += not confirmed
+    return len(units), unknown, found, places
+
+
 def scan_licenses(docs: DataFrame, doc_id="doc_id", text="text", model: Model | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """`doc_id, n_pieces, n_unknown, licenses, lines` of every row.
 
     `licenses` are the families found, sorted, and `lines` the numbers of the lines that name one, all
     those of a wrapped wording; `n_pieces` counts pieces of lines and windows of paragraphs, `n_unknown`
-    pieces that a family was predicted for but no template confirmed. Null and empty texts have no
-    pieces. Rows that repeat, and null ids, get results like any other row.
+    those that look like a notice, of a family or another, and are confirmed as none. Null and empty texts
+    have no pieces. Rows that repeat, and null ids, get results like any other row; a very long text is
+    looked at whole, by one task. No rows, no result.
     """
     if model is None:
         model = fit(negative_pieces(docs, doc_id, text))
@@ -286,27 +333,11 @@ def scan_licenses(docs: DataFrame, doc_id="doc_id", text="text", model: Model |
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, model = WordHashes(), sent.value
         for batch in batches:
-            n_pieces, n_unknown, licenses, lines = [], [], [], []
-            for t in texts(batch.column(1)):
-                parts, joined = pieces(t), windows(t)
-                found, places, unknown = set(), set(), 0
-                if parts:
-                    chances = model.probabilities([p for _, p in parts], hashes)
-                    for k, f in zip(*np.nonzero(chances >= threshold), strict=True):
-                        if model.confirmed(f, parts[k][1]):
-                            found.add(model.families[f])
-                            places.add(parts[k][0])
-                        else:
-                            unknown += 1
-                for family, numbers in model.named(joined):
-                    found.add(family)
-                    places.update(numbers)
-                n_pieces.append(len(parts) + len(joined))
-                n_unknown.append(unknown)
-                licenses.append(sorted(found))
-                lines.append(sorted(places))
+            rows = [_found(model, t, hashes, threshold) for t in texts(batch.column(1))]
+            columns = [[r[0] for r in rows], [r[1] for r in rows], [sorted(r[2]) for r in rows], [sorted(r[3]) for r in rows]]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int32())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n_pieces, pa.int64()), pa.array(n_unknown, pa.int64()), pa.array(licenses, pa.list_(pa.string())), pa.array(lines, pa.list_(pa.int32()))],
+                [batch.column(0), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]],
                 ["doc_id", "n_pieces", "n_unknown", "licenses", "lines"],
             )
 

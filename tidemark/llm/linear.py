@@ -57,20 +57,35 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, float]], settings: Ftrl)
     z, n = np.zeros(size), np.zeros(size)
     for _ in range(settings.passes(len(examples))):
         for index, value, label in examples:
-            w = _weights(z[index], n[index], settings, index == size - 1)
+            w = proximal_weights(z[index], n[index], settings, index == size - 1)
             p = 1 / (1 + np.exp(-np.clip(w @ value, -35, 35)))
             g = (p - label) * value
             step = (np.sqrt(n[index] + g * g) - np.sqrt(n[index])) / settings.alpha
             z[index] += g - step * w
             n[index] += g * g
-    return _weights(z, n, settings, np.arange(size) == size - 1)
+    return proximal_weights(z, n, settings, np.arange(size) == size - 1)
 
 
-def _weights(z: np.ndarray, n: np.ndarray, s: Ftrl, constant: np.ndarray) -> np.ndarray:
+def proximal_weights(z: np.ndarray, n: np.ndarray, s: Ftrl, constant: np.ndarray) -> np.ndarray:
     l1 = np.where(constant, 0, s.l1)
     return np.where(np.abs(z) <= l1, 0, -(z - np.sign(z) * l1) / ((s.beta + np.sqrt(n)) / s.alpha + s.l2))
 
 
+def train_classes(examples: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, settings: Ftrl) -> np.ndarray:
+    """As `train`, for several classes at once: `labels` and the weights have a column for each of them."""
+    size = (1 << settings.bits) + 1
+    z, n = np.zeros((size, labels.shape[1])), np.zeros((size, labels.shape[1]))
+    for _ in range(settings.passes(len(examples))):
+        for (index, value), label in zip(examples, labels, strict=True):
+            w = proximal_weights(z[index], n[index], settings, (index == size - 1)[:, None])
+            p = 1 / (1 + np.exp(-np.clip(value @ w, -35, 35)))
+            g = value[:, None] * (p - label)
+            step = (np.sqrt(n[index] + g * g) - np.sqrt(n[index])) / settings.alpha
+            z[index] += g - step * w
+            n[index] += g * g
+    return proximal_weights(z, n, settings, (np.arange(size) == size - 1)[:, None])
+
+
 def score(text: bytes, weights: np.ndarray, hashes: WordHashes, bits: int) -> float:
     """The sparse dot product of a text with the weights, as a probability."""
     index, value = features(text, hashes, bits)

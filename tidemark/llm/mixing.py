@@ -171,7 +171,9 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     Documents without words are no part of any budget and come as often as their source's complete
     epochs, or once where there are none, so that the stage never loses them silently.
     """
-    mixed = mix_documents(docs, cut_last=False, **options)
+    # A row travels whole, as it may have a column called `mix` of its own.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_whole")
+    mixed = mix_documents(docs.select("*", whole).drop("mix"), cut_last=False, **options)
     copies = F.when(F.col("mix.size") == 0, F.greatest(F.col("mix.copies"), F.lit(1))).otherwise(F.col("mix.copies"))
-    kept = [F.col(f"`{c}`") for c in docs.columns if c != "mix"]
-    return mixed.withColumn("mix", copies).where("mix > 0").select(*kept, F.explode(F.sequence(F.lit(1), F.col("mix"))).alias("_copy")).drop("_copy")
+    taken = mixed.select("_whole", copies.alias("copies")).where("copies > 0").select("_whole", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*[F.col(f"_whole.`{c}`") for c in docs.columns])

@@ -1,11 +1,13 @@
 import json
 import random
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from deliveries import change, ticket_row, tombstone
 from tidemark.operators import cdc
+from tidemark.operators.schemas import TABLES, conform
 from tidemark.sources.landing import kafka_records
 
 
@@ -66,10 +68,18 @@ def brute_history(records):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("hot_rows", [2_000_000, 15])
-def test_history_equals_brute_force_with_and_without_slices(spark, hot_rows):
+@pytest.fixture(params=[1, 13])
+def ranges(spark, request):
+    """Few and many ranges to deal rows over."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_history_equals_brute_force(spark, ranges):
     records = log(7)
-    got = cdc.scd2(changes(spark, records), hot_rows=hot_rows)
+    got = cdc.scd2(changes(spark, records))
     ms = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
     out = got.select("ticket_id", "_lsn", "is_deleted", ms("valid_from"), ms("valid_to"), "is_current")
     assert sorted((tuple(r) for r in out.collect()), key=repr) == brute_history(records)
@@ -106,8 +116,56 @@ def test_snapshot_shuffles_the_log_once(spark):
     assert plan.count("Exchange hashpartitioning(ticket_id") <= 2
 
 
-def test_history_shuffles_the_log_once(spark):
-    row = ticket_row("A", "2024-03-01T07:00:00")
-    history = cdc.scd2(changes(spark, [change("c", 1, "2024-03-01T08:00:00", "A", row)]))
-    plan = history._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1
+def history_of(spark, batches):
+    """Rows written for each batch of records, and the history they leave."""
+    kept = spark.createDataFrame([], TABLES["silver_ticket_history"])
+    written = []
+    for n, records in enumerate(batches):
+        delta = cdc.history_delta(kept, changes(spark, records), len(records)).withColumn("_generation", F.lit(n).cast("bigint"))
+        delta = spark.createDataFrame(delta.select(kept.columns).collect(), kept.schema)
+        written.append(delta.count())
+        kept = kept.unionByName(delta)
+    return written, cdc.current_versions(kept)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_history_by_deltas_equals_brute_force(spark, seed):
+    # Sequence numbers arrive in any order, redeliveries in other batches.
+    records = log(seed)
+    batches = [records[k::5] for k in range(5)]
+    written, history = history_of(spark, batches)
+    ms = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    out = history.select("ticket_id", "_lsn", "is_deleted", ms("valid_from"), ms("valid_to"), "is_current")
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute_history(records)
+    assert all(n <= 2 * len(batch) for n, batch in zip(written, batches))
+
+
+def test_a_batch_writes_its_changes_and_their_neighbours(spark):
+    row = lambda t: ticket_row(t, "2024-03-01T08:00:00")
+    at = lambda lsn, t="A": change("u", lsn, f"2024-03-01T08:{lsn:02d}:00", t, row(t))
+    batches = [[at(n) for n in range(10, 30, 2)], [at(30)], [at(15)], [at(5)], [at(15), at(30)], [at(1, "B")]]
+    written, history = history_of(spark, batches)
+    # All; the new one and the last before; the new one and the one before; the new first one; nothing; another ticket.
+    assert written == [10, 2, 2, 1, 0, 1]
+    assert history.where("is_current").count() == 2 and history.count() == 14
+
+
+def test_snapshots_from_the_state_before_and_a_batch(spark, rows):
+    records = {day: [] for day in ("2024-03-01", "2024-03-02", "2024-03-03")}
+    rnd = random.Random(5)
+    for lsn in range(120):
+        day, ticket = rnd.choice(list(records)), f"T{rnd.randrange(15)}"
+        row = ticket_row(ticket, "2024-03-01T07:00:00", priority=rnd.choice(["low", "high", None]), status=rnd.choice(["open", "closed"]), category=rnd.choice(["bug", None]), subject="s", body="b")
+        records[day].append(change(rnd.choice("crud"), lsn, f"{day}T{rnd.randrange(24):02d}:00:00", ticket, row))
+    events = spark.createDataFrame(
+        [(rnd.choice([f"T{k}", None]), rnd.choice(["feedback", "click"]), rnd.choice(["up", "down"]), rnd.choice(list(records))) for k in range(15)],
+        "ticket_id string, type string, rating string, _batch_id string",
+    )
+    batches = {day: changes(spark, own, day=day) for day, own in records.items()}
+    log_ = reduce(lambda a, b: a.unionByName(b), batches.values())
+    state = None
+    for day, batch in batches.items():
+        state = cdc.training_state(state, batch, events.where(F.col("_batch_id") == day))
+        state = spark.createDataFrame(state.collect(), state.schema)
+        conform(state, TABLES["training_state"])
+        assert rows(cdc.snapshot_of(state, day)) == rows(cdc.training_snapshot(log_, events, day))

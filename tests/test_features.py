@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import features
+from tidemark.operators import features, scan
 
 T0 = datetime(2026, 6, 1)
 
@@ -71,44 +71,51 @@ def brute_asof(left, right):
     return sorted(out)
 
 
-@pytest.mark.parametrize("hot_rows", [2_000_000, 20])
+@pytest.mark.parametrize("ranges", [1, 4, 40])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_asof_equals_brute_force_with_and_without_slices(spark, seed, hot_rows):
+def test_asof_equals_brute_force(spark, seed, ranges):
     left, right = random_sides(seed)
     a = spark.createDataFrame(left, "i int, k string, t timestamp_ntz")
     b = spark.createDataFrame(right, "k string, f timestamp_ntz, v double")
-    out = features.asof_join(a, b, ["k"], "t", "f", ["v"], hot_rows=hot_rows)
-    assert sorted((r["i"], r["v"]) for r in out.collect()) == brute_asof(left, right)
-
-
-def test_asof_needs_one_shuffle_and_no_join(spark):
-    events, history = sample(spark)
-    out = features.asof_join(events, history, ["user_id"], "event_ts", "valid_from", ["lifetime_spend"])
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "Join" not in plan
-
-
-def test_slices_of_a_hot_key_are_of_similar_size(spark):
-    from tidemark.operators.hot import hot_cuts, split_hot
-
-    line = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") * F.col("id")).alias("o"))
-    cuts = hot_cuts(line, ["k"], F.col("o"), hot_rows=1000)
-    assert [r["k"] for r in cuts.collect()] == ["hot"]
-    cold, hot = split_hot(line, ["k"], cuts, F.col("o"))
-    assert cold.count() + hot.count() == 40_000
-    sizes = [r["count"] for r in hot.groupBy("_slice").count().collect()]
-    # As many slices as the key has thousands of rows, to the next power of two.
-    assert len(sizes) == 16 and max(sizes) < 2 * sum(sizes) / len(sizes)
-    # Slices follow the order: no row of a slice precedes a row of an earlier one.
-    bounds = hot.groupBy("_slice").agg(F.min("o").alias("a"), F.max("o").alias("b")).orderBy("_slice").collect()
-    assert all(x["b"] < y["a"] for x, y in zip(bounds, bounds[1:]))
-    assert hot_cuts(line, ["k"], F.col("o"), hot_rows=20_000) is None
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    out = features.asof_join(a, b, ["k"], "t", "f", ["v"]).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r["i"], r["v"]) for r in out) == brute_asof(left, right)
+
+
+def test_one_key_at_one_time_is_many_tasks(spark):
+    """All rows have the same key and a third of them the same time; they are dealt over all tasks."""
+    line = spark.range(40_000).select(F.lit("k").alias("k"), F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id") % 1000).alias("o"), F.when(F.col("id") % 500 == 7, F.col("id")).alias("v"))
+    sizes = [r["count"] for r in scan._dealt(line, ["k"], ["o"]).groupBy("_task").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 2 * 40_000 / 4
+    got = scan.carry_last(line.withColumn("n", F.monotonically_increasing_id()), ["k"], ["o", "n"], "v").collect()
+    at, last = {}, None
+    for r in sorted(line.withColumn("n", F.monotonically_increasing_id()).collect(), key=lambda r: (r["o"], r["n"])):
+        last = r["v"] if r["v"] is not None else last
+        at[r["n"]] = last
+    assert {r["n"]: r["v"] for r in got} == at
+
+
+def test_next_values_cross_tasks(spark):
+    rows = [("a" if k % 3 else f"b{k % 10}", k, None if k % 7 == 0 else k * 10) for k in range(300)]
+    line = spark.createDataFrame(rows, "k string, o long, v long").repartition(5)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 60)
+    got = {(r["k"], r["o"]): r["next"] for r in scan.next_value(line, ["k"], ["o"], "v", "next").collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    want = {}
+    for key in {r[0] for r in rows}:
+        own = sorted(r[1:] for r in rows if r[0] == key)
+        want |= {(key, o): (own[n + 1][1] if n + 1 < len(own) else None) for n, (o, _) in enumerate(own)}
+    assert got == want
+    assert scan.next_value(line.limit(0), ["k"], ["o"], "v", "next").collect() == [] == scan.carry_last(line.limit(0), ["k"], ["o"], "v").collect()
 
 
 def test_rows_without_a_key_go_around_the_time_lines(spark):
     left = spark.sql("SELECT CAST(id AS INT) AS i, IF(id % 4 = 0, 'a', NULL) AS k, timestamp_seconds(id) AS t FROM range(4000)")
     right = spark.sql("SELECT k, timestamp_seconds(1000) AS f, 7 AS v FROM VALUES ('a'), (NULL) AS x(k)")
-    out = features.asof_join(left, right, ["k"], "t", "f", ["v"], hot_rows=100)
+    out = features.asof_join(left, right, ["k"], "t", "f", ["v"])
     got = {r["i"]: r["v"] for r in out.collect()}
     assert len(got) == 4000 and all(v == (7 if i % 4 == 0 and i >= 1000 else None) for i, v in got.items())
 
@@ -117,6 +124,6 @@ def test_unix_times_count_as_late_too(spark):
     from tidemark.operators.schemas import BRONZE
 
     lines = ['{"value": {"event_time": 1709287200}}', '{"value": {"event_time": "2024-03-01T10:00:00Z"}}', '{"value": {"event_time": 99999999999999999999}}']
-    bronze = spark.createDataFrame([("e", "d", datetime.datetime(2024, 3, 3), 0, 1, None, x) for x in lines], BRONZE)
+    bronze = spark.createDataFrame([("e", "d", datetime(2024, 3, 3), 0, 1, None, x) for x in lines], BRONZE)
     assert [r[0] for r in features.event_lateness(bronze).collect()] == [2, 2]
     assert tuple(features.lookback_check(features.event_lateness(bronze), 1).first()) == (2, 1, False)

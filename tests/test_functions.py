@@ -125,8 +125,6 @@ def test_times(spark):
     assert got == ["2026-08-15 09:00:02", "2026-08-15 09:00:02", "1969-12-31 23:59:54.500000", "2603-10-11 11:33:20", "None", "2026-08-12 21:10:00"]
     row = spark.range(1).select(times.from_millis(F.lit(1786784402000)), times.from_micros(F.lit(1786784402000001))).first()
     assert [str(v) for v in row] == ["2026-08-15 09:00:02", "2026-08-15 09:00:02.000001"]
-    assert times.days_between("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
-    assert times.shift("2027-01-02", -5) == "2026-12-28"
     beyond = ["99999999999999999999", "99999999999999999", "-99999999999999999", "253402300799", "9" * 40]
     assert [str(r[0]) for r in over(spark, beyond, times.from_event_time(F.col("s")))] == ["None", "None", "None", "1978-01-11 21:31:40.799000", "None"]
 

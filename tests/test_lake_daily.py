@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tidemark.operators.keyed import newest_generation
 from tidemark.plans.daily import LOOKBACK_DAYS, SnapshotImmutableError, Warehouse, fresh_check, rerun_check
 from tidemark.plans.flywheel import feature_leaks
 from tidemark.plans.lake import Lake
+from tidemark.sources.landing import read_json_array
 
 
 def labels(spark, *tickets):
@@ -57,26 +59,30 @@ def test_slots_of_dropped_values_do_not_survive(spark, tmp_path):
     assert [r["ticket_id"] for r in lake.read("gold_ticket_labels", lambda slot: slot == "D").collect()] == ["D"]
 
 
-def versions(spark, *tickets):
-    schema = "ticket_id string, priority string, status string, category string, is_deleted boolean, valid_from timestamp_ntz, valid_to timestamp_ntz, is_current boolean, _lsn bigint"
-    return spark.createDataFrame([(t, p, None, None, False, None, None, True, 1) for t, p in tickets], schema)
+def pieces(spark, *tickets):
+    schema = "ticket_id string, chunk_idx int, chunk_text string, text_hash string, embedding_model_version string, embedding array<double>, category string, priority string, status string"
+    return spark.createDataFrame([(t, k, text, "h", "m", [1.0], None, None, None) for k, (t, text) in enumerate(tickets)], schema)
 
 
 def test_keys_are_replaced_by_what_is_appended(spark, tmp_path):
-    lake = Lake(spark, str(tmp_path / "silver_ticket_history" / "lake"))
-    batches = [(["A", "B"], versions(spark, ("A", "a1"), ("B", "b1"))), (["B", "C"], versions(spark, ("B", "b2"), ("B", "b3"))), (["C", "A"], versions(spark, ("C", "c3")))]
-    written, before = [], {}
-    for keys, rebuilt in batches:
+    lake = Lake(spark, str(tmp_path / "gold_doc_chunks" / "lake"))
+    batches = [
+        (["A", "B"], pieces(spark, ("A", "a1"), ("B", "b1"))), (["B", "C"], pieces(spark, ("B", "b2"), ("B", "b3"))), (["C", "A"], pieces(spark, ("C", "c3"))), (["A", "D"], pieces(spark)),
+    ]
+    written, before, rows = [], {}, []
+    for n, (keys, rebuilt) in enumerate(batches):
         run = lake.begin()
         touched = spark.createDataFrame([(k,) for k in keys], "ticket_id string")
-        written.append(run.append_keys("silver_ticket_history", "ticket_id", touched, rebuilt))
+        written.append(run.append_keys("gold_doc_chunks", "ticket_id", touched, rebuilt, at_most=None if n % 2 else 2))
+        rows.append(run.rows("gold_doc_chunks"))
         run.commit()
         # What was written before stays as it is.
-        assert before.items() <= lake.tables()["silver_ticket_history"].items()
-        before = lake.tables()["silver_ticket_history"]
-    held = newest_generation(lake.read("silver_ticket_history"), "ticket_id")
-    assert sorted((r["ticket_id"], r["priority"]) for r in held.collect()) == [("B", "b2"), ("B", "b3"), ("C", "c3")]
-    assert written == [2, 3, 2]
+        assert before.items() <= lake.tables()["gold_doc_chunks"].items()
+        before = lake.tables()["gold_doc_chunks"]
+    held = newest_generation(lake.read("gold_doc_chunks"), "ticket_id")
+    assert sorted((r["ticket_id"], r["chunk_text"]) for r in held.collect()) == [("B", "b2"), ("B", "b3"), ("C", "c3")]
+    # A key the table does not hold leaves no row; one that had rows and has none any more leaves one.
+    assert written == [2, 2, 1, 0] and rows == [2, 4, 6, 7]
 
 
 def test_small_slots_are_written_together(spark, tmp_path):
@@ -269,7 +275,8 @@ def test_rows_written_follow_the_batch(spark, tmp_path):
         write(tmp_path / "in", day, tickets=changes, exports=exports)
         done = warehouse.run_day(day)
         written.append((done["silver_history"]["written"], done["gold_doc_chunks"]["written"]))
-    assert written == [(20, 20), (22, 21), (23, 21)]
+    # 20 new tickets and a change of an old one, whose last version ends by it.
+    assert written == [(20, 20), (22, 21), (22, 21)]
     assert warehouse.history(warehouse.lake).count() == 62 and warehouse.doc_chunks(warehouse.lake).count() == 60
 
 
@@ -302,3 +309,99 @@ def test_arrays_keep_every_field_and_broken_ones_are_refused(spark, tmp_path):
             with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|no array"):
                 warehouse.bronze.land("transcripts", f"2024-04-0{k + 1}")
     assert warehouse.bronze.scan("transcripts").count() == 2
+
+
+def test_a_day_reads_the_state_before_and_its_batch(spark, tmp_path, monkeypatch):
+    """History and snapshot of a later day scan no staged batch of an earlier one."""
+    row = lambda t, **more: ticket_row(t, "2024-03-01T07:00:00", status="closed", category="bug", **more)
+    days = ["2024-03-01", "2024-03-02", "2024-03-04"]
+    for n, day in enumerate(days):
+        write(tmp_path / "in", day, tickets=[change("c" if n == 0 else "u", 10 * n + k, f"{day}T08:00:00", f"T{k}", row(f"T{k}", priority=f"p{n}")) for k in range(5 - n)])
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    scanned = []
+    from tidemark.plans import lake as lakes
+
+    plain = lakes._scan
+
+    def watched(lake, table, paths):
+        scanned.append((table, len(paths)))
+        return plain(lake, table, paths)
+
+    monkeypatch.setattr(lakes, "_scan", watched)
+    for day in days:
+        scanned.clear()
+        warehouse.run_day(day)
+        assert max(n for table, n in scanned if table == "stage_ticket_changes") == 1
+    held = warehouse.lake.read("gold_training_set").groupBy("snapshot_version").count().collect()
+    assert sorted((r["snapshot_version"], r["count"]) for r in held) == [("v2024-03-01", 5), ("v2024-03-02", 5), ("v2024-03-04", 5)]
+    # A replayed day is folded again from what is there, and is the same.
+    sums = rerun_check(warehouse, days[0], times=1) + rerun_check(warehouse, days[1], times=1)
+    assert all(s == sums[0] for s in sums)
+
+
+def test_days_of_a_range(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    assert warehouse._days("2024-02-28", "2024-03-01") == ["2024-02-28", "2024-02-29", "2024-03-01"]
+    assert warehouse._days("2024-03-02", "2024-03-01") == []
+
+
+def test_kept_sums_are_those_of_the_rows(built):
+    warehouse, days, _ = built
+    rerun_check(warehouse, days[0], times=1)
+    assert warehouse.gold_checksums() == warehouse.gold_checksums(read=True)
+    assert set(warehouse.lake.sums("gold_training_set")) == {f"v{d}" for d in days}
+
+
+def test_a_difference_names_its_day(spark, tmp_path):
+    days = three_days(tmp_path / "in")
+    one, two = (Warehouse(spark, str(tmp_path / "in"), str(tmp_path / f"bronze{n}"), str(tmp_path / f"lake{n}")) for n in (1, 2))
+    one.backfill(days[0], days[-1])
+    # The other one has not seen the last day.
+    two.backfill(days[0], days[1])
+    differing = one.differing_slots(two)
+    assert days[-1] in differing["gold_feature_daily"] and differing["gold_training_set"] == [f"v{days[-1]}"]
+    assert one.unreconciled_days() == [] == two.unreconciled_days()
+    run = two.lake.begin()
+    run.append("silver_events", one.lake.read("silver_events").where("event_id = 'e1'"))
+    run.commit()
+    assert len(two.unreconciled_days()) == 1
+
+
+def array_of(spark, path, split_bytes=None):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    if split_bytes:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        found = read_json_array(spark, str(path)).select("file", "block", "pos", F.to_json("record").alias("r")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+    return [json.loads(r["r"]) for r in sorted(found, key=lambda r: (r["file"], r["block"], r["pos"]))]
+
+
+ODD_TEXTS = ['a } b', '{"not": "a record"}', '}}{{', 'quote " inside', "back\\slash \\\\ and \\\" more", '\\', '"', '}', '{', "é🙂}", "", "[", "]", '],[{"x":"', "line\nbreak }\n{"]
+
+
+@pytest.mark.parametrize(("split_bytes", "indent"), [(None, None), (400, None), (900, 1)])
+def test_one_array_is_read_by_many_tasks(spark, tmp_path, split_bytes, indent):
+    rnd = random.Random(3)
+    text = lambda: "".join(rnd.choices(ODD_TEXTS, k=rnd.randrange(4)))
+    records = [{"id": n, text() + str(n): text(), "deep": [{"a": text(), "b": {"c": [text(), {}]}}, []], "e": {}} for n in range(120)]
+    # Elements that are no objects stand between, before and after records.
+    mixed = [text(), 5, None, *records[:40], [1, [2, {"z": "}"}]], "x", *records[40:], text(), True, []]
+    (tmp_path / "a.json").write_text(json.dumps(mixed, indent=indent, ensure_ascii=False) + "\n", encoding="utf-8")
+    assert array_of(spark, tmp_path / "a.json", split_bytes) == mixed
+
+
+def test_arrays_of_all_shapes(spark, tmp_path):
+    good = ["[]", " [ ] \n", "[1]", "[{}]", '[{"a":1}]', '\n[ {"a":1} ,\n {"b":"]"} ]\n', '["}"]', "", '[{"a":{"b":{}}},"x"]', "[[]]"]
+    (tmp_path / "good").mkdir()
+    for n, text in enumerate(good):
+        (tmp_path / "good" / f"{n}.json").write_text(text)
+    assert array_of(spark, tmp_path / "good") == [x for text in good if text for x in json.loads(text)]
+    bad = ['[{"a":1}', '[{"a":1}}]', '[{"a":1},]', "[,1]", '[{"a":1}{"b":2}]', '{"a":1}', "5", '[{"a":1}]]', '[{"a":1}] []', '["a]', '[{"a":"x}]', '[{"a":1}]{', '[{"a":1},{"b":', "\n", "null", '[{"a":1},,{"b":1}]']
+    for n, text in enumerate(bad):
+        (tmp_path / f"bad{n}.json").write_text(text)
+        with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|no array"):
+            array_of(spark, tmp_path / f"bad{n}.json")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from deliveries import change, event, ticket_row
-from tidemark.operators import quality
+from tidemark.operators import keyed, quality
 from tidemark.operators.keyed import latest_by
 from tidemark.plans.lake import Lake
 from tidemark.sources.landing import kafka_records
@@ -85,3 +85,47 @@ def test_a_line_without_a_time_lands_on_a_day(spark, tmp_path):
     (tmp_path / "in" / "1.jsonl").write_text('{"timestamp": 17092\n', encoding="utf-8")
     landed = land(spark, tmp_path, "tickets").first()
     assert landed["_batch_id"] == str(landed["ingest_date"]) and landed["_op"] is None
+
+
+def test_fresh_events_never_look_at_the_table(spark, tmp_path, rows, monkeypatch):
+    looked = []
+    plain = keyed.unseen
+    monkeypatch.setattr(streams.keyed, "unseen", lambda state, batch, key, at_most=None: looked.append(sorted(r[key] for r in batch.collect())) or plain(state, batch, key, at_most))
+    files = [
+        [event("a", "u", "2024-03-10T10:00:00"), event("a", "u", "2024-03-10T10:00:00", arrived="2024-03-10T10:05:00")],
+        [event("b", "u", "2024-03-11T10:00:00"), event("a", "u", "2024-03-10T10:00:00", arrived="2024-03-11T10:05:00"), event("c", "u", "2024-03-09T10:00:00")],
+        # Beyond the three days: one known, one not.
+        [event("old", "u", "2024-03-01T10:00:00"), event("old", "u", "2024-03-01T10:00:00", arrived="2024-03-12T10:00:00"), event("d", "u", "2024-03-12T10:00:00")],
+        [event("old", "u", "2024-03-01T10:00:00", arrived="2024-03-13T10:00:00"), event("a", "u", "2024-03-10T10:00:00", arrived="2024-03-13T10:00:00")],
+    ]
+    for n, records in enumerate(files):
+        put(tmp_path / "in", f"{n}.jsonl", records)
+        # Stopped after every file, and started again.
+        lake = stream_events(spark, tmp_path)
+    assert rows(lake.read("silver_events"), "event_id") == [("a",), ("b",), ("c",), ("d",), ("old",)]
+    assert looked == [["old"], ["old"]]
+    arrived = {r["event_id"]: str(r["_ingested_at"]) for r in lake.read("silver_events").collect()}
+    assert arrived["a"].startswith("2024-03-10 10:00") and lake.read("gold_feature_daily").agg(F.sum("n_events")).first()[0] == 5
+
+
+def test_a_micro_batch_tried_again_adds_nothing(spark, tmp_path, rows):
+    put(tmp_path / "in", "0.jsonl", [event("a", "u", "2024-03-10T10:00:00")])
+    lake = stream_events(spark, tmp_path)
+    # Spark's own record of the finished micro-batches is lost, the tables have them.
+    for file in (tmp_path / "c" / "commits").iterdir():
+        file.unlink()
+    lake = stream_events(spark, tmp_path)
+    assert rows(lake.read("silver_events"), "event_id") == [("a",)]
+    assert lake.read("gold_feature_daily").agg(F.sum("n_events")).first()[0] == 1
+
+
+def test_a_table_filled_by_others_is_compared_with(spark, tmp_path, rows):
+    put(tmp_path / "in", "0.jsonl", [event("a", "u", "2024-03-10T10:00:00")])
+    stream_events(spark, tmp_path)
+    # Another stream over the same table, whose state knows nothing.
+    lines = spark.readStream.text(str(tmp_path / "in"))
+    put(tmp_path / "in", "1.jsonl", [event("b", "u", "2024-03-10T11:00:00")])
+    lake = Lake(spark, str(tmp_path / "lake"))
+    streams.finish(streams.events_stream(quality.gate_events(kafka_records(lines, "events", "", with_op=False)), lake, str(tmp_path / "c2")))
+    lake = stream_events(spark, tmp_path)
+    assert rows(lake.read("silver_events"), "event_id") == [("a",), ("b",)]

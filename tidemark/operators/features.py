@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import parsed
 from tidemark.functions.times import from_event_time
-from tidemark.operators.hot import HOT_ROWS, hot_cuts, split_hot
-from tidemark.session import cut_lineage
+from tidemark.operators.scan import carry_last
 
 
 def daily_features(events: DataFrame) -> DataFrame:
@@ -32,13 +31,23 @@ def daily_features_between(events: DataFrame, low: str, high: str) -> DataFrame:
     return daily_features(events.where((F.col("event_time") >= start) & (F.col("event_time") < end)))
 
 
+def lateness_counts(lateness_days: DataFrame) -> DataFrame:
+    """`lateness_days, n`: how many records came so many days late. Counts of batches can be put together."""
+    known = lateness_days.where(F.col("lateness_days").isNotNull())
+    return known.groupBy("lateness_days").agg(F.count(F.lit(1)).alias("n"))
+
+
 def lateness_profile(lateness_days: DataFrame) -> DataFrame:
     """Exact interpolated quantiles of the one integer column `lateness_days`.
 
-    Days are counted first, so the quantiles are taken over a handful of (days, count) pairs. Rows
-    without a lateness are left out; an empty input gives zeros.
+    Rows without a lateness are left out; an empty input gives zeros.
     """
-    counted = lateness_days.where(F.col("lateness_days").isNotNull()).groupBy("lateness_days").count()
+    return profile_of_counts(lateness_counts(lateness_days))
+
+
+def profile_of_counts(counts: DataFrame) -> DataFrame:
+    """The profile out of `lateness_counts` of any number of batches: a handful of (days, count) pairs each."""
+    counted = counts.groupBy("lateness_days").agg(F.sum("n").alias("count"))
     points = F.array(*[F.lit(p) for p in (0.50, 0.95, 0.99)])
     profile = counted.agg(
         F.percentile("lateness_days", points, F.col("count")).alias("q"),
@@ -58,8 +67,12 @@ def lateness_profile(lateness_days: DataFrame) -> DataFrame:
 
 def lookback_check(lateness_days: DataFrame, lookback_days: int) -> DataFrame:
     """One row: the 99th percentile in whole days, the lookback, and whether it is `covered`."""
+    return lookback_covered(lateness_profile(lateness_days), lookback_days)
+
+
+def lookback_covered(profile: DataFrame, lookback_days: int) -> DataFrame:
     late = F.col("p99_days").cast("bigint")
-    return lateness_profile(lateness_days).select(
+    return profile.select(
         late.alias("p99_days"), F.lit(lookback_days).alias("lookback_days"), (late <= lookback_days).alias("covered")
     )
 
@@ -72,20 +85,12 @@ def event_lateness(bronze_events: DataFrame) -> DataFrame:
     return read.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
 
 
-def asof_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    left_time: str,
-    right_time: str,
-    values: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str]) -> DataFrame:
     """Every left row with the `values` of the latest right row of its key at or before its time.
 
-    Unmatched left rows stay, with nulls. Both sides go through one shuffle as one time line per key,
-    along which the last right row is carried forward; nothing is multiplied. Time lines too long for
-    one task are cut into slices.
+    Unmatched left rows stay, with nulls. Both sides form one time line per key, along which the last right
+    row is carried forward by a scan over ranges of key and time; nothing is multiplied, and neither a hot
+    key nor very many rows of one time are one task's.
     """
     found = F.struct(*[F.col(v).alias(v) for v in values])
     # Rows without a key match nothing; there may be very many, so they go around the time lines.
@@ -93,40 +98,14 @@ def asof_join(
     a = left.where(~apart).select(*on, F.col(left_time).alias("_t"), F.lit(1).alias("_side"), F.struct(*left.columns).alias("_l"))
     b = right.dropna(subset=[right_time, *on])
     b = b.select(*on, F.col(right_time).alias("_t"), F.lit(0).alias("_side"), found.alias("_r"))
-    line = cut_lineage(a.unionByName(b, allowMissingColumns=True))
-    cuts = hot_cuts(line.select(*on, "_t"), on, F.unix_micros(F.col("_t").cast("timestamp")), hot_rows)
-    if cuts is None:
-        carried = _carry(line, on)
-    else:
-        cold, hot = split_hot(line, on, cuts, F.unix_micros(F.col("_t").cast("timestamp")))
-        carried = _carry(cold, on).unionByName(_carry_sliced(hot, on))
-    matched = carried.where(F.col("_side") == 1)
+    # At equal times the right row comes first, and among right rows the greatest last.
+    line = a.unionByName(b, allowMissingColumns=True).withColumn("_rank", F.col("_r"))
+    matched = carry_last(line, on, ["_t", "_side", "_rank"], "_r").where(F.col("_side") == 1)
     found_none = [F.lit(None).cast(right.schema[v].dataType).alias(v) for v in values]
     keyless = left.where(apart).select("*", *found_none)
     return matched.select("_l.*", *[F.col("_r")[v].alias(v) for v in values]).unionByName(keyless)
 
 
-def _along(on: Sequence[str]) -> Window:
-    # At equal times the right row comes first, and among right rows the greatest last.
-    return Window.partitionBy(*on).orderBy("_t", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
-
-
-def _carry(line: DataFrame, on: Sequence[str]) -> DataFrame:
-    return line.withColumn("_r", F.last("_r", ignorenulls=True).over(_along(on)))
-
-
-def _carry_sliced(hot: DataFrame, on: Sequence[str]) -> DataFrame:
-    """As `_carry`, slice by slice; a slice starts with the last right row of the slices before it."""
-    right_row = F.when(F.col("_side") == 0, F.struct("_t", "_r"))
-    lasts = hot.groupBy(*on, "_slice").agg(F.max_by("_r", right_row).alias("_last"))
-    before = Window.partitionBy(*on).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = lasts.select(*on, "_slice", F.last("_last", ignorenulls=True).over(before).alias("_start"))
-    inside = hot.withColumn("_r", F.last("_r", ignorenulls=True).over(_along([*on, "_slice"])))
-    return inside.join(starts, [*on, "_slice"]).select(
-        *[c for c in hot.columns if c not in ("_r", "_slice")], F.coalesce("_r", "_start").alias("_r")
-    )
-
-
 def leaky_join(left: DataFrame, right: DataFrame, on: Sequence[str], value: str, name: str) -> DataFrame:
     """Every left row with the greatest `value` of its key over all time, future included."""
     overall = right.groupBy(*on).agg(F.max(value).alias(name))

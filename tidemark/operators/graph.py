@@ -5,14 +5,16 @@ A graph is its edge table (`subject`, `relation`, `object`, `ord`); `ord` is the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.entities import PLURALS, canon_entity
 from tidemark.functions.text import bind, sentences, strip
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, shared_folder
 
 # Product names the policy rules look for, and the patterns of all rules.
 PRODUCTS = ("widget", "gadget", "sprocket")
@@ -104,49 +106,60 @@ def having_and_not(edges: DataFrame, relation: str, without: str) -> DataFrame:
     return flags.where("has AND NOT hasnt").select(F.col("subject").alias("node"))
 
 
+# A node's edges are dealt over so many buckets, as one node may have a third of all edges.
+EDGE_SALTS = 8
+
+
+def bucketed_edges(edges: DataFrame) -> DataFrame:
+    """`node, relation, object, edge` as a table bucketed by node and salt, the only shuffle of the edges.
+
+    Its files belong to the job, like checkpoint files; the session's catalog knows it by a name of its own.
+    """
+    spark = edges.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hop = edges.select(F.col("subject").alias("node"), "relation", "object", F.col("ord").alias("edge"))
+    salted = hop.withColumn("salt", F.pmod(F.xxhash64("object", "relation"), F.lit(EDGE_SALTS)).cast("int"))
+    name = f"tidemark_edges_{uuid.uuid4().hex}"
+    # Dealt as the buckets are, each bucket is one file.
+    dealt = salted.repartition(buckets, "node", "salt")
+    dealt.write.bucketBy(buckets, "node", "salt").option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def traverse(edges: DataFrame, start: str, relation: str, max_hops: int = 3) -> DataFrame:
     """Breadth-first walk from `start`; one row (`path`, `hops`, `answer`) per edge of `relation` met.
 
-    A node is walked on from once, by the path that reaches it first, and only if it is itself a
-    subject. Nodes up to `max_hops` edges away are walked on from, so an answer is at most
-    `max_hops + 1` edges away. Each level is one join with the edges and one aggregation that keeps the
-    first path per node; both are then stored, so a lost executor costs one level and the plan
-    does not grow. Of paths only the nodes themselves are kept, never pairs of them.
+    A node is walked on from once, by the path that reaches it first. Nodes up to `max_hops` edges away are
+    walked on from, so an answer is at most `max_hops + 1` edges away. The edges are shuffled once, into
+    buckets; each level meets them where they lie. A level keeps a node, the node it was reached from and
+    its turn in the queue; paths are read backwards from the answers at the end. Levels are stored, so a
+    lost executor costs one level and the plan does not grow.
     """
     spark = edges.sparkSession
-    # The source of the edges is read once; each edge then knows whether its object leads on.
-    hop = cut_lineage(edges.select(F.col("subject").alias("node"), "relation", "object", F.col("ord").alias("edge")))
-    subjects = hop.select(F.col("node").alias("object")).distinct().withColumn("leads_on", F.lit(True))
-    hop = cut_lineage(hop.join(subjects, "object", "left"))
-    # Queue order among the nodes of a level is the order of the edges that led to them.
-    came_by = f"array<{edges.schema['ord'].dataType.simpleString()}>"
-    first = spark.range(1).select(
-        F.lit(start).alias("node"), F.array(F.lit(start)).alias("path"), F.expr(f"cast(array() as {came_by})").alias("via")
-    )
-    level, seen, answers = cut_lineage(first), [first.select("node")], []
-    for depth in range(max_hops + 1):
-        steps = cut_lineage(level.join(hop, "node"))
-        longer = F.concat("path", F.array("object")).alias("path")
-        hits = steps.where(F.col("relation") == relation)
-        answers.append(hits.select(longer, F.lit(depth + 1).alias("hops"), F.col("object").alias("answer")))
-        if depth == max_hops:
-            break
-        via = F.concat("via", F.array("edge"))
-        reached = steps.where("leads_on").groupBy("object").agg(
-            F.min_by(F.struct(longer, via.alias("via")), via).alias("s")
-        )
-        known = seen[0]
-        for more in seen[1:]:
-            known = known.unionByName(more)
-        fresh = reached.join(known, F.col("object") == F.col("node"), "left_anti")
-        level = cut_lineage(fresh.select(F.col("object").alias("node"), "s.path", "s.via"))
-        if level.isEmpty():
+    hop = bucketed_edges(edges)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_SALTS - 1))).alias("salt")
+    first = spark.range(1).select(F.lit(start).alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("bigint").alias("turn"))
+    levels = [cut_lineage(first)]
+    for _ in range(max_hops):
+        steps = levels[-1].select("node", "turn", salts).join(hop.select("node", "salt", "object", "edge"), ["node", "salt"])
+        reached = steps.groupBy("object").agg(F.min(F.struct("turn", "edge", "node")).alias("by"))
+        known = reduce(DataFrame.unionByName, [level.select("node") for level in levels])
+        fresh = reached.join(known, F.col("object") == F.col("node"), "left_anti").where(F.col("object").isNotNull())
+        # The queue's order among the nodes of a level is that of the nodes and edges they were reached by.
+        queued = fresh.orderBy("by.turn", "by.edge").select(F.col("object").alias("node"), F.col("by.node").alias("parent"), F.monotonically_increasing_id().alias("turn"))
+        levels.append(cut_lineage(queued))
+        if levels[-1].isEmpty():
             break
-        seen.append(level.select("node"))
-    result = answers[0]
-    for more in answers[1:]:
-        result = result.unionByName(more)
-    return result
+    walked = reduce(DataFrame.unionByName, [level.select("node", F.lit(k).alias("depth")) for k, level in enumerate(levels)])
+    asked = hop.where(F.col("relation") == relation).select("node", "salt", "object")
+    found = walked.select("*", salts).join(asked, ["node", "salt"])
+    found = found.select(F.array("node", "object").alias("path"), (F.col("depth") + 1).alias("hops"), F.col("object").alias("answer"), F.col("node").alias("_at"))
+    for level in reversed(levels[1:]):
+        # A node is of one level only, so paths that have not come to this level yet meet nothing in it.
+        back = level.select(F.col("node").alias("_at"), "parent")
+        longer = F.when(F.col("parent").isNull(), F.col("path")).otherwise(F.concat(F.array("parent"), "path"))
+        found = found.join(back, "_at", "left").select(longer.alias("path"), "hops", "answer", F.coalesce("parent", "_at").alias("_at"))
+    return found.drop("_at")
 
 
 def retrieval_contrast(documents: DataFrame, subject: str, hint: str) -> DataFrame:

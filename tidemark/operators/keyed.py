@@ -45,6 +45,11 @@ def _pick(df: DataFrame, keys: Sequence[str], choose: Callable[[Column], Column]
 BROADCAST_ROWS = 1_000_000
 
 
+def small(at_most: int | None) -> bool:
+    """Whether a batch of at most so many rows may be broadcast; not, if its size is unknown."""
+    return at_most is not None and at_most <= BROADCAST_ROWS
+
+
 def matching(state: DataFrame, batch: DataFrame, key: str, at_most: int | None) -> DataFrame:
     """The state rows whose key occurs in a batch of at most `at_most` rows, None if that is unknown.
 
@@ -52,7 +57,7 @@ def matching(state: DataFrame, batch: DataFrame, key: str, at_most: int | None)
     unbounded batch both are shuffled.
     """
     keys = batch.select(key).distinct()
-    if at_most is not None and at_most <= BROADCAST_ROWS:
+    if small(at_most):
         keys = F.broadcast(keys)
     return state.join(keys, key, "left_semi").select(*state.columns)
 
@@ -62,8 +67,7 @@ def concerned(state: DataFrame, batch: DataFrame, key: str, at_most: int | None)
 
     For a large batch the join that follows does the filtering, so that the state is shuffled once.
     """
-    small = at_most is not None and at_most <= BROADCAST_ROWS
-    return matching(state, batch, key, at_most) if small else state
+    return matching(state, batch, key, at_most) if small(at_most) else state
 
 
 def newer_than_state(state: DataFrame, batch: DataFrame, key: str, version: str, at_most: int | None = None) -> DataFrame:

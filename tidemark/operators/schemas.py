@@ -43,6 +43,7 @@ TABLES = {
         "event_time TIMESTAMP_NTZ, reason STRING, _ingested_at TIMESTAMP_NTZ, _batch_id STRING, "
         "_kafka_partition INT, _kafka_offset BIGINT, _payload STRING"
     ),
+    "lateness_counts": _schema("lateness_days INT, n BIGINT"),
     "silver_tickets": _schema(
         "ticket_id STRING, user_id STRING, subject STRING, body STRING, priority STRING, status STRING, "
         "category STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, is_deleted BOOLEAN, "
@@ -51,7 +52,13 @@ TABLES = {
     "silver_ticket_history": _schema(
         "ticket_id STRING, priority STRING, status STRING, category STRING, is_deleted BOOLEAN, "
         "valid_from TIMESTAMP_NTZ, valid_to TIMESTAMP_NTZ, is_current BOOLEAN, _lsn BIGINT, "
-        "_generation BIGINT, _gone BOOLEAN"
+        "_generation BIGINT"
+    ),
+    "training_state": _schema(
+        "ticket_id STRING, _op STRING, subject STRING, body STRING, status STRING, category STRING, "
+        "created_at TIMESTAMP_NTZ, _lsn BIGINT, _ingested_at TIMESTAMP_NTZ, _kafka_offset BIGINT, was_created BOOLEAN, "
+        "created_priority STRING, created_lsn BIGINT, created_ingested_at TIMESTAMP_NTZ, created_offset BIGINT, "
+        "got_negative_feedback BOOLEAN"
     ),
     "silver_events": _schema(
         "event_id STRING, user_id STRING, ticket_id STRING, type STRING, rating STRING, page STRING, "

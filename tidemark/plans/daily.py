@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.fingerprints import checksum, combined_checksum
-from tidemark.functions.times import days_between, shift
+from tidemark.functions.fingerprints import added, checksum, checksum_of, combined_checksum, sums_by
 from tidemark.operators import cdc, chunks, features, keyed, labelling, quality
-from tidemark.operators.schemas import GOLD_TABLES
+from tidemark.operators.schemas import GOLD_TABLES, TABLES, conform
 from tidemark.plans.lake import Lake, Run
 from tidemark.sources.landing import Bronze
 
@@ -23,6 +22,8 @@ TICKET_DOMAINS = {
     "status": ["open", "pending", "closed"],
     "category": ["bug", "billing", "other"],
 }
+# States of past days kept to go on from.
+KEPT_STATES = 3
 # Of a merged table with more slots than this the smaller ones are written together.
 MAX_SLOTS = 32
 
@@ -63,7 +64,10 @@ class Warehouse:
         staged = run.slots_from(table, self.bronze.root)
         fresh = [day for day in self.bronze.landed_days(source) if day not in staged]
         for day in fresh:
-            run.put(table, day, parse(self.bronze.scan(source, batch=day)), origin=self.bronze.root)
+            landed = self.bronze.scan(source, batch=day)
+            run.put(table, day, parse(landed), origin=self.bronze.root)
+            if source == "events":
+                run.put("lateness_counts", day, features.lateness_counts(features.event_lateness(landed)), origin=self.bronze.root)
         return fresh
 
     # Silver
@@ -76,11 +80,11 @@ class Warehouse:
         return keyed.latest_by(tables.read("silver_transcripts"), ["ticket_id"], [F.col("exported_at")])
 
     def history(self, tables: Run | Lake) -> DataFrame:
-        """Every version of every ticket. A changed ticket's history is appended anew; newest wins."""
-        return keyed.newest_generation(tables.read("silver_ticket_history"), "ticket_id")
+        """Every version of every ticket. An interval that changes is appended anew; the last one wins."""
+        return cdc.current_versions(tables.read("silver_ticket_history")).drop("_generation")
 
     def doc_chunks(self, tables: Run | Lake) -> DataFrame:
-        """The document index, kept as the history is."""
+        """The document index. A changed ticket's chunks are appended anew; the newest ones hold."""
         return keyed.newest_generation(tables.read("gold_doc_chunks"), "ticket_id")
 
     def gold(self, table: str) -> DataFrame:
@@ -88,34 +92,38 @@ class Warehouse:
 
     def upsert_tickets(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
-        batch = cdc.ticket_state(run.read("stage_ticket_changes", of_day))
         at_most = run.rows("stage_ticket_changes", of_day)
+        if not at_most:
+            return {"applied": 0}
+        batch = cdc.ticket_state(run.read("stage_ticket_changes", of_day))
         return {"applied": merge_tickets(run, "silver_tickets", batch, "_lsn", at_most)}
 
     def build_history(self, run: Run, days: list[str]) -> dict:
-        """Bring the history of all tickets changed in the batches `days` up to date."""
+        """Append the intervals that the batches `days` open or end; older batches are not read."""
         if not days:
             return {"written": 0}
         fresh = lambda slot: slot in days
-        changes = run.read("stage_ticket_changes")
-        touched = run.read("stage_ticket_changes", fresh).select("ticket_id")
         at_most = run.rows("stage_ticket_changes", fresh)
-        rebuilt = cdc.scd2(keyed.matching(changes, touched, "ticket_id", at_most))
-        written = run.append_keys("silver_ticket_history", "ticket_id", touched, rebuilt)
-        run.compact("silver_ticket_history", MAX_SLOTS)
+        delta = cdc.history_delta(run.read("silver_ticket_history"), run.read("stage_ticket_changes", fresh), at_most)
+        written = run.append("silver_ticket_history", delta.withColumn("_generation", run.next_generation()))
+        run.compact("silver_ticket_history", MAX_SLOTS, holding=cdc.current_versions)
         return {"written": written}
 
     def upsert_events(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
         gated, at_most = run.read("stage_events", of_day), run.rows("stage_events", of_day)
+        if not at_most:
+            return {"inserted": 0, "quarantined": 0, "silver_rows": run.rows("silver_events")}
         quarantined = run.put("quarantine_events", day, quality.quarantined_events(gated))
         arrival = [F.col("_ingested_at"), F.col("_kafka_offset")]
         valid = quality.valid_events(gated)
         fresh = keyed.insert_new(run.read("silver_events"), valid, "event_id", arrival, at_most)
-        inserted = run.append("silver_events", fresh.drop("_kafka_partition", "_kafka_offset"))
+        inserted = run.append("silver_events", fresh.drop("_kafka_partition", "_kafka_offset"), batch=day)
         return {"inserted": inserted, "quarantined": quarantined, "silver_rows": run.rows("silver_events")}
 
     def upsert_transcripts(self, run: Run, day: str) -> dict:
+        if day not in self.bronze.landed_days("transcripts"):
+            return {"applied": 0}
         exports = self.bronze.scan("transcripts", batch=day)
         batch = chunks.latest_exports(chunks.decode_exports(exports))
         return {"applied": merge_tickets(run, "silver_transcripts", batch, "exported_at", exports.count())}
@@ -124,16 +132,43 @@ class Warehouse:
 
     def build_features(self, run: Run, day: str) -> dict:
         """Recompute the event days [day - lookback, day]; other days keep their folders."""
-        low = shift(day, -self.lookback_days)
-        rebuilt = features.daily_features_between(run.read("silver_events"), low, day)
-        run.put_by("gold_feature_daily", rebuilt, F.col("event_date"), lambda slot: low <= slot <= day)
-        return {"window": f"{low}..{day}", "rows": run.rows("gold_feature_daily")}
-
-    def build_snapshot(self, run: Run, day: str) -> dict:
+        if not run.rows("silver_events"):
+            return {"window": "", "rows": 0}
+        window = self._days(F.date_add(F.lit(day).cast("date"), -self.lookback_days), day)
+        rebuilt = features.daily_features_between(run.read("silver_events"), window[0], day)
+        run.put_by("gold_feature_daily", rebuilt, F.col("event_date"), lambda slot: slot in window)
+        return {"window": f"{window[0]}..{day}", "rows": run.rows("gold_feature_daily")}
+
+    def _days(self, first: Column | str, last: Column | str) -> list[str]:
+        """Calendar days from `first` to `last`, both included; none if `last` is before."""
+        first, last = (F.lit(d).cast("date") if isinstance(d, str) else d for d in (first, last))
+        days = self.spark.range(1).where(first <= last).select(F.explode(F.sequence(first, last).cast("array<string>")).alias("day"))
+        return sorted(r["day"] for r in days.collect())
+
+    def training_state(self, run: Run, day: str, staged: list[str], inserted: int) -> DataFrame:
+        """The state of all tickets as of `day`, kept for the days to come.
+
+        It is folded from the newest state before and the batches since. What arrives for a day makes the
+        states of that day and later ones void: `staged` are the days of change batches staged just now,
+        `inserted` the number of the day's new events.
+        """
+        void = min([*staged, *([day] if inserted else [])], default=None)
+        if void is not None:
+            run.drop("training_state", lambda slot: slot >= void)
+        if day not in run.slots("training_state"):
+            base = max((slot for slot in run.slots("training_state") if slot < day), default="")
+            since = lambda batch: base < batch <= day
+            events = run.from_batches("silver_events", since).where((F.col("_batch_id") > base) & (F.col("_batch_id") <= day))
+            before = run.read("training_state", lambda slot: slot == base) if base else None
+            run.put("training_state", day, cdc.training_state(before, run.read("stage_ticket_changes", since), events))
+        kept = {day, *sorted(run.slots("training_state"))[-KEPT_STATES:]}
+        run.drop("training_state", lambda slot: slot not in kept)
+        return run.read("training_state", lambda slot: slot == day)
+
+    def build_snapshot(self, run: Run, day: str, staged: list[str], inserted: int) -> dict:
         """Write version `v<day>` once; a rebuild must come out the same."""
         version = f"v{day}"
-        changes = run.read("stage_ticket_changes", lambda slot: slot <= day)
-        snapshot = cdc.training_snapshot(changes, run.read("silver_events"), day)
+        snapshot = cdc.snapshot_of(self.training_state(run, day, staged, inserted), day)
         if version not in run.slots("gold_training_set"):
             return {"version": version, "status": "created", "rows": run.put("gold_training_set", version, snapshot)}
         same = lambda slot: slot == version
@@ -163,7 +198,7 @@ class Warehouse:
         missing = chunks.missing_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
         embedded = run.append("embedding_cache", chunks.embed(missing, model, model_version))
         indexed = chunks.with_embeddings(pieces, run.read("embedding_cache"), model_version, n_pieces)
-        written = run.append_keys("gold_doc_chunks", "ticket_id", touched, indexed, origin=model_version)
+        written = run.append_keys("gold_doc_chunks", "ticket_id", touched, indexed, at_most, origin=model_version)
         run.compact("gold_doc_chunks", MAX_SLOTS)
         return {"written": written, "embedded_new": embedded}
 
@@ -197,10 +232,10 @@ class Warehouse:
             "staged": staged,
             "silver_tickets": self.upsert_tickets(run, day),
             "silver_history": self.build_history(run, staged["tickets"]),
-            "silver_events": self.upsert_events(run, day),
+            "silver_events": (events := self.upsert_events(run, day)),
             "silver_transcripts": self.upsert_transcripts(run, day),
             "gold_feature_daily": self.build_features(run, day),
-            "gold_training_set": self.build_snapshot(run, day),
+            "gold_training_set": self.build_snapshot(run, day, staged["tickets"], events["inserted"]),
             "gold_doc_chunks": self.build_chunks(run),
         }
         run.commit()
@@ -208,7 +243,7 @@ class Warehouse:
 
     def backfill(self, start: str, end: str) -> list[dict]:
         """Every day in order; a day's state depends on the day before."""
-        return [self.run_day(day) for day in days_between(start, end)]
+        return [self.run_day(day) for day in self._days(start, end)]
 
     def rebuilt(self, lake_root: str) -> Warehouse:
         """A warehouse over the same Bronze with all other tables still to be built."""
@@ -216,21 +251,54 @@ class Warehouse:
 
     # Checks
 
-    def gold_checksums(self) -> dict[str, str]:
-        sums = {table: checksum(self.gold(table)) for table in GOLD_TABLES}
+    def gold_checksums(self, read: bool = False) -> dict[str, str]:
+        """Checksums of the Gold tables and of all of them, from the sums kept of each slot when it was written.
+
+        With `read`, and for a table with slots nobody summed, from the rows as they lie.
+        """
+        sums = {}
+        for table in GOLD_TABLES:
+            kept = None if read else self.lake.sums(table)
+            sums[table] = checksum(self.gold(table)) if kept is None else checksum_of(added(kept.values()))
         return sums | {"gold": combined_checksum(list(sums.values()))}
 
+    def differing_slots(self, other: Warehouse) -> dict[str, list[str]]:
+        """The days and versions in which two warehouses differ, of the tables kept by day or version."""
+        out = {}
+        for table in ("gold_feature_daily", "gold_training_set"):
+            mine, theirs = self.lake.sums(table) or {}, other.lake.sums(table) or {}
+            out[table] = sorted(slot for slot in {*mine, *theirs} if mine.get(slot, (0, 0, 0)) != theirs.get(slot, (0, 0, 0)))
+        return out
+
     def features_reconcile(self) -> bool:
         """Whether the windowed features equal one aggregate over all events."""
-        whole = features.daily_features(self.lake.read("silver_events"))
-        return checksum(self.lake.read("gold_feature_daily")) == checksum(whole)
+        return not self.unreconciled_days()
+
+    def unreconciled_days(self) -> list[str]:
+        """The days whose features differ from the aggregate over their events; the features are not read."""
+        whole = conform(features.daily_features(self.lake.read("silver_events")), TABLES["gold_feature_daily"])
+        wanted = sums_by(whole, F.col("event_date"))
+        kept = self.lake.sums("gold_feature_daily")
+        held = sums_by(self.lake.read("gold_feature_daily"), F.col("event_date")) if kept is None else kept
+        return sorted(day for day in {*wanted, *held} if wanted.get(day, (0, 0, 0)) != held.get(day, (0, 0, 0)))
+
+    def _lateness(self) -> DataFrame:
+        """The profile of all that has landed, from the counts kept of each batch; only batches that have
+        landed and are not staged yet are parsed."""
+        run = self.lake.begin()
+        counted = run.slots_from("lateness_counts", self.bronze.root)
+        counts = [run.read("lateness_counts", lambda slot: slot in counted)]
+        for day in self.bronze.landed_days("events"):
+            if day not in counted:
+                counts.append(features.lateness_counts(features.event_lateness(self.bronze.scan("events", batch=day))))
+        return features.profile_of_counts(reduce(DataFrame.unionByName, counts))
 
     def lateness(self) -> dict:
-        return features.lateness_profile(features.event_lateness(self.bronze.scan("events"))).first().asDict()
+        return self._lateness().first().asDict()
 
     def lookback_covers(self) -> bool:
         """Whether the lookback covers the 99th percentile of what has landed."""
-        return features.lookback_check(features.event_lateness(self.bronze.scan("events")), self.lookback_days).first()["covered"]
+        return features.lookback_covered(self._lateness(), self.lookback_days).first()["covered"]
 
     def unreadable(self, source: str) -> DataFrame:
         """Landed records no table is built from, with the reason."""

@@ -9,15 +9,19 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.schemas import TABLES, conform
+from tidemark.functions.fingerprints import Sums, added, sums_by
+from tidemark.operators.keyed import matching, newest_generation
+from tidemark.operators.schemas import GOLD_TABLES, TABLES, conform
 from tidemark.session import cut_lineage
 from tidemark.sources.folders import Folders
 
+# Where commits keep the notes of jobs, beside the tables.
+_NOTES = "_notes"
 # Of every slot its folder and, where it was counted, its number of rows.
 Slots = dict[str, dict]
 
@@ -30,6 +34,13 @@ class Lake:
     def _commits(self) -> list[str]:
         return [n for n in self.folders.names(f"{self.root}/_commits") if n.endswith(".json")]
 
+    def sums(self, table: str) -> dict[str, Sums] | None:
+        """The sums of every slot's rows as counted when they were written; None if a slot was not counted."""
+        held = self.tables().get(table, {})
+        if any("sums" not in h for h in held.values()):
+            return None
+        return {slot: tuple(map(int, h["sums"])) for slot, h in held.items()}
+
     def tables(self) -> dict[str, Slots]:
         commits = self._commits()
         return json.loads(self.folders.read_text(f"{self.root}/_commits/{commits[-1]}")) if commits else {}
@@ -63,6 +74,16 @@ def _scan(lake: Lake, table: str, paths: list[str]) -> DataFrame:
     return lake.spark.read.schema(TABLES[table]).parquet(*folders)
 
 
+def _scan_by_slot(lake: Lake, table: str, folder: str) -> DataFrame:
+    """A table written in parts by slot, without the column of the slots."""
+    return lake.spark.read.schema(TABLES[table]).option("recursiveFileLookup", "true").parquet(folder)
+
+
+def _told(sums: Iterable[int]) -> list[str]:
+    # As texts, since they are larger than numbers of JSON are read everywhere.
+    return [str(n) for n in sums]
+
+
 class Run:
     """Changes to any number of tables, visible to the run at once and to others after `commit`."""
 
@@ -110,23 +131,49 @@ class Run:
 
     def put(self, table: str, slot: str, df: DataFrame, origin: str | None = None) -> int:
         """Fill one slot, replacing what it held; the number of rows. `origin` says what it was made from."""
-        held = self._held(self._write(table, df))
-        self.tables.setdefault(table, {})[slot] = held | {"origin": origin}
+        held = self._held(self._write(table, df)) | {"origin": origin}
+        self.tables.setdefault(table, {})[slot] = self._summed(table, held)
         return held["rows"]
 
+    def _summed(self, table: str, held: dict) -> dict:
+        """With the sums of what has just been written, for the tables whose checksums are asked for."""
+        if table not in GOLD_TABLES:
+            return held
+        return held | {"sums": _told(sums_by(_scan(self.lake, table, [held["path"]])).get(None, (0, 0, 0)))}
+
     def slots_from(self, table: str, origin: str) -> set[str]:
         """The slots of a table made from `origin`."""
         return {slot for slot, held in self.tables.get(table, {}).items() if held.get("origin") == origin}
 
-    def append(self, table: str, df: DataFrame) -> int:
-        """Add rows in a slot of their own; nothing is added when there are none."""
+    def append(self, table: str, df: DataFrame, batch: str | None = None) -> int:
+        """Add rows in a slot of their own; nothing is added when there are none. `batch` says where they are from."""
         path = self._write(table, df)
-        held = self._held(path)
+        held = self._held(path) | {"origin": batch}
         if held["rows"]:
             self.tables.setdefault(table, {})[_slot_of(path)] = held
             self._appended.setdefault(table, []).append(held)
         return held["rows"]
 
+    def from_batches(self, table: str, wanted: Callable[[str], bool]) -> DataFrame:
+        """What was appended from the batches that are wanted; slots that do not say so are read as well."""
+        held = self.tables.get(table, {}).values()
+        return _scan(self.lake, table, [h["path"] for h in held if h.get("origin") is None or wanted(h["origin"])])
+
+    def drop(self, table: str, dropped: Callable[[str], bool]) -> None:
+        """Empty the slots whose name is accepted."""
+        self.tables[table] = {slot: held for slot, held in self.tables.get(table, {}).items() if not dropped(slot)}
+
+    def note(self, name: str) -> dict | None:
+        """What a job has last committed about itself under this name."""
+        return self.tables.get(_NOTES, {}).get(name)
+
+    def keep_note(self, name: str, note: dict) -> None:
+        self.tables.setdefault(_NOTES, {})[name] = note
+
+    def next_generation(self) -> Column:
+        """The number of this run, greater than that of any run before."""
+        return F.lit(self._base + 1).cast("bigint")
+
     def appended(self, table: str) -> tuple[DataFrame, int]:
         """What this run has appended to a table, and its number of rows."""
         held = self._appended.get(table, [])
@@ -139,24 +186,32 @@ class Run:
         self.tables[table] = {_slot_of(path): held} if held["rows"] else {}
         return held["rows"]
 
-    def append_keys(self, table: str, key: str, touched: DataFrame, rebuilt: DataFrame, origin: str | None = None) -> int:
-        """Make `rebuilt` all there is of the `touched` keys, by appending it; the number of rows written.
+    def append_keys(self, table: str, key: str, touched: DataFrame, rebuilt: DataFrame, at_most: int | None = None, origin: str | None = None) -> int:
+        """Make `rebuilt` all there is of the `touched` keys, at most `at_most`, by appending it; its number of rows.
 
-        Nothing written before is read or written again: `keyed.newest_generation` tells what holds.
+        Nothing written before is written again: `keyed.newest_generation` tells what holds. A key that
+        has had rows and has none any more gets one that says so.
         """
-        generation = F.lit(self._base + 1).cast("bigint")
         rebuilt = cut_lineage(rebuilt)
-        gone = touched.select(key).distinct().join(rebuilt.select(key).distinct(), key, "left_anti")
+        columns = [c for c in TABLES[table].names if c not in ("_generation", "_gone")]
+        # What these keys held so far goes, so a slot's sums are those of its rows less those they replace.
+        replaced = newest_generation(matching(self.read(table), touched, key, at_most), key).select(columns)
+        sums = [sums_by(df).get(None, (0, 0, 0)) for df in (rebuilt.select(columns), replaced)]
+        net = [new - old for new, old in zip(*sums, strict=True)]
+        held = matching(self.read(table).where(~F.col("_gone")).select(key), touched, key, at_most).distinct()
+        gone = held.join(rebuilt.select(key).distinct(), key, "left_anti")
         rows = rebuilt.withColumn("_gone", F.lit(False)).unionByName(gone.withColumn("_gone", F.lit(True)), allowMissingColumns=True)
-        path = self._write(table, rows.withColumn("_generation", generation))
+        path = self._write(table, rows.withColumn("_generation", self.next_generation()))
         held = self._held(path)
         if held["rows"]:
-            self.tables.setdefault(table, {})[_slot_of(path)] = held | {"origin": origin}
-        return held["rows"]
+            self.tables.setdefault(table, {})[_slot_of(path)] = held | {"origin": origin, "sums": _told(net)}
+        return rebuilt.count()
 
-    def compact(self, table: str, most: int) -> None:
+    def compact(self, table: str, most: int, holding: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """With more than `most` slots, write the smaller ones together as one; large ones stay.
 
+        `holding` leaves out rows that others of the same slots have replaced.
+
         A row is written again only when its slot is among the smaller half, so about as often as the
         logarithm of the number of batches.
         """
@@ -164,9 +219,12 @@ class Run:
         if len(held) <= most:
             return
         small = sorted(held, key=lambda slot: (held[slot]["rows"], slot))[: len(held) - most // 2]
-        path = self._write(table, _scan(self.lake, table, [held[slot]["path"] for slot in small]))
+        together = _scan(self.lake, table, [held[slot]["path"] for slot in small])
+        path = self._write(table, holding(together) if holding else together)
         origins = {held[slot].get("origin") for slot in small}
         merged = self._held(path) | {"origin": origins.pop() if len(origins) == 1 else None}
+        if all("sums" in held[slot] for slot in small):
+            merged["sums"] = _told(added(tuple(map(int, held[slot]["sums"])) for slot in small))
         self.tables[table] = {slot: h for slot, h in held.items() if slot not in small} | {_slot_of(path): merged}
 
     def put_by(self, table: str, df: DataFrame, by: Column, dropped: Callable[[str], bool]) -> int:
@@ -187,6 +245,9 @@ class Run:
             for row in counted:
                 kept[str(row["slot"])]["rows"] = row["count"]
                 written += row["count"]
+            if table in GOLD_TABLES:
+                for slot, sums in sums_by(_scan_by_slot(self.lake, table, folder), by).items():
+                    kept[slot]["sums"] = _told(sums)
         self.tables[table] = kept
         return written
 

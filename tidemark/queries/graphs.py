@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import graph
 from tidemark.queries.inputs import PART_NOUNS, catalogue, documents, place_edges, table
 from tidemark.queries.registry import Registry
+from tidemark.session import shared_folder
+from tidemark.sources.documents import read_documents
+from tidemark.sources.folders import Folders
 
 registry = Registry()
 
@@ -37,6 +42,31 @@ def triples(spark: SparkSession, sf: str) -> DataFrame:
     return _edges(spark, sf).select("subject", "relation", "object")
 
 
+@registry.query("""
+SELECT 'nation_' || n_nationkey || '.md' AS doc, lower(n_name) AS subject, 'IS_A' AS relation, lower(replace(r_name, ' ', '-')) AS object
+FROM nation JOIN region ON n_regionkey = r_regionkey
+UNION ALL SELECT 'nation_' || c_nationkey || '.md', unnest([lower(c_name), lower(c_name) || '-staff', lower(c_name) || '-family']), 'IS_A', lower(n_name)
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def folder_triples(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges out of a folder of documents: a file for each nation, with a line for it and each of its customers."""
+    folder = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
+    nation = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    region = F.replace("r_name", F.lit(" "), F.lit("-"))
+    own = nation.select(F.col("n_nationkey").alias("nation"), F.concat("n_name", F.lit(" belong to the "), region, F.lit(" category.")).alias("value"))
+    names = [F.col("c_name"), F.lit(" and "), F.col("c_name"), F.lit("-staff, the "), F.col("c_name"), F.lit("-family belong to the ")]
+    customer = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    theirs = customer.select(F.col("c_nationkey").alias("nation"), F.concat(F.lit("The "), *names, "n_name", F.lit(" category.")).alias("value"))
+    lines = own.unionByName(theirs).withColumn("nation", F.concat(F.lit("nation_"), F.col("nation").cast("string")))
+    lines.repartition("nation").write.partitionBy("nation").text(f"{folder}/lines")
+    folders = Folders(spark)
+    for name in folders.names(f"{folder}/lines"):
+        for part in folders.names(f"{folder}/lines/{name}"):
+            if part.startswith("part-"):
+                folders.move(f"{folder}/lines/{name}/{part}", f"{folder}/docs/{name.removeprefix('nation=')}.md")
+    found = graph.extract_triples(read_documents(spark, f"{folder}/docs"), products=PART_NOUNS)
+    return found.select(F.col("ord.doc").alias("doc"), "subject", "relation", "object")
+
+
 @registry.query(f"SELECT relation, object FROM ({_TRIPLES}) WHERE subject = 'widget'")
 def one_hop(spark: SparkSession, sf: str) -> DataFrame:
     return graph.one_hop(_edges(spark, sf), "widget")

@@ -86,14 +86,15 @@ def scd2_history(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def snapshot_sql(day: str) -> str:
+    """The snapshot as of a day, given as an SQL expression."""
     return f"""
-WITH changes AS (SELECT * FROM ({CHANGE_SQL}) WHERE batch_id <= '{day}'),
+WITH changes AS (SELECT * FROM ({CHANGE_SQL}) WHERE batch_id <= {day}),
 latest AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY lsn DESC) = 1),
 created AS (SELECT ticket_id, priority AS priority_at_creation FROM changes WHERE op = 'c'
             QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY lsn) = 1),
 feedback AS (SELECT ticket_id, bool_or(rating = 'down') AS got_negative_feedback FROM ({EVENT_SQL})
-             WHERE reason IS NULL AND type = 'feedback' AND strftime(arrived, '%Y-%m-%d') <= '{day}' GROUP BY 1)
-SELECT 'v{day}' AS snapshot_version, ticket_id, subject || '. ' || body AS text, category AS label,
+             WHERE reason IS NULL AND type = 'feedback' AND strftime(arrived, '%Y-%m-%d') <= {day} GROUP BY 1)
+SELECT 'v' || {day} AS snapshot_version, ticket_id, subject || '. ' || body AS text, category AS label,
        priority_at_creation, coalesce(got_negative_feedback, false) AS got_negative_feedback,
        strftime(created_at, '%Y-%m-%d') AS created_date
 FROM latest JOIN created USING (ticket_id) LEFT JOIN feedback USING (ticket_id)
@@ -101,7 +102,7 @@ WHERE op <> 'd' AND status = 'closed' AND category IS NOT NULL
 """
 
 
-@registry.query(snapshot_sql("2024-01-20"))
+@registry.query(snapshot_sql("'2024-01-20'"))
 def snapshot_as_of(spark: SparkSession, sf: str) -> DataFrame:
     """The training snapshot of 20 January out of the whole month's log."""
     snapshot = cdc.training_snapshot(ticket_changes(spark, sf), silver_events(spark, sf), "2024-01-20")

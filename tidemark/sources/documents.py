@@ -16,7 +16,7 @@ def read_documents(spark: SparkSession, folder: str, pattern: str = "*.md") -> D
 
 def read_trace_export(spark: SparkSession, path: str) -> DataFrame:
     """Root spans of trace exports, files of one JSON array each, in order of arrival."""
-    arrays = read_json_array(spark, path).withColumn("block", F.lit(0).cast("bigint"))
+    arrays = read_json_array(spark, path)
     return arrays.select(F.struct("file", "block", "pos").alias("trace_ord"), F.col("record").alias("root"))
 
 

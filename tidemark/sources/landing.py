@@ -7,13 +7,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.records import parsed
 from tidemark.functions.times import from_iso, from_millis
 from tidemark.operators.schemas import BRONZE, conform
+from tidemark.session import cut_lineage
 from tidemark.sources.folders import Folders
 
 _BRONZE_FILES = T.StructType([*BRONZE.fields, T.StructField("ingest_date", T.StringType())])
@@ -50,19 +51,72 @@ def export_records(records: DataFrame, source: str, day: str) -> DataFrame:
     )
 
 
+def _prefix(pieces: DataFrame, column: str, name: str) -> DataFrame:
+    """Adds the sum of `column` over the file's pieces before each one, as `name`.
+
+    A block of a file is what one task reads. Blocks are summed first, and those few sums in order of the
+    blocks; within a block a piece adds those before it.
+    """
+    sums = pieces.groupBy("file", "block").agg(F.sum(column).alias("_sum"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("file", "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    here = Window.partitionBy("file", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    summed = pieces.withColumn("_here", F.coalesce(F.sum(column).over(here), F.lit(0)))
+    return summed.join(offsets, ["file", "block"]).withColumn(name, F.col("_here") + F.col("_offset")).drop("_here", "_offset")
+
+
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """(`file`, `pos`, `record` variant) of files that hold one JSON array each, every field kept.
+    """(`file`, `block`, `pos`, `record` variant) of files that hold one JSON array each, every field kept.
 
-    Each element is a variant of its own, so only a file's text is one value (Spark's bound for one is
-    2 GB). A file that is cut off, or no array, fails the read; one of no bytes has no rows. One task
-    reads a file; lines are the form to prefer.
+    A file is cut at its closing braces, wherever they stand, and read in as many tasks as it has blocks. How
+    many quotes stand before a piece tells whether it begins inside a string; braces and brackets outside
+    strings tell where a record ends; both are sums over the pieces before. Pieces of one record are put together
+    again, so only a record is one value (Spark's bound for one is 2 GB). `block` and `pos` are in the order
+    of the elements. A file that is cut off, or no array, fails the read; one of no bytes has no rows.
     """
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    # Inside an object: what follows the array's end would be ignored otherwise.
-    whole = F.concat(F.lit('{"all":'), F.col("value"), F.lit("}"))
-    found = F.from_json(whole, "all ARRAY<VARIANT>", {"mode": "FAILFAST"})["all"]
-    refused = F.raise_error(F.concat(F.lit("no array: "), F.col("file"))).cast("array<variant>")
-    exploded = files.select("file", F.posexplode(F.coalesce(found, refused)).alias("pos", "record"))
+    raw = spark.read.option("lineSep", "}").text(path)
+    pieces = cut_lineage(
+        raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
+    )
+    count = lambda text, sign: (F.length(text) - F.length(F.translate(text, sign, ""))).cast("long")
+    # Only strings have backslashes, and none stands before a brace a piece was cut at.
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    without = lambda text: F.regexp_replace(text, r'"[^"]*("|$)', "")
+    outside, from_inside = without(plain), without(F.regexp_replace(plain, r'^[^"]*("|$)', ""))
+    last = pieces.groupBy("file").agg(F.max(F.struct("block", "pos")).alias("_last"))
+    marked = pieces.withColumn("quotes", count(plain, '"')).join(last, "file")
+    # What follows the last brace, a bracket if all is well, is not closed by one.
+    marked = marked.withColumn("cut", F.struct("block", "pos") < F.col("_last")).drop("_last")
+    inside = _prefix(marked, "quotes", "before").withColumn("inside", F.col("before") % 2 == 1)
+    closes = F.col("cut") & ((F.col("before") + F.col("quotes")) % 2 == 0)
+    nests = lambda text: count(text, "{[") - count(text, "]")
+    opened = F.when(F.col("inside"), nests(from_inside)).otherwise(nests(outside))
+    deep = inside.select("file", "block", "pos", "value", "cut", closes.alias("closes"), (opened - closes.cast("long")).alias("step"))
+    # An element ends where nothing is open but the array itself.
+    ended = _prefix(deep, "step", "depth").withColumn("ends", (F.col("closes") & (F.col("depth") + F.col("step") == 1)).cast("long"))
+    numbered = _prefix(ended.select("file", "block", "pos", "value", "ends"), "ends", "number")
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "value"))), lambda p: p["value"])
+    records = numbered.groupBy("file", "number").agg(F.array_join(texts, "}").alias("text"), (F.sum("ends") > 0).alias("whole"))
+    return _elements(records)
+
+
+def _elements(records: DataFrame) -> DataFrame:
+    """The elements in each part of an array: what stands before a record, if anything, and the record."""
+    text = F.regexp_replace(F.col("text"), r"^\s+|\s+$", "")
+    text = F.when(F.col("whole"), F.concat(text, F.lit("}"))).otherwise(text)
+    sign = F.when(F.col("number") == 0, "[").otherwise(",")
+    ends = F.col("whole") | text.endswith("]")
+    refused = F.raise_error(F.concat(F.lit("no array: "), F.col("file")))
+    # The tail after the last record may be the bracket alone.
+    only_bracket = ~F.col("whole") & (F.col("number") > 0) & (text == "]")
+    body = F.substring(text, F.lit(2), F.length(text) - F.when(F.col("whole"), 1).otherwise(2))
+    listed = F.when(only_bracket, "").when(text.startswith(sign) & ends, body).otherwise(refused.cast("string"))
+    blank = F.trim(listed) == ""
+    # Nothing but a comma before the end is no array.
+    empty = blank & (only_bracket | (F.col("number") == 0))
+    found = F.from_json(F.concat(F.lit('{"all":['), listed, F.lit("]}")), "all ARRAY<VARIANT>", {"mode": "FAILFAST"})["all"]
+    elements = F.when(blank & ~empty, refused.cast("array<variant>")).otherwise(F.coalesce(found, refused.cast("array<variant>")))
+    exploded = records.select("file", F.col("number").alias("block"), F.posexplode(elements).alias("pos", "record"))
     return exploded.withColumn("pos", F.col("pos").cast("bigint"))
 
 

@@ -48,7 +48,9 @@ def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     """
     ship(spark)
     clean = decontamination.decontaminate(docs, table(tune(spark), sf_dir, "benchmark"))
-    return clean.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns) if "n_chars" in docs.columns else clean
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

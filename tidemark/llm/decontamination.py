@@ -246,7 +246,7 @@ def _cut_by_blocks(docs: DataFrame, blocks: Callable[[], Iterable[Phrases]], tex
 def _cut_by_one(docs: DataFrame, phrases: Phrases, text: str, shard_words: int) -> DataFrame:
     """All rounds of a row in one pass, with a benchmark of one block."""
     sent = docs.sparkSession.sparkContext.broadcast(phrases)
-    place = docs.columns.index(text)
+    place, names = docs.columns.index(text), [f"c{k}" for k in range(len(docs.columns))]
     kind = pa.string()
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,8 +270,10 @@ def _cut_by_one(docs: DataFrame, phrases: Phrases, text: str, shard_words: int)
                 at += len(batch)
                 if changed:
                     new = [changed[i].decode() if i in changed else old for i, old in zip(rows, batch.column(place).to_pylist(), strict=True)]
-                    batch = batch.set_column(place, pa.field(text, kind), pa.array(new, kind))
+                    batch = batch.set_column(place, pa.field(names[place], kind), pa.array(new, kind))
                     batch = batch.filter(pa.array([i not in gone for i in rows]))
                 yield batch
 
-    return small_batches(docs).mapInArrow(clean, T.StructType(docs.schema.fields))
+    # Columns go by plain names through the tasks, as their own may have dots.
+    schema = T.StructType([T.StructField(name, f.dataType) for name, f in zip(names, docs.schema.fields, strict=True)])
+    return small_batches(docs).toDF(*names).mapInArrow(clean, schema).toDF(*docs.columns)

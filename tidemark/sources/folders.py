@@ -20,6 +20,10 @@ class Folders:
     def exists(self, path: str) -> bool:
         return self._fs(path).exists(self._path(path))
 
+    def changed_at(self, path: str) -> int:
+        """When a file or folder was last changed, in milliseconds."""
+        return self._fs(path).getFileStatus(self._path(path)).getModificationTime()
+
     def make(self, path: str) -> None:
         self._fs(path).mkdirs(self._path(path))
 

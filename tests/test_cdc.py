@@ -169,3 +169,11 @@ def test_snapshots_from_the_state_before_and_a_batch(spark, rows):
         state = spark.createDataFrame(state.collect(), state.schema)
         conform(state, TABLES["training_state"])
         assert rows(cdc.snapshot_of(state, day)) == rows(cdc.training_snapshot(log_, events, day))
+
+
+def test_feedback_by_ticket(spark, rows):
+    events = spark.createDataFrame(
+        [("A", "feedback", "up"), ("A", "feedback", "down"), ("A", "feedback", "down"), ("B", "feedback", "up"), ("C", "click", None), (None, "feedback", "down")],
+        "ticket_id string, type string, rating string",
+    )
+    assert rows(cdc.feedback_by_ticket(events)) == [("A", True), ("B", False)]

@@ -158,3 +158,15 @@ def test_answers_reach_one_edge_past_the_hops(spark, rows):
     assert rows(graph.traverse(edge_table(spark, chain), "n0", "R", 3)) == [(["n0", "n1", "n2", "n3", "n4"], 4, "n4")]
     assert rows(graph.traverse(edge_table(spark, chain), "n0", "R", 2)) == []
     assert rows(graph.traverse(edge_table(spark, chain), "nowhere", "R")) == []
+
+
+def test_large_levels_are_not_sent_to_all_tasks_and_buckets_grow_with_the_edges(spark, rows, monkeypatch):
+    rnd = random.Random(9)
+    triples = [(f"n{rnd.randrange(12)}", rnd.choice("AB"), f"n{rnd.randrange(16)}") for _ in range(60)]
+    edges = edge_table(spark, triples)
+    monkeypatch.setattr(graph, "BROADCAST_NODES", 0)
+    monkeypatch.setattr(graph, "BUCKET_EDGES", 7)
+    found = graph.traverse(edges, "n0", "B", 3)
+    assert "BroadcastExchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == brute_walk(triples, "n0", "B", 3)
+    assert graph._buckets(edges) == 9

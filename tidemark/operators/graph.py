@@ -108,15 +108,29 @@ def having_and_not(edges: DataFrame, relation: str, without: str) -> DataFrame:
 
 # A node's edges are dealt over so many buckets, as one node may have a third of all edges.
 EDGE_SALTS = 8
+# A bucket is put in order by one task, so the more edges there are, the more buckets.
+BUCKET_EDGES = 500_000
+# A level of at most so many rows goes to every task; how well it is packed on disk does not say how large it is there.
+BROADCAST_NODES = 100_000
 
 
-def bucketed_edges(edges: DataFrame) -> DataFrame:
+def _buckets(edges: DataFrame) -> int:
+    """As many buckets as a shuffle has partitions, more if those would hold too many edges. Of stored tables a count reads the footers."""
+    return max(int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-edges.count() // BUCKET_EDGES))
+
+
+def _met(nodes: DataFrame, n_rows: int) -> DataFrame:
+    """One side of a join: sent to every task if it is small, otherwise put in order beside the other side."""
+    return F.broadcast(nodes) if n_rows <= BROADCAST_NODES else nodes.hint("merge")
+
+
+def bucketed_edges(edges: DataFrame, buckets: int | None = None) -> DataFrame:
     """`node, relation, object, edge` as a table bucketed by node and salt, the only shuffle of the edges.
 
     Its files belong to the job, like checkpoint files; the session's catalog knows it by a name of its own.
     """
     spark = edges.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or _buckets(edges)
     hop = edges.select(F.col("subject").alias("node"), "relation", "object", F.col("ord").alias("edge"))
     salted = hop.withColumn("salt", F.pmod(F.xxhash64("object", "relation"), F.lit(EDGE_SALTS)).cast("int"))
     name = f"tidemark_edges_{uuid.uuid4().hex}"
@@ -133,33 +147,42 @@ def traverse(edges: DataFrame, start: str, relation: str, max_hops: int = 3) ->
     walked on from, so an answer is at most `max_hops + 1` edges away. The edges are shuffled once, into
     buckets; each level meets them where they lie. A level keeps a node, the node it was reached from and
     its turn in the queue; paths are read backwards from the answers at the end. Levels are stored, so a
-    lost executor costs one level and the plan does not grow.
+    lost executor costs one level and the plan does not grow. No level of many nodes is sent to all tasks.
     """
     spark = edges.sparkSession
-    hop = bucketed_edges(edges)
+    buckets = _buckets(edges)
+    hop = bucketed_edges(edges, buckets)
     salts = F.explode(F.sequence(F.lit(0), F.lit(EDGE_SALTS - 1))).alias("salt")
     first = spark.range(1).select(F.lit(start).alias("node"), F.lit(None).cast("string").alias("parent"), F.lit(0).cast("bigint").alias("turn"))
-    levels = [cut_lineage(first)]
+    levels, sizes = [cut_lineage(first)], [1]
     for _ in range(max_hops):
-        steps = levels[-1].select("node", "turn", salts).join(hop.select("node", "salt", "object", "edge"), ["node", "salt"])
+        steps = hop.select("node", "salt", "object", "edge").join(_met(levels[-1].select("node", "turn", salts), sizes[-1] * EDGE_SALTS), ["node", "salt"])
         reached = steps.groupBy("object").agg(F.min(F.struct("turn", "edge", "node")).alias("by"))
-        known = reduce(DataFrame.unionByName, [level.select("node") for level in levels])
+        known = _met(reduce(DataFrame.unionByName, [level.select("node") for level in levels]), sum(sizes))
         fresh = reached.join(known, F.col("object") == F.col("node"), "left_anti").where(F.col("object").isNotNull())
         # The queue's order among the nodes of a level is that of the nodes and edges they were reached by.
         queued = fresh.orderBy("by.turn", "by.edge").select(F.col("object").alias("node"), F.col("by.node").alias("parent"), F.monotonically_increasing_id().alias("turn"))
         levels.append(cut_lineage(queued))
-        if levels[-1].isEmpty():
+        sizes.append(levels[-1].count())
+        if not sizes[-1]:
             break
-    walked = reduce(DataFrame.unionByName, [level.select("node", F.lit(k).alias("depth")) for k, level in enumerate(levels)])
+    walked = reduce(DataFrame.unionByName, [level.select("node", "parent", F.lit(k).alias("depth")) for k, level in enumerate(levels)])
     asked = hop.where(F.col("relation") == relation).select("node", "salt", "object")
-    found = walked.select("*", salts).join(asked, ["node", "salt"])
-    found = found.select(F.array("node", "object").alias("path"), (F.col("depth") + 1).alias("hops"), F.col("object").alias("answer"), F.col("node").alias("_at"))
-    for level in reversed(levels[1:]):
+    found = asked.join(_met(walked.select("*", salts), sum(sizes) * EDGE_SALTS), ["node", "salt"])
+    longer = lambda path: F.when(F.col("parent").isNull(), path).otherwise(F.concat(F.array("parent"), path))
+    found = found.select(
+        "salt", longer(F.array("node", "object")).alias("path"), (F.col("depth") + 1).alias("hops"), F.col("object").alias("answer"), F.coalesce("parent", "node").alias("_at")
+    )
+    # The last level is no node's parent.
+    for level, n_nodes in reversed([*zip(levels, sizes, strict=True)][1:-1]):
         # A node is of one level only, so paths that have not come to this level yet meet nothing in it.
-        back = level.select(F.col("node").alias("_at"), "parent")
-        longer = F.when(F.col("parent").isNull(), F.col("path")).otherwise(F.concat(F.array("parent"), "path"))
-        found = found.join(back, "_at", "left").select(longer.alias("path"), "hops", "answer", F.coalesce("parent", "_at").alias("_at"))
-    return found.drop("_at")
+        back = level.select(F.col("node").alias("_at"), "parent", salts)
+        if n_nodes * EDGE_SALTS > BROADCAST_NODES:
+            found, back = found.repartition(buckets, "_at", "salt"), back.repartition(buckets, "_at", "salt")
+        found = found.join(_met(back, n_nodes * EDGE_SALTS), ["_at", "salt"], "left").select(
+            "salt", longer(F.col("path")).alias("path"), "hops", "answer", F.coalesce("parent", "_at").alias("_at")
+        )
+    return found.drop("_at", "salt")
 
 
 def retrieval_contrast(documents: DataFrame, subject: str, hint: str) -> DataFrame:

@@ -99,3 +99,11 @@ def test_contract_orders_columns_and_refuses_others(spark):
     for wrong in (good.drop("model"), good.withColumn("more", F.lit(1)), good.withColumn("model", F.lit(1))):
         with pytest.raises(ContractError):
             conform(wrong, schema)
+
+
+def test_gate_takes_a_record_apart_once(spark):
+    from tidemark.sources.landing import kafka_records
+
+    lines = spark.createDataFrame([("{}",)], "value string")
+    plan = quality.gate_events(kafka_records(lines, "events", "2024-03-01", with_op=False))._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("$.value") <= 2

@@ -28,20 +28,22 @@ NOT_RECORD = "not one record"
 _FIELDS = ("event_id", "user_id", "ticket_id", "type", "rating", "page", "event_time")
 
 
-def _facts(record: Column) -> Column:
-    """What the rules ask about a parsed record: of every field its text and its JSON type.
+_VALUE = f"struct<{', '.join(f'{field}: variant' for field in _FIELDS)}>"
+
+
+def _facts(record: Column, value: Column) -> Column:
+    """What the rules ask about a parsed record and the fields of its value: of every field its text and its JSON type.
 
     The type is 'STRING', 'VOID' for a JSON null and so on; null means the field is absent.
     """
-    # Paths start at the record: cutting `value` out first would copy it for every field. The type of
-    # the whole value is only asked for where it cannot be an object with an id.
-    no_id = F.try_variant_get(record, "$.value.event_id", "variant").isNull()
+    # The type of the whole value is only asked for where it cannot be an object with an id.
+    no_id = value["event_id"].isNull()
     is_record = F.when(no_id, F.schema_of_variant(record).startswith("OBJECT"))
     kind = F.when(no_id, F.schema_of_variant(F.try_variant_get(record, "$.value", "variant")))
     facts = [record.isNotNull().alias("is_json"), is_record.alias("is_record"), kind.alias("value_kind")]
     for field in _FIELDS:
-        facts.append(F.try_variant_get(record, f"$.value.{field}", "string").alias(field))
-        facts.append(F.schema_of_variant(F.try_variant_get(record, f"$.value.{field}", "variant")).alias(f"{field}_kind"))
+        facts.append(F.try_variant_get(value[field], "$", "string").alias(field))
+        facts.append(F.schema_of_variant(value[field]).alias(f"{field}_kind"))
     return F.struct(*facts)
 
 
@@ -85,7 +87,7 @@ def _reason() -> Column:
         F.when(has_rating, _one_of("rating", ("up", "down"), NOT_RATING)),
         _optional_text("page"),
         _fail("event_time", _kind("event_time").isNull(), MISSING),
-        _fail("event_time", from_event_time(F.col("event_time")).isNull(), NOT_TIME),
+        _fail("event_time", F.col("_time").isNull(), NOT_TIME),
         _fail("record", (F.col("type") == "feedback") & ~has_rating, NEEDS_RATING),
         _fail("record", (F.col("type") == "click") & has_rating, HAS_RATING),
     )
@@ -94,14 +96,16 @@ def _reason() -> Column:
 def gate_events(bronze: DataFrame) -> DataFrame:
     """Event records with their fields typed and `reason` set where a rule is broken.
 
-    One narrow pass that parses a record once. A bad record never stops the run; fields not named by
-    the rules are ignored.
+    One narrow pass that parses a record once, takes its fields apart once and reads its time once. A bad
+    record never stops the run; fields not named by the rules are ignored.
     """
     read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
-    asked = read.select("*", once(_facts(F.col("j"))).alias("f")).select("*", "f.*")
-    return asked.select(
+    opened = read.select("*", once(F.try_variant_get("j", "$.value", _VALUE)).alias("v"))
+    asked = opened.select(*bronze.columns, once(_facts(F.col("j"), F.col("v"))).alias("f")).select(*bronze.columns, "f.*")
+    timed = asked.select("*", once(from_event_time(F.col("event_time"))).alias("_time"))
+    return timed.select(
         *[f for f in _FIELDS if f != "event_time"],
-        from_event_time(F.col("event_time")).alias("event_time"),
+        F.col("_time").alias("event_time"),
         _reason().alias("reason"),
         "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload",
     )

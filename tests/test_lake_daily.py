@@ -11,6 +11,7 @@ from tidemark.operators.keyed import newest_generation
 from tidemark.plans.daily import LOOKBACK_DAYS, SnapshotImmutableError, Warehouse, fresh_check, rerun_check
 from tidemark.plans.flywheel import feature_leaks
 from tidemark.plans.lake import Lake
+from tidemark.sources import landing
 from tidemark.sources.landing import read_json_array
 
 
@@ -405,3 +406,13 @@ def test_arrays_of_all_shapes(spark, tmp_path):
         (tmp_path / f"bad{n}.json").write_text(text)
         with pytest.raises(Exception, match="MALFORMED_RECORD_IN_PARSING|no array"):
             array_of(spark, tmp_path / f"bad{n}.json")
+
+
+def test_only_numbers_are_shuffled_to_find_where_records_end(spark, tmp_path, monkeypatch):
+    summed = []
+    plain = landing._prefix
+    monkeypatch.setattr(landing, "_prefix", lambda pieces, column, name: summed.append(pieces.columns) or plain(pieces, column, name))
+    (tmp_path / "a.json").write_text('[{"a":"\\"}"},\n{"b":{}}]')
+    records = landing.read_json_array(spark, str(tmp_path / "a.json")).select(F.to_json("record"))
+    assert sorted(r[0] for r in records.collect()) == ['{"a":"\\"}"}', '{"b":{}}']
+    assert len(summed) == 3 and not any("value" in columns for columns in summed)

@@ -75,28 +75,30 @@ def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     of the elements. A file that is cut off, or no array, fails the read; one of no bytes has no rows.
     """
     raw = spark.read.option("lineSep", "}").text(path)
-    pieces = cut_lineage(
-        raw.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"), "value")
-    )
     count = lambda text, sign: (F.length(text) - F.length(F.translate(text, sign, ""))).cast("long")
+    nests = lambda text: count(text, "{[") - count(text, "]")
     # Only strings have backslashes, and none stands before a brace a piece was cut at.
     plain = F.regexp_replace("value", r"(?s)\\.", "")
     without = lambda text: F.regexp_replace(text, r'"[^"]*("|$)', "")
     outside, from_inside = without(plain), without(F.regexp_replace(plain, r'^[^"]*("|$)', ""))
-    last = pieces.groupBy("file").agg(F.max(F.struct("block", "pos")).alias("_last"))
-    marked = pieces.withColumn("quotes", count(plain, '"')).join(last, "file")
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos")]
+    counted = raw.select(*place, "value", count(plain, '"').alias("quotes"), nests(outside).alias("outside"), nests(from_inside).alias("from_inside"))
+    pieces = cut_lineage(counted)
+    # All sums are over a few numbers for each piece; texts are shuffled only to be put together.
+    marks = pieces.drop("value")
+    last = marks.groupBy("file").agg(F.max(F.struct("block", "pos")).alias("_last"))
     # What follows the last brace, a bracket if all is well, is not closed by one.
-    marked = marked.withColumn("cut", F.struct("block", "pos") < F.col("_last")).drop("_last")
+    marked = marks.join(last, "file").withColumn("cut", F.struct("block", "pos") < F.col("_last")).drop("_last")
     inside = _prefix(marked, "quotes", "before").withColumn("inside", F.col("before") % 2 == 1)
     closes = F.col("cut") & ((F.col("before") + F.col("quotes")) % 2 == 0)
-    nests = lambda text: count(text, "{[") - count(text, "]")
-    opened = F.when(F.col("inside"), nests(from_inside)).otherwise(nests(outside))
-    deep = inside.select("file", "block", "pos", "value", "cut", closes.alias("closes"), (opened - closes.cast("long")).alias("step"))
+    opened = F.when(F.col("inside"), F.col("from_inside")).otherwise(F.col("outside"))
+    deep = inside.select("file", "block", "pos", closes.alias("closes"), (opened - closes.cast("long")).alias("step"))
     # An element ends where nothing is open but the array itself.
     ended = _prefix(deep, "step", "depth").withColumn("ends", (F.col("closes") & (F.col("depth") + F.col("step") == 1)).cast("long"))
-    numbered = _prefix(ended.select("file", "block", "pos", "value", "ends"), "ends", "number")
+    numbered = _prefix(ended.select("file", "block", "pos", "ends"), "ends", "number")
+    told = pieces.select("pos", "value").join(numbered, "pos")
     texts = F.transform(F.sort_array(F.collect_list(F.struct("block", "pos", "value"))), lambda p: p["value"])
-    records = numbered.groupBy("file", "number").agg(F.array_join(texts, "}").alias("text"), (F.sum("ends") > 0).alias("whole"))
+    records = told.groupBy("file", "number").agg(F.array_join(texts, "}").alias("text"), (F.sum("ends") > 0).alias("whole"))
     return _elements(records)
 
 

@@ -127,3 +127,20 @@ def test_unix_times_count_as_late_too(spark):
     bronze = spark.createDataFrame([("e", "d", datetime(2024, 3, 3), 0, 1, None, x) for x in lines], BRONZE)
     assert [r[0] for r in features.event_lateness(bronze).collect()] == [2, 2]
     assert tuple(features.lookback_check(features.event_lateness(bronze), 1).first()) == (2, 1, False)
+
+
+def test_staged_events_tell_the_lateness_of_raw_records(spark):
+    from tidemark.operators import quality
+    from tidemark.operators.schemas import BRONZE
+
+    time = '"2024-03-01T10:00:00Z"'
+    values = [time, "1709287200", "1709287200.50", "1.7092872e9", "-0", "null", "true", '""', '" 2024-03-01 "', '"1709287200.5"', "99999999999999999999", '{"a": 1}']
+    lines = [f'{{"value": {{"event_time": {v}}}}}' for v in values]
+    whole = '{"value": {"event_id": "e", "user_id": "u", "ticket_id": null, "type": "click", "rating": null, "page": null, "event_time": %s}}'
+    lines += [whole % v for v in values]
+    lines += [f"[{lines[0]}]", f"[{lines[0]},{lines[0]}]", lines[0][:-1], lines[0] + " x", "{'value': {'event_time': '2024-03-01'}}", "{}", "null", '{"value": 1}']
+    lines += ['{"value": {"event_time": %s}, "value": {"event_time": 5}}' % time, '{"value": {"event_time": %s, "event_time": "2024-02-01"}}' % time]
+    for line in lines:
+        bronze = spark.createDataFrame([("e", "d", datetime(2024, 3, 3), 0, 1, None, line)], BRONZE)
+        staged = quality.staged_events(bronze)
+        assert features.staged_lateness(staged).collect() == features.event_lateness(bronze).collect(), line

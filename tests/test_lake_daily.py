@@ -1,5 +1,7 @@
 import json
 import random
+import threading
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.operators.keyed import newest_generation
 from tidemark.plans.daily import LOOKBACK_DAYS, SnapshotImmutableError, Warehouse, fresh_check, rerun_check
 from tidemark.plans.flywheel import feature_leaks
 from tidemark.plans.lake import Lake
+from tidemark.session import together
 from tidemark.sources import landing
 from tidemark.sources.landing import read_json_array
 
@@ -136,6 +139,26 @@ def test_a_batch_is_parsed_once(built):
     assert staged.where("reason IS NULL AND _payload IS NOT NULL").count() == 0
 
 
+def test_raw_records_are_not_parsed_again_for_their_lateness(spark, tmp_path, monkeypatch):
+    days = three_days(tmp_path / "in")
+    warehouse = Warehouse(spark, str(tmp_path / "in"), str(tmp_path / "bronze"), str(tmp_path / "lake"))
+    expected = warehouse.lateness()
+    monkeypatch.setattr(features, "event_lateness", lambda bronze: pytest.fail("parsed again"))
+    warehouse.backfill(days[0], days[-1])
+    monkeypatch.undo()
+    again = reduce(lambda a, b: a.unionByName(b), [features.event_lateness(warehouse.bronze.scan("events", batch=d)) for d in days])
+    assert expected["n"] == 0 and warehouse.lateness() == features.lateness_profile(again).first().asDict()
+
+
+def test_steps_of_a_day_run_together(spark, tmp_path):
+    met = threading.Barrier(2, timeout=60)
+    assert together(spark, a=lambda: met.wait() >= 0, b=lambda: met.wait() >= 0) == {"a": True, "b": True}
+    ended = []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, a=lambda: 1 // 0, b=lambda: ended.append(spark.range(10).count()))
+    assert ended == [10]
+
+
 def test_silver_tables(built, rows):
     warehouse, _, results = built
     assert rows(warehouse.tickets(warehouse.lake), "ticket_id", "priority", "status", "body", "is_deleted") == [

@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.records import parsed
 from tidemark.functions.times import from_event_time
 from tidemark.operators.scan import carry_last
 
+# Where a raw record names its event time.
+_NAMED_TIME = "value STRUCT<event_time: STRING>"
+
 
 def daily_features(events: DataFrame) -> DataFrame:
     """Event counts per user and day of event time."""
@@ -79,10 +82,20 @@ def lookback_covered(profile: DataFrame, lookback_days: int) -> DataFrame:
 
 def event_lateness(bronze_events: DataFrame) -> DataFrame:
     """Calendar days from event to arrival, of every raw record that names an event time."""
-    read = bronze_events.select("_ingested_at", parsed(F.col("_payload"), "value STRUCT<event_time: STRING>").alias("r"))
-    happened = from_event_time(F.col("r")["value"]["event_time"])
+    read = bronze_events.select("_ingested_at", parsed(F.col("_payload"), _NAMED_TIME).alias("r"))
+    return _days_late(read, from_event_time(F.col("r")["value"]["event_time"]))
+
+
+def staged_lateness(staged: DataFrame) -> DataFrame:
+    """The same of `quality.staged_events`, which has the times read already."""
+    raw = F.when(F.col("unread") == "", F.col("_payload")).otherwise(F.col("unread"))
+    read = staged.select("_ingested_at", "event_time", F.col("unread").isNull().alias("_read"), parsed(raw, _NAMED_TIME).alias("r"))
+    return _days_late(read, F.when(F.col("_read"), F.col("event_time")).otherwise(from_event_time(F.col("r")["value"]["event_time"])))
+
+
+def _days_late(records: DataFrame, happened: Column) -> DataFrame:
     days = F.datediff(F.to_date("_ingested_at"), F.to_date(happened))
-    return read.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
+    return records.select(days.alias("lateness_days")).where(F.col("lateness_days").isNotNull())
 
 
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str, right_time: str, values: Sequence[str]) -> DataFrame:

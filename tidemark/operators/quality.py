@@ -93,27 +93,39 @@ def _reason() -> Column:
     )
 
 
+def _taken_apart(bronze: DataFrame) -> DataFrame:
+    """Event records with what the rules ask about them, each parsed, taken apart and its time read once."""
+    read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
+    opened = read.select("*", once(F.try_variant_get("j", "$.value", _VALUE)).alias("v"))
+    asked = opened.select(*bronze.columns, once(_facts(F.col("j"), F.col("v"))).alias("f")).select(*bronze.columns, "f.*")
+    return asked.select("*", once(from_event_time(F.col("event_time"))).alias("_time"))
+
+
+def _gated() -> list[Column | str]:
+    fields = [f for f in _FIELDS if f != "event_time"]
+    return [*fields, F.col("_time").alias("event_time"), _reason().alias("reason"), "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload"]
+
+
 def gate_events(bronze: DataFrame) -> DataFrame:
     """Event records with their fields typed and `reason` set where a rule is broken.
 
     One narrow pass that parses a record once, takes its fields apart once and reads its time once. A bad
     record never stops the run; fields not named by the rules are ignored.
     """
-    read = bronze.select("*", once(F.try_parse_json("_payload")).alias("j"))
-    opened = read.select("*", once(F.try_variant_get("j", "$.value", _VALUE)).alias("v"))
-    asked = opened.select(*bronze.columns, once(_facts(F.col("j"), F.col("v"))).alias("f")).select(*bronze.columns, "f.*")
-    timed = asked.select("*", once(from_event_time(F.col("event_time"))).alias("_time"))
-    return timed.select(
-        *[f for f in _FIELDS if f != "event_time"],
-        F.col("_time").alias("event_time"),
-        _reason().alias("reason"),
-        "_ingested_at", "_batch_id", "_kafka_partition", "_kafka_offset", "_payload",
-    )
+    return _taken_apart(bronze).select(*_gated())
 
 
 def staged_events(bronze: DataFrame) -> DataFrame:
-    """Gated events as they are stored: with the raw record of refused ones only."""
-    return gate_events(bronze).withColumn("_payload", F.when(F.col("reason").isNotNull(), F.col("_payload")))
+    """Gated events as they are stored: with the raw record of refused ones only.
+
+    `unread` is null where the time is a text, a whole number or null, which the gate reads as any other reader does.
+    Else it is the raw record, for `features.staged_lateness`, or '' if that is kept as refused.
+    """
+    read = F.coalesce(_kind("event_time").isin("STRING", "BIGINT", "VOID"), F.lit(False))
+    refused = F.col("reason").isNotNull()
+    gated = _taken_apart(bronze).select(*_gated(), read.alias("_read"))
+    unread = F.when(~F.col("_read"), F.when(refused, "").otherwise(F.col("_payload")))
+    return gated.withColumn("unread", unread).withColumn("_payload", F.when(refused, F.col("_payload"))).drop("_read")
 
 
 def valid_events(gated: DataFrame) -> DataFrame:

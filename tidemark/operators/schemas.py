@@ -41,7 +41,7 @@ TABLES = {
     "stage_events": _schema(
         "event_id STRING, user_id STRING, ticket_id STRING, type STRING, rating STRING, page STRING, "
         "event_time TIMESTAMP_NTZ, reason STRING, _ingested_at TIMESTAMP_NTZ, _batch_id STRING, "
-        "_kafka_partition INT, _kafka_offset BIGINT, _payload STRING"
+        "_kafka_partition INT, _kafka_offset BIGINT, _payload STRING, unread STRING"
     ),
     "lateness_counts": _schema("lateness_days INT, n BIGINT"),
     "silver_tickets": _schema(

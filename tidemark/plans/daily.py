@@ -12,6 +12,7 @@ from tidemark.functions.fingerprints import added, checksum, checksum_of, combin
 from tidemark.operators import cdc, chunks, features, keyed, labelling, quality
 from tidemark.operators.schemas import GOLD_TABLES, TABLES, conform
 from tidemark.plans.lake import Lake, Run
+from tidemark.session import together
 from tidemark.sources.landing import Bronze
 
 # Days every run recomputes behind its own: the 99th percentile of measured lateness, rounded up.
@@ -55,10 +56,11 @@ class Warehouse:
 
     def stage(self, run: Run) -> dict[str, list[str]]:
         """Parse the landed batches no run has parsed yet, one slot each; the days staged."""
-        return {
-            "tickets": self._stage(run, "tickets", "stage_ticket_changes", cdc.decode_changes),
-            "events": self._stage(run, "events", "stage_events", quality.staged_events),
-        }
+        return together(
+            self.spark,
+            tickets=lambda: self._stage(run, "tickets", "stage_ticket_changes", cdc.decode_changes),
+            events=lambda: self._stage(run, "events", "stage_events", quality.staged_events),
+        )
 
     def _stage(self, run: Run, source: str, table: str, parse: Callable[[DataFrame], DataFrame]) -> list[str]:
         staged = run.slots_from(table, self.bronze.root)
@@ -67,7 +69,8 @@ class Warehouse:
             landed = self.bronze.scan(source, batch=day)
             run.put(table, day, parse(landed), origin=self.bronze.root)
             if source == "events":
-                run.put("lateness_counts", day, features.lateness_counts(features.event_lateness(landed)), origin=self.bronze.root)
+                counts = features.lateness_counts(features.staged_lateness(run.read(table, lambda slot: slot == day)))  # noqa: B023
+                run.put("lateness_counts", day, counts, origin=self.bronze.root)
         return fresh
 
     # Silver
@@ -111,7 +114,7 @@ class Warehouse:
 
     def upsert_events(self, run: Run, day: str) -> dict:
         of_day = lambda slot: slot == day
-        gated, at_most = run.read("stage_events", of_day), run.rows("stage_events", of_day)
+        gated, at_most = run.read("stage_events", of_day).drop("unread"), run.rows("stage_events", of_day)
         if not at_most:
             return {"inserted": 0, "quarantined": 0, "silver_rows": run.rows("silver_events")}
         quarantined = run.put("quarantine_events", day, quality.quarantined_events(gated))
@@ -227,19 +230,23 @@ class Warehouse:
         landed = self.bronze.land_day(day)
         run = self.lake.begin()
         staged = self.stage(run)
-        results = {
-            "land": landed,
-            "staged": staged,
-            "silver_tickets": self.upsert_tickets(run, day),
-            "silver_history": self.build_history(run, staged["tickets"]),
-            "silver_events": (events := self.upsert_events(run, day)),
-            "silver_transcripts": self.upsert_transcripts(run, day),
-            "gold_feature_daily": self.build_features(run, day),
-            "gold_training_set": self.build_snapshot(run, day, staged["tickets"], events["inserted"]),
-            "gold_doc_chunks": self.build_chunks(run),
-        }
+        # Tables that do not need one another are written at the same time, none by more than one of these.
+        built = together(
+            self.spark,
+            of_tickets=lambda: {
+                "silver_tickets": self.upsert_tickets(run, day),
+                "silver_transcripts": self.upsert_transcripts(run, day),
+                "gold_doc_chunks": self.build_chunks(run),
+            },
+            of_events=lambda: {
+                "silver_events": (events := self.upsert_events(run, day)),
+                "gold_feature_daily": self.build_features(run, day),
+                "gold_training_set": self.build_snapshot(run, day, staged["tickets"], events["inserted"]),
+            },
+            of_history=lambda: {"silver_history": self.build_history(run, staged["tickets"])},
+        )
         run.commit()
-        return results
+        return {"land": landed, "staged": staged} | built["of_tickets"] | built["of_events"] | built["of_history"]
 
     def backfill(self, start: str, end: str) -> list[dict]:
         """Every day in order; a day's state depends on the day before."""

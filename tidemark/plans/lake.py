@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,7 +94,8 @@ class Run:
         commits = lake._commits()
         self._base = int(commits[-1].removesuffix(".json")) if commits else 0
         self.tables = {name: dict(slots) for name, slots in lake.tables().items()}
-        self._written = 0
+        # Steps of a run may write at the same time.
+        self._written = count(1)
         self._appended: dict[str, list[dict]] = {}
 
     def read(self, table: str, slots: Callable[[str], bool] | None = None) -> DataFrame:
@@ -108,8 +110,7 @@ class Run:
         return sum(h["rows"] for slot, h in held if accepted is None or accepted(slot))
 
     def _write(self, table: str, df: DataFrame, by: Column | None = None) -> str:
-        self._written += 1
-        path = f"{table}/{self.id}-{self._written:03d}"
+        path = f"{table}/{self.id}-{next(self._written):03d}"
         rows = conform(df, TABLES[table])
         if by is None:
             rows.write.parquet(f"{self.lake.root}/{path}")
@@ -120,8 +121,7 @@ class Run:
 
     def aside(self, df: DataFrame) -> tuple[DataFrame, int]:
         """`df` written to a folder of no table, for results a run needs more than once; and its rows."""
-        self._written += 1
-        path = f"_aside/{self.id}-{self._written:03d}"
+        path = f"_aside/{self.id}-{next(self._written):03d}"
         df.write.parquet(f"{self.lake.root}/{path}")
         return self.spark.read.schema(df.schema).parquet(f"{self.lake.root}/{path}"), self._held(path)["rows"]
 

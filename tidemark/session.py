@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every operator counts on. All are runtime settings, so they can be applied to a session
@@ -70,3 +74,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def together(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
+    """What steps return that do not need one another and are run at the same time.
+
+    Jobs of one step take the cores that those of another leave idle. All have ended when the first failure is raised.
+    """
+    with ThreadPoolExecutor(len(steps)) as pool:
+        begun = {name: pool.submit(inheritable_thread_target(spark)(step)) for name, step in steps.items()}
+    return {name: step.result() for name, step in begun.items()}

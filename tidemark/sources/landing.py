@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.records import parsed
 from tidemark.functions.times import from_iso, from_millis
 from tidemark.operators.schemas import BRONZE, conform
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, together
 from tidemark.sources.folders import Folders
 
 _BRONZE_FILES = T.StructType([*BRONZE.fields, T.StructField("ingest_date", T.StringType())])
@@ -194,7 +194,7 @@ class Bronze:
         return {"source": source, "day": day, "status": "landed", "rows": rows}
 
     def land_day(self, day: str) -> dict:
-        return {source: self.land(source, day) for source in SOURCES}
+        return together(self.spark, **{source: partial(self.land, source, day) for source in SOURCES})
 
     def _rows(self, folder: str) -> int:
         return self.spark.read.schema(BRONZE).parquet(folder).count()

@@ -439,3 +439,21 @@ def test_only_numbers_are_shuffled_to_find_where_records_end(spark, tmp_path, mo
     records = landing.read_json_array(spark, str(tmp_path / "a.json")).select(F.to_json("record"))
     assert sorted(r[0] for r in records.collect()) == ['{"a":"\\"}"}', '{"b":{}}']
     assert len(summed) == 3 and not any("value" in columns for columns in summed)
+
+
+def test_a_line_is_parsed_once_to_find_its_day(spark):
+    from tidemark.queries.runs import _ingest_day, _with_arrival
+
+    lines = spark.createDataFrame([(f'{{"timestamp": {86_400_000 * n}}}',) for n in (0, 1, 2, 9)] + [("{",)], "value string")
+    split = _with_arrival(lines).select("value", _ingest_day(F.col("arrived"), ["1970-01-01", "1970-01-02", "1970-01-03", "1970-01-04"]).alias("day"))
+    assert [r["day"] for r in split.collect()] == ["1970-01-01", "1970-01-02", "1970-01-03", "1970-01-04", "1970-01-04"]
+    assert split._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1
+
+
+def test_sums_of_digests_are_those_of_whole_numbers(spark):
+    from tidemark.functions.fingerprints import row_digest, sums_by
+
+    df = spark.range(2000).selectExpr("id", "CAST(id % 3 AS STRING) AS part")
+    digests = [r[0] for r in df.select(row_digest(df)).collect()]
+    assert sums_by(df)[None] == (2000, sum(int(d[:15], 16) for d in digests), sum(int(d[16:31], 16) for d in digests))
+    assert sums_by(df.limit(0)) == {} and sorted(sums_by(df, F.col("part"))) == ["0", "1", "2"]

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.records import once
 from tidemark.operators import features, quality
 from tidemark.operators.keyed import latest_by
 from tidemark.operators.schemas import TABLES, ContractError
@@ -130,18 +131,22 @@ def daily_run(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, sizes)
 
 
-def _ingest_day(arrival: F.Column, days: list[str]) -> F.Column:
+def _ingest_day(arrived: F.Column, days: list[str]) -> F.Column:
     """What arrives up to a day is delivered on it, the rest on the last."""
-    day = F.date_format(arrival, "yyyy-MM-dd")
     late = F.lit(days[-1])
     for d in reversed(days[:-1]):
-        late = F.when(day <= d, d).otherwise(late)
+        late = F.when(arrived <= d, d).otherwise(late)
     return late
 
 
+def _with_arrival(lines: DataFrame) -> DataFrame:
+    """Lines with the day they arrived on, for which each is parsed once."""
+    return lines.select("value", once(F.date_format(_arrival(lines), "yyyy-MM-dd")).alias("arrived"))
+
+
 def _by_day(lines: DataFrame, day: F.Column, folder: str, source: str, warehouse: Warehouse) -> None:
     """Writes each day's lines as that day's delivery."""
-    lines.withColumn("day", day).write.partitionBy("day").text(f"{folder}/all/{source}")
+    lines.select("value", day.alias("day")).write.partitionBy("day").text(f"{folder}/all/{source}")
     for name in warehouse.lake.folders.names(f"{folder}/all/{source}"):
         if name.startswith("day="):
             warehouse.lake.folders.move(f"{folder}/all/{source}/{name}", f"{folder}/in/{source}/{name.removeprefix('day=')}.jsonl")
@@ -161,9 +166,8 @@ def _backfilled(spark: SparkSession, sf: str) -> tuple[Warehouse, list[str]]:
     folder = _work_folder(spark)
     days, lookback = _ingest_days(spark, sf)
     warehouse = Warehouse(spark, f"{folder}/in", f"{folder}/bronze", f"{folder}/lake", lookback)
-    events, changes = event_lines(spark, sf), change_lines(spark, sf)
-    _by_day(events, _ingest_day(_arrival(events), days), folder, "events", warehouse)
-    _by_day(changes, _ingest_day(_arrival(changes), days), folder, "cdc/tickets", warehouse)
+    for lines, source in ((event_lines, "events"), (change_lines, "cdc/tickets")):
+        _by_day(_with_arrival(lines(spark, sf)), _ingest_day(F.col("arrived"), days), folder, source, warehouse)
     # Exports of the tickets the changes are about; those of later turns come on later days.
     turn = F.hour(F.to_timestamp(F.get_json_object("value", "$.exported_at")))
     by_turn = F.element_at(F.array(*[F.lit(d) for d in days]), F.least(F.floor(turn / 2), F.lit(3)).cast("int") + 1)

@@ -12,7 +12,7 @@ from tidemark.functions.fingerprints import added, checksum, checksum_of, combin
 from tidemark.operators import cdc, chunks, features, keyed, labelling, quality
 from tidemark.operators.schemas import GOLD_TABLES, TABLES, conform
 from tidemark.plans.lake import Lake, Run
-from tidemark.session import together
+from tidemark.session import brief_shuffles, passing, together
 from tidemark.sources.landing import Bronze
 
 # Days every run recomputes behind its own: the 99th percentile of measured lateness, rounded up.
@@ -107,8 +107,9 @@ class Warehouse:
             return {"written": 0}
         fresh = lambda slot: slot in days
         at_most = run.rows("stage_ticket_changes", fresh)
-        delta = cdc.history_delta(run.read("silver_ticket_history"), run.read("stage_ticket_changes", fresh), at_most)
-        written = run.append("silver_ticket_history", delta.withColumn("_generation", run.next_generation()))
+        with passing(self.spark):
+            delta = cdc.history_delta(run.read("silver_ticket_history"), run.read("stage_ticket_changes", fresh), at_most)
+            written = run.append("silver_ticket_history", delta.withColumn("_generation", run.next_generation()))
         run.compact("silver_ticket_history", MAX_SLOTS, holding=cdc.current_versions)
         return {"written": written}
 
@@ -343,8 +344,10 @@ class Warehouse:
 def fresh_check(warehouse: Warehouse, lake_root: str, days: list[str]) -> dict[str, tuple[str, str]]:
     """Gold checksums of the warehouse beside those of a fresh build from the same Bronze."""
     fresh = warehouse.rebuilt(lake_root)
-    for day in days:
-        fresh.run_day(day)
+    with brief_shuffles(warehouse.spark):
+        for day in days:
+            fresh.run_day(day)
+            fresh.lake.vacuum()
     again = fresh.gold_checksums()
     return {table: (held, again[table]) for table, held in warehouse.gold_checksums().items()}
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.fingerprints import Sums, added, sums_by
 from tidemark.operators.keyed import matching, newest_generation
 from tidemark.operators.schemas import GOLD_TABLES, TABLES, conform
-from tidemark.session import cut_lineage
+from tidemark.session import PACKED, cut_lineage, passing
 from tidemark.sources.folders import Folders
 
 # Where commits keep the notes of jobs, beside the tables.
@@ -58,6 +58,26 @@ class Lake:
     def begin(self) -> Run:
         return Run(self)
 
+    def vacuum(self) -> None:
+        """Remove the folders the last commit does not name: what it replaced, what runs put aside, what failed ones left.
+
+        Only while no run is writing and nobody reads an older version.
+        """
+        held = {h["path"] for slots in self.tables().values() for h in slots.values() if "path" in h}
+        # A folder written by slot holds those of its slots.
+        parents = {path.rsplit("/", 1)[0] for path in held if path.count("/") > 1}
+        for table in self.folders.names(self.root):
+            if table not in ("_commits", "_empty"):
+                self._vacuum(table, held, parents)
+
+    def _vacuum(self, within: str, held: set[str], parents: set[str]) -> None:
+        for name in self.folders.names(f"{self.root}/{within}"):
+            path = f"{within}/{name}"
+            if path in parents:
+                self._vacuum(path, held, parents)
+            elif path not in held:
+                self.folders.remove(f"{self.root}/{path}")
+
 
 def _slot_of(path: str) -> str:
     """The name of a slot that is called after its folder."""
@@ -113,16 +133,16 @@ class Run:
         path = f"{table}/{self.id}-{next(self._written):03d}"
         rows = conform(df, TABLES[table])
         if by is None:
-            rows.write.parquet(f"{self.lake.root}/{path}")
+            rows.write.option("compression", PACKED).parquet(f"{self.lake.root}/{path}")
         else:
             # The slot is no column of the files, so a slot's folder is a table of its own.
-            rows.withColumn("slot", by.cast("string")).write.partitionBy("slot").parquet(f"{self.lake.root}/{path}")
+            rows.withColumn("slot", by.cast("string")).write.partitionBy("slot").option("compression", PACKED).parquet(f"{self.lake.root}/{path}")
         return path
 
     def aside(self, df: DataFrame) -> tuple[DataFrame, int]:
         """`df` written to a folder of no table, for results a run needs more than once; and its rows."""
         path = f"_aside/{self.id}-{next(self._written):03d}"
-        df.write.parquet(f"{self.lake.root}/{path}")
+        df.write.option("compression", PACKED).parquet(f"{self.lake.root}/{path}")
         return self.spark.read.schema(df.schema).parquet(f"{self.lake.root}/{path}"), self._held(path)["rows"]
 
     def _held(self, path: str) -> dict:
@@ -192,7 +212,10 @@ class Run:
         Nothing written before is written again: `keyed.newest_generation` tells what holds. A key that
         has had rows and has none any more gets one that says so.
         """
-        rebuilt = cut_lineage(rebuilt)
+        with passing(self.spark):
+            return self._append_keys(table, key, touched, cut_lineage(rebuilt), at_most, origin)
+
+    def _append_keys(self, table: str, key: str, touched: DataFrame, rebuilt: DataFrame, at_most: int | None, origin: str | None) -> int:
         columns = [c for c in TABLES[table].names if c not in ("_generation", "_gone")]
         # What these keys held so far goes, so a slot's sums are those of its rows less those they replace.
         replaced = newest_generation(matching(self.read(table), touched, key, at_most), key).select(columns)

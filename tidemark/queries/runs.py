@@ -24,7 +24,7 @@ from tidemark.queries.registry import Registry
 from tidemark.queries.texts import _EMBED_SQL, _chunk_sql, _vector, mask_sql
 from tidemark.queries.tickets import snapshot_sql
 from tidemark.queries.traces import CLEAN_PAIRS_SQL, EVAL_SQL
-from tidemark.session import shared_folder
+from tidemark.session import brief_shuffles, setting, shared_folder
 from tidemark.sources.folders import Folders
 from tidemark.sources.landing import kafka_records
 from tidemark.streaming import streams
@@ -144,9 +144,16 @@ def _with_arrival(lines: DataFrame) -> DataFrame:
     return lines.select("value", once(F.date_format(_arrival(lines), "yyyy-MM-dd")).alias("arrived"))
 
 
+# Lines in one file of a delivery. A packed file is read by one task, so large deliveries come in many.
+FILE_LINES = 500_000
+
+
 def _by_day(lines: DataFrame, day: F.Column, folder: str, source: str, warehouse: Warehouse) -> None:
-    """Writes each day's lines as that day's delivery."""
-    lines.select("value", day.alias("day")).write.partitionBy("day").text(f"{folder}/all/{source}")
+    """Writes each day's lines as that day's delivery, packed in a sixth of their space."""
+    dealt = lines.select("value", day.alias("day")).write.partitionBy("day")
+    # With a file open for each of the few days no task sorts its lines by day, which would spill them all.
+    with setting(warehouse.spark, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+        dealt.option("compression", "lz4").option("maxRecordsPerFile", FILE_LINES).text(f"{folder}/all/{source}")
     for name in warehouse.lake.folders.names(f"{folder}/all/{source}"):
         if name.startswith("day="):
             warehouse.lake.folders.move(f"{folder}/all/{source}/{name}", f"{folder}/in/{source}/{name.removeprefix('day=')}.jsonl")
@@ -166,14 +173,19 @@ def _backfilled(spark: SparkSession, sf: str) -> tuple[Warehouse, list[str]]:
     folder = _work_folder(spark)
     days, lookback = _ingest_days(spark, sf)
     warehouse = Warehouse(spark, f"{folder}/in", f"{folder}/bronze", f"{folder}/lake", lookback)
-    for lines, source in ((event_lines, "events"), (change_lines, "cdc/tickets")):
-        _by_day(_with_arrival(lines(spark, sf)), _ingest_day(F.col("arrived"), days), folder, source, warehouse)
     # Exports of the tickets the changes are about; those of later turns come on later days.
     turn = F.hour(F.to_timestamp(F.get_json_object("value", "$.exported_at")))
     by_turn = F.element_at(F.array(*[F.lit(d) for d in days]), F.least(F.floor(turn / 2), F.lit(3)).cast("int") + 1)
-    _by_day(export_objects(spark, sf, prefix="T-"), by_turn, folder, "transcripts", warehouse)
-    for day in (*days, days[1]):
-        warehouse.run_day(day)
+    with brief_shuffles(spark):
+        for lines, source in ((event_lines, "events"), (change_lines, "cdc/tickets")):
+            _by_day(_with_arrival(lines(spark, sf)), _ingest_day(F.col("arrived"), days), folder, source, warehouse)
+        _by_day(export_objects(spark, sf, prefix="T-"), by_turn, folder, "transcripts", warehouse)
+        for day in (*days, days[1]):
+            warehouse.run_day(day)
+            warehouse.lake.vacuum()
+            # What has landed is not read from its delivery again.
+            for source in ("events", "cdc/tickets", "transcripts"):
+                folders.remove(f"{folder}/in/{source}/{day}.jsonl")
     _BUILT[key] = warehouse, days
     return _BUILT[key]
 
@@ -231,7 +243,10 @@ UNION ALL SELECT 'gold_doc_chunks', true, count(*) FROM ({_chunk_sql(_TRANSCRIPT
 def backfill_as_rebuilt(spark: SparkSession, sf: str) -> DataFrame:
     """Whether each Gold table equals that of a fresh build from the same Bronze."""
     warehouse, days = _backfilled(spark, sf)
-    same = {t: a == b for t, (a, b) in fresh_check(warehouse, f"{_work_folder(spark)}/lake", days).items() if t != "gold"}
+    fresh = _work_folder(spark)
+    same = {t: a == b for t, (a, b) in fresh_check(warehouse, f"{fresh}/lake", days).items() if t != "gold"}
+    # Only the checksums of the fresh build are asked for.
+    Folders(spark).remove(fresh)
     sizes = [
         warehouse.gold(t).agg(F.lit(t).alias("table_name"), F.lit(equal).alias("as_rebuilt"), F.count(F.lit(1)).alias("n_rows"))
         for t, equal in same.items()

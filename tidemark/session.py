@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import AbstractContextManager, contextmanager
+from contextvars import ContextVar
 from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.folders import Folders
+
 # Settings every operator counts on. All are runtime settings, so they can be applied to a session
 # somebody else started.
 SETTINGS = {
@@ -26,6 +30,10 @@ SETTINGS = {
     "spark.sql.cteRecursionLevelLimit": "-1",
 }
 
+# How the files of Bronze, of the tables behind it and of stored steps are packed: smaller than Spark's default
+# by a quarter to two fifths, and about as fast.
+PACKED = "zstd"
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in SETTINGS.items():
@@ -64,18 +72,54 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Folders stored in the innermost `passing` of this thread.
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Store `df` in the shared folder, so that later steps neither recompute it nor carry its plan.
 
     A written table and not `checkpoint()`, which computes what it stores twice. Its folder belongs to
-    the job, like checkpoint files, and goes with them.
+    the job, like checkpoint files, and goes with them, or before at the end of `passing`.
     """
     spark = df.sparkSession
     folder = f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    stored = _PASSING.get()
+    if stored is not None:
+        stored.append(folder)
+    df.write.option("compression", PACKED).parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """What `cut_lineage` stores in here, in this thread, is removed at the end; nothing made of it may be read later."""
+    stored: list[str] = []
+    outer = _PASSING.set(stored)
+    try:
+        yield
+    finally:
+        _PASSING.reset(outer)
+        for folder in stored:
+            Folders(spark).remove(folder)
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session that holds in here only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def brief_shuffles(spark: SparkSession) -> AbstractContextManager[None]:
+    """In here the shuffle files of a job go when it ends, and not when the driver happens to collect its garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def together(spark: SparkSession, **steps: Callable[[], Any]) -> dict[str, Any]:
     """What steps return that do not need one another and are run at the same time.
 

@@ -40,6 +40,10 @@ class Folders:
         if fs.exists(self._path(target)) or not fs.rename(self._path(source), self._path(target)):
             raise FileExistsError(target)
 
+    def remove(self, path: str) -> None:
+        """Remove a file or folder with all it holds, if it is there."""
+        self._fs(path).delete(self._path(path), True)
+
     def read_text(self, path: str) -> str:
         stream = self._fs(path).open(self._path(path))
         try:

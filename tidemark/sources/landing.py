@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.functions.records import parsed
 from tidemark.functions.times import from_iso, from_millis
 from tidemark.operators.schemas import BRONZE, conform
-from tidemark.session import cut_lineage, together
+from tidemark.session import PACKED, cut_lineage, passing, together
 from tidemark.sources.folders import Folders
 
 _BRONZE_FILES = T.StructType([*BRONZE.fields, T.StructField("ingest_date", T.StringType())])
@@ -181,12 +181,12 @@ class Bronze:
         delivered = [place for place in places if self.folders.exists(place)]
         if not delivered:
             return {"source": source, "day": day, "status": "no-data", "rows": 0}
-        # A day may come in several files; all of them are the day's delivery.
-        files = [conform(spec.read(self.spark, place, source, day), BRONZE) for place in delivered]
-        records = reduce(DataFrame.unionByName, files)
         # Written aside and renamed: a half-written day is never visible.
         aside = f"{self.root}/{source}/_incoming-{uuid.uuid4().hex}"
-        records.write.parquet(aside)
+        with passing(self.spark):
+            # A day may come in several files; all of them are the day's delivery.
+            files = [conform(spec.read(self.spark, place, source, day), BRONZE) for place in delivered]
+            reduce(DataFrame.unionByName, files).write.option("compression", PACKED).parquet(aside)
         rows = self._rows(aside)
         if not rows:
             return {"source": source, "day": day, "status": "no-data", "rows": 0}
